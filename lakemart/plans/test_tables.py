@@ -1,0 +1,332 @@
+"""Named queries over the benchmark tables (``region nation customer … part``).
+
+Every query derives the raw sales lines from the tables (see
+``sources.tpch_sales``) and runs a lakehouse step on them, over the whole
+tables. Nondeterministic audit columns (ingestion and update times) are left
+out of the query results; the library functions keep them.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..config import (
+    NOTEBOOK_BANDS,
+    NOTEBOOK_FEATURES,
+    RANKING_EXPORT_COLUMNS,
+    SCRIPT_BANDS,
+    SCRIPT_FEATURES,
+    ModelSpec,
+)
+from ..functions.cleaning import clean_columns
+from ..operators import features as feat
+from ..operators import labels, marts, metrics, model, scoring, star
+from ..operators.dedup import dedup_by_key
+from ..operators.enrich import enrich_sales
+from ..sources import tpch_sales
+from ..sources.raw_sales import tolerant_sales
+from . import medallion
+
+# Test cutoffs inside the tables' 1995-2001 order dates.
+TEST_CUTOFFS = ("1996-06-30", "1996-12-31", "1997-06-30", "1997-12-31")
+TEST_HORIZON = 90
+TEST_SINGLE_CUTOFF = "1999-06-30"
+TEST_SINGLE_HORIZON = 180
+HISTORY_CUTOFF = "1997-12-31"
+
+AUDIT = ("_ingestion_time", "_updated_at")
+
+
+def _no_audit(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in AUDIT if c in df.columns])
+
+
+def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tpch_sales.bronze_from_tables(spark, sf_dir)
+
+
+def datasets(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return medallion.build(bronze(spark, sf_dir))
+
+
+def script_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The standalone script's input: raw lines, tolerant typing, required fields."""
+    return tolerant_sales(tpch_sales.raw_sales(spark, sf_dir))
+
+
+def notebook_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The notebook's input: the silver fact left-joined with three dimensions."""
+    d = datasets(spark, sf_dir)
+    return enrich_sales(d["ft_vendas"], d["dim_cliente"], d["dim_localizacao"], d["dim_produto"])
+
+
+def test_cutoffs(spark: SparkSession) -> DataFrame:
+    return feat.cutoff_frame(spark, TEST_CUTOFFS, TEST_HORIZON)
+
+
+def _cutoff_text(df: DataFrame) -> DataFrame:
+    return df.withColumn("cutoff", F.date_format("cutoff", "yyyy-MM-dd"))
+
+
+def training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labels.training_set(script_sales(spark, sf_dir), test_cutoffs(spark), SCRIPT_FEATURES)
+
+
+def closed_form_score(customer: DataFrame) -> DataFrame:
+    """A fixed score per customer standing in for the model in checkable queries."""
+    score = F.round((F.col("c_custkey") * 7919 % 10007).cast("double") / F.lit(10007.0), 4)
+    return customer.select(F.col("c_name").alias("customer_name"), score.alias("propensity_score"))
+
+
+def scored_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    current = feat.customer_features_current(script_sales(spark, sf_dir), SCRIPT_FEATURES)
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    return current.join(closed_form_score(customer), "customer_name", "inner")
+
+
+def labelled_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training labels with the fixed customer score and the 0.5-threshold class."""
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    rows = training(spark, sf_dir).select("cutoff", "customer_name", F.col("target_comprou").alias("label"))
+    joined = rows.join(closed_form_score(customer), "customer_name", "inner")
+    return metrics.predicted(joined.withColumnRenamed("propensity_score", "score"), "score")
+
+
+# --- queries -----------------------------------------------------------------
+
+
+def q_bronze_ingest(spark, sf_dir):
+    return _no_audit(bronze(spark, sf_dir))
+
+
+def q_dedup_sales(spark, sf_dir):
+    b = _no_audit(bronze(spark, sf_dir))
+    return dedup_by_key(b, ["order_id", "product_id"], [c for c in b.columns if c not in ("order_id", "product_id")])
+
+
+def q_clean_numeric(spark, sf_dir):
+    cleaned = clean_columns(tpch_sales.raw_sales(spark, sf_dir))
+    return cleaned.select(
+        "order_id", "product_id", "sales", "quantity", "discount", "margem_lucro", "profit", "shipping_cost"
+    )
+
+
+def q_sales_cleaned(spark, sf_dir):
+    return _no_audit(datasets(spark, sf_dir)["sales_cleaned_view"])
+
+
+def q_tolerant_load(spark, sf_dir):
+    s = script_sales(spark, sf_dir)
+    return s.withColumn("order_date", F.date_format("order_date", "yyyy-MM-dd")).drop("_source_file")
+
+
+def _dataset_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark, sf_dir):
+        return _no_audit(datasets(spark, sf_dir)[name])
+
+    run.__name__ = f"q_{name}"
+    return run
+
+
+def q_vendas_por_categoria(spark, sf_dir):
+    return marts.by_revenue(datasets(spark, sf_dir)["vendas_por_categoria"], "category", "sub_category")
+
+
+def q_desempenho_regional(spark, sf_dir):
+    return marts.by_revenue(datasets(spark, sf_dir)["desempenho_regional"], "market", "region", "country")
+
+
+def q_metrica_clientes(spark, sf_dir):
+    return marts.by_revenue(datasets(spark, sf_dir)["metrica_clientes"], "segment")
+
+
+def q_quality_report(spark, sf_dir):
+    return medallion.quality_report(bronze(spark, sf_dir))
+
+
+def q_conformity_rate(spark, sf_dir):
+    return medallion.conformity_report(bronze(spark, sf_dir))
+
+
+def q_dim_key_uniqueness(spark, sf_dir):
+    d = datasets(spark, sf_dir)
+    parts = [star.dim_key_report(d[n], n) for n in star.DIM_COLUMNS]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_enriched_sales(spark, sf_dir):
+    return _no_audit(notebook_sales(spark, sf_dir))
+
+
+def q_history_asof(spark, sf_dir):
+    h = feat.history_asof(script_sales(spark, sf_dir), HISTORY_CUTOFF)
+    return h.select("order_id", "customer_name", F.date_format("order_date", "yyyy-MM-dd").alias("order_date"), "sales")
+
+
+def q_buyers_in_window(spark, sf_dir):
+    return _cutoff_text(labels.buyers_in_window(script_sales(spark, sf_dir), test_cutoffs(spark)))
+
+
+def q_label_customers(spark, sf_dir):
+    return _cutoff_text(training(spark, sf_dir).select("cutoff", "customer_name", "target_comprou"))
+
+
+def q_customer_features(spark, sf_dir):
+    return _cutoff_text(feat.customer_features_asof(script_sales(spark, sf_dir), test_cutoffs(spark)))
+
+
+def q_customer_features_current(spark, sf_dir):
+    return feat.customer_features_current(script_sales(spark, sf_dir))
+
+
+def q_customer_mode(spark, sf_dir):
+    return feat.customer_mode(script_sales(spark, sf_dir))
+
+
+def q_sales_profile(spark, sf_dir):
+    return feat.sales_profile(script_sales(spark, sf_dir))
+
+
+def q_multi_window_training(spark, sf_dir):
+    return _cutoff_text(training(spark, sf_dir))
+
+
+def q_single_window_training(spark, sf_dir):
+    cutoffs = feat.cutoff_frame(spark, [TEST_SINGLE_CUTOFF], TEST_SINGLE_HORIZON)
+    return _cutoff_text(labels.training_set(notebook_sales(spark, sf_dir), cutoffs, NOTEBOOK_FEATURES))
+
+
+def q_label_rate_by_cutoff(spark, sf_dir):
+    return labels.label_rate_by_cutoff(training(spark, sf_dir))
+
+
+def q_score_deciles(spark, sf_dir):
+    s = scoring.add_deciles(scored_customers(spark, sf_dir))
+    return s.select("customer_name", "propensity_score", "percentil_score")
+
+
+def q_propensity_bands(spark, sf_dir):
+    s = scoring.add_bands(scored_customers(spark, sf_dir), bands=SCRIPT_BANDS)
+    return s.select("customer_name", "propensity_score", SCRIPT_BANDS.column)
+
+
+def q_propensity_bands_crm(spark, sf_dir):
+    s = scoring.add_bands(scored_customers(spark, sf_dir), bands=NOTEBOOK_BANDS)
+    return s.select("customer_name", "propensity_score", NOTEBOOK_BANDS.column)
+
+
+def ranked(spark, sf_dir):
+    return scoring.rank_scores(scored_customers(spark, sf_dir), bands=SCRIPT_BANDS)
+
+
+def q_propensity_ranking(spark, sf_dir):
+    return ranked(spark, sf_dir).select(*RANKING_EXPORT_COLUMNS)
+
+
+def q_top_customers(spark, sf_dir):
+    s = scoring.add_bands(scored_customers(spark, sf_dir), bands=SCRIPT_BANDS)
+    top = scoring.top_k(s, 10)
+    return top.select("ranking", "customer_name", "propensity_score", SCRIPT_BANDS.column, "valor_total_gasto")
+
+
+def q_band_summary(spark, sf_dir):
+    s = scoring.add_bands(scored_customers(spark, sf_dir), bands=SCRIPT_BANDS)
+    return scoring.band_summary(s, SCRIPT_BANDS)
+
+
+def q_roc_auc(spark, sf_dir):
+    return metrics.roc_auc(labelled_scores(spark, sf_dir), "label", "score")
+
+
+def q_brier_score(spark, sf_dir):
+    return metrics.brier_score(labelled_scores(spark, sf_dir), "label", "score")
+
+
+def q_confusion_matrix(spark, sf_dir):
+    return metrics.confusion_matrix(labelled_scores(spark, sf_dir), "label", "prediction")
+
+
+def q_classification_report(spark, sf_dir):
+    return metrics.classification_report(labelled_scores(spark, sf_dir), "label", "prediction")
+
+
+def q_stratified_split(spark, sf_dir):
+    t = training(spark, sf_dir)
+    split = model.stratified_split(t, "target_comprou", ["cutoff", "customer_name"], 0.2, 5, 42)
+    return split.groupBy("target_comprou", "split").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("fold").alias("folds")
+    )
+
+
+def q_class_weight(spark, sf_dir):
+    t = training(spark, sf_dir)
+    split = model.stratified_split(t, "target_comprou", ["cutoff", "customer_name"], 0.2, 5, 42)
+    return model.class_weights(split.filter(F.col("split") == "train"), "target_comprou")
+
+
+QUICK_MODEL = ModelSpec(trees=10, folds=5)
+
+
+def q_feature_importance(spark, sf_dir):
+    from .propensity import fit_on_training
+
+    t = training(spark, sf_dir)
+    trained = fit_on_training(t, QUICK_MODEL, cv=False)
+    pairs = model.feature_importance(trained.model, t, QUICK_MODEL)
+    return spark.createDataFrame(pairs, "Feature string, Importance double").orderBy(F.col("Importance").desc())
+
+
+def q_propensity_pipeline(spark, sf_dir):
+    from .propensity import run_propensity
+
+    result = run_propensity(script_sales(spark, sf_dir), test_cutoffs(spark), QUICK_MODEL, cv=False)
+    return result.ranking
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "bronze_ingest": q_bronze_ingest,
+    "dedup_sales": q_dedup_sales,
+    "clean_numeric": q_clean_numeric,
+    "sales_cleaned": q_sales_cleaned,
+    "tolerant_load": q_tolerant_load,
+    "dim_produto": _dataset_query("dim_produto"),
+    "dim_cliente": _dataset_query("dim_cliente"),
+    "dim_localizacao": _dataset_query("dim_localizacao"),
+    "dim_modo_envio": _dataset_query("dim_modo_envio"),
+    "ft_vendas": _dataset_query("ft_vendas"),
+    "vendas_por_categoria": q_vendas_por_categoria,
+    "desempenho_regional": q_desempenho_regional,
+    "metrica_clientes": q_metrica_clientes,
+    "quality_report": q_quality_report,
+    "conformity_rate": q_conformity_rate,
+    "dim_key_uniqueness": q_dim_key_uniqueness,
+    "enriched_sales": q_enriched_sales,
+    "history_asof": q_history_asof,
+    "buyers_in_window": q_buyers_in_window,
+    "label_customers": q_label_customers,
+    "customer_features": q_customer_features,
+    "customer_features_current": q_customer_features_current,
+    "customer_mode": q_customer_mode,
+    "sales_profile": q_sales_profile,
+    "multi_window_training": q_multi_window_training,
+    "single_window_training": q_single_window_training,
+    "label_rate_by_cutoff": q_label_rate_by_cutoff,
+    "score_deciles": q_score_deciles,
+    "propensity_bands": q_propensity_bands,
+    "propensity_bands_crm": q_propensity_bands_crm,
+    "propensity_ranking": q_propensity_ranking,
+    "top_customers": q_top_customers,
+    "band_summary": q_band_summary,
+    "roc_auc": q_roc_auc,
+    "brier_score": q_brier_score,
+    "confusion_matrix": q_confusion_matrix,
+    "classification_report": q_classification_report,
+    "stratified_split": q_stratified_split,
+    "class_weight": q_class_weight,
+    "feature_importance": q_feature_importance,
+    "propensity_pipeline": q_propensity_pipeline,
+}
