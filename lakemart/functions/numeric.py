@@ -27,3 +27,19 @@ def safe_ratio(num: Column, den: Column, otherwise: float | None = 0.0) -> Colum
 def pct(part: Column, total: Column, scale: int = 1) -> Column:
     """Share of the total in percent, rounded ties-to-even to ``scale`` decimals."""
     return round_half_even(F.try_divide(part * F.lit(100.0), total), scale)
+
+
+def exact_sum(c: Column, scale: int = 6) -> Column:
+    """Exact sum of a double column, in units of ``10**-scale``.
+
+    Each value is quantized to ``scale`` decimals and summed as DECIMAL(38,0)
+    (plain long additions while the total fits in 18 digits, no overflow up to
+    38). The result does not depend on the order in which partitions are
+    combined; a double sum does, and at a rounding tie that decides the
+    published digit. Turn it back with ``units_to_double``.
+    """
+    return F.sum(F.round(c * F.lit(float(10**scale))).cast("decimal(38,0)"))
+
+
+def units_to_double(c: Column, scale: int = 6) -> Column:
+    return c.cast("double") / F.lit(float(10**scale))

@@ -7,7 +7,9 @@ expansion of at most ``len(cutoffs)`` copies per line), then grouped by
 ``(cutoff, customer_name)``. Distinct counts, sums, means, min/max dates and
 the modal segment and market all come from the same ``groupBy().agg()``; all
 of them combine partially before the shuffle, so a customer holding a third
-of the lines does not put a third of the lines into one task.
+of the lines does not put a third of the lines into one task. Sums and means
+are exact (``exact_sum``), so the rounded features do not depend on how the
+partitions were combined.
 
 ``customer_features_current`` uses the latest order date in the data as the
 reference date: a one-row aggregate, broadcast onto the per-customer rows.
@@ -22,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import SCRIPT_FEATURES, FeatureSpec
-from ..functions.numeric import round_half_even, safe_ratio
+from ..functions.numeric import exact_sum, round_half_even, safe_ratio, units_to_double
 from ..schemas import CUTOFF_SCHEMA
 
 FEATURE_COLUMNS_SCRIPT = (
@@ -86,11 +88,11 @@ def _aggregates(cols: Sequence[str], spec: FeatureSpec) -> list[Column]:
         F.max("order_date").alias("_last"),
         F.min("order_date").alias("_first"),
         F.count_distinct("order_id").alias("frequencia_pedidos"),
-        F.coalesce(F.sum("sales"), F.lit(0)).alias("_value"),
+        F.coalesce(units_to_double(exact_sum(F.col("sales"))), F.lit(0.0)).alias("_value"),
         F.coalesce(F.sum("quantity"), F.lit(0)).alias("quantidade_itens"),
-        F.coalesce(F.sum("profit"), F.lit(0)).alias("_profit"),
-        F.avg("discount").alias("_discount"),
-        F.avg("margem_lucro").alias("_margin"),
+        F.coalesce(units_to_double(exact_sum(F.col("profit"))), F.lit(0.0)).alias("_profit"),
+        (units_to_double(exact_sum(F.col("discount"))) / F.count("discount")).alias("_discount"),
+        (units_to_double(exact_sum(F.col("margem_lucro"))) / F.count("margem_lucro")).alias("_margin"),
         _distinct_or(cols, "category", spec.default_category_count).alias("qtd_categorias_distintas"),
         _mode_or(cols, "segment", spec.default_segment).alias("segment"),
         _mode_or(cols, "market", spec.default_market).alias("market"),

@@ -9,6 +9,11 @@ pre-aggregated row meets the same dimension rows its lines would have met, so
 the dimension fan-out of the published marts is preserved exactly. Averages
 are carried as (sum, count).
 
+Money columns of the fact carry 2 decimals and the margin 4 (the cleaning
+rounds them), so they are summed exactly in those units (``exact_sum``) and
+turned back into doubles at the end: totals do not depend on how partitions
+were combined.
+
 Which join strategy runs is left to AQE: it broadcasts a dimension only when
 its measured runtime size is under ``spark.sql.autoBroadcastJoinThreshold``.
 """
@@ -18,21 +23,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import exact_sum, units_to_double
+
 
 def vendas_por_categoria(ft: DataFrame, dim_prod: DataFrame) -> DataFrame:
     per_product = ft.groupBy("product_id").agg(
         F.sum("sales").alias("s_sales"),
-        F.sum("profit").alias("s_profit"),
+        exact_sum(F.col("profit"), 2).alias("s_profit"),
         F.sum("quantity").alias("s_quantity"),
-        F.sum("margem_lucro").alias("s_margin"),
+        exact_sum(F.col("margem_lucro"), 4).alias("s_margin"),
         F.count("margem_lucro").alias("n_margin"),
     )
     joined = per_product.join(dim_prod, "product_id", "inner")
     out = joined.groupBy("category", "sub_category").agg(
         F.sum("s_sales").alias("faturamento_total"),
-        F.sum("s_profit").alias("lucro_total"),
+        units_to_double(F.sum("s_profit"), 2).alias("lucro_total"),
         F.sum("s_quantity").alias("qtd_itens_vendidos"),
-        F.round(F.try_divide(F.sum("s_margin"), F.sum("n_margin")), 4).alias("margem_media"),
+        F.round(F.try_divide(units_to_double(F.sum("s_margin"), 4), F.sum("n_margin")), 4).alias("margem_media"),
     )
     return out
 
@@ -40,14 +47,14 @@ def vendas_por_categoria(ft: DataFrame, dim_prod: DataFrame) -> DataFrame:
 def desempenho_regional(ft: DataFrame, dim_loc: DataFrame) -> DataFrame:
     per_order = ft.groupBy("country", "state", "order_id").agg(
         F.sum("sales").alias("s_sales"),
-        F.sum("profit").alias("s_profit"),
-        F.sum("shipping_cost").alias("s_shipping"),
+        exact_sum(F.col("profit"), 2).alias("s_profit"),
+        exact_sum(F.col("shipping_cost"), 2).alias("s_shipping"),
     )
     joined = per_order.join(dim_loc, ["country", "state"], "inner")
     return joined.groupBy("market", "region", "country").agg(
         F.sum("s_sales").alias("faturamento_total"),
-        F.sum("s_profit").alias("lucro_total"),
-        F.sum("s_shipping").alias("custo_frete_total"),
+        units_to_double(F.sum("s_profit"), 2).alias("lucro_total"),
+        units_to_double(F.sum("s_shipping"), 2).alias("custo_frete_total"),
         F.count_distinct("order_id").alias("total_pedidos"),
     )
 
@@ -55,13 +62,13 @@ def desempenho_regional(ft: DataFrame, dim_loc: DataFrame) -> DataFrame:
 def metrica_clientes(ft: DataFrame, dim_cli: DataFrame) -> DataFrame:
     per_order = ft.groupBy("customer_name", "order_id").agg(
         F.sum("sales").alias("s_sales"),
-        F.sum("profit").alias("s_profit"),
+        exact_sum(F.col("profit"), 2).alias("s_profit"),
     )
     joined = per_order.join(dim_cli, "customer_name", "inner")
     return joined.groupBy("segment").agg(
         F.count_distinct("customer_name").alias("total_clientes"),
         F.sum("s_sales").alias("faturamento_total"),
-        F.sum("s_profit").alias("lucro_total"),
+        units_to_double(F.sum("s_profit"), 2).alias("lucro_total"),
         F.round(
             F.try_divide(F.sum("s_sales"), F.count_distinct("order_id")), 2
         ).alias("ticket_medio_por_pedido"),

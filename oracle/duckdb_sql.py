@@ -33,6 +33,12 @@ def np_round(x: str, s: int) -> str:
     return f"(round_even(({x}) * {f}, 0) / {f})"
 
 
+def units_sum(x: str, s: int = 6) -> str:
+    """Exact sum of a double column quantized to ``s`` decimals, back as double."""
+    f = float(10**s)
+    return f"(CAST(sum(CAST(round({x} * {f}) AS DECIMAL(38,0))) AS DOUBLE) / {f})"
+
+
 RAW_SALES = f"""
 raw_sales AS (
   SELECT
@@ -135,17 +141,17 @@ MARTS = f"""
 vendas_por_categoria AS (
   SELECT category, sub_category,
          CAST(sum(f.sales) AS BIGINT) AS faturamento_total,
-         sum(f.profit) AS lucro_total,
+         {units_sum("f.profit", 2)} AS lucro_total,
          CAST(sum(f.quantity) AS BIGINT) AS qtd_itens_vendidos,
-         {spark_round("avg(f.margem_lucro)", 4)} AS margem_media
+         {spark_round(units_sum("f.margem_lucro", 4) + " / count(f.margem_lucro)", 4)} AS margem_media
   FROM ft_vendas f JOIN dim_produto d ON f.product_id = d.product_id
   GROUP BY category, sub_category
 ),
 desempenho_regional AS (
   SELECT market, region, d.country,
          CAST(sum(f.sales) AS BIGINT) AS faturamento_total,
-         sum(f.profit) AS lucro_total,
-         sum(f.shipping_cost) AS custo_frete_total,
+         {units_sum("f.profit", 2)} AS lucro_total,
+         {units_sum("f.shipping_cost", 2)} AS custo_frete_total,
          count(DISTINCT f.order_id) AS total_pedidos
   FROM ft_vendas f JOIN dim_localizacao d ON f.country = d.country AND f.state = d.state
   GROUP BY market, region, d.country
@@ -154,7 +160,7 @@ metrica_clientes AS (
   SELECT segment,
          count(DISTINCT f.customer_name) AS total_clientes,
          CAST(sum(f.sales) AS BIGINT) AS faturamento_total,
-         sum(f.profit) AS lucro_total,
+         {units_sum("f.profit", 2)} AS lucro_total,
          {spark_round("CAST(sum(f.sales) AS DOUBLE) / count(DISTINCT f.order_id)", 2)} AS ticket_medio_por_pedido
   FROM ft_vendas f JOIN dim_cliente d ON f.customer_name = d.customer_name
   GROUP BY segment
@@ -220,10 +226,11 @@ def features_cte(name: str, sales: str, extended: bool, default_seg: str, defaul
   SELECT {grp},
          max(order_date) AS last_d, min(order_date) AS first_d,
          count(DISTINCT order_id) AS frequencia_pedidos,
-         coalesce(sum(sales), 0) AS value,
+         coalesce({units_sum("sales")}, 0.0) AS value,
          coalesce(sum(quantity), 0) AS quantidade_itens,
-         coalesce(sum(profit), 0) AS profit_sum,
-         avg(discount) AS disc, avg(margem_lucro) AS margin,
+         coalesce({units_sum("profit")}, 0.0) AS profit_sum,
+         {units_sum("discount")} / count(discount) AS disc,
+         {units_sum("margem_lucro")} / count(margem_lucro) AS margin,
          count(DISTINCT category) AS qtd_categorias_distintas{ext_cols}
   FROM {name}_hist GROUP BY {grp}
 ),
@@ -281,7 +288,7 @@ edges AS (
 ),
 banded AS (
   SELECT s.*,
-         CASE WHEN len(e) > 1 THEN greatest(1, len(list_filter(e, x -> x < s.propensity_score))) END AS percentil_score,
+         CASE WHEN len(e) > 1 THEN greatest(1, len(list_filter(e, lambda x: x < s.propensity_score))) END AS percentil_score,
          CASE WHEN s.propensity_score >= 0.70 THEN 'Alta Propensão (Foco em Conversão)'
               WHEN s.propensity_score >= 0.40 THEN 'Média Propensão (Foco em Nutrição)'
               ELSE 'Baixa Propensão (Foco em Reativação)' END AS faixa_propensao,
