@@ -5,8 +5,9 @@ Here both loops are one aggregate: sales lines are paired with every cutoff
 they precede (a join against the small, broadcast cutoff list: a bounded
 expansion of at most ``len(cutoffs)`` copies per line), then grouped by
 ``(cutoff, customer_name)``. Distinct counts, sums, means, min/max dates and
-the modal segment and market all come from the same ``groupBy().agg()``; all
-of them combine partially before the shuffle, so a customer holding a third
+min/max dates come from one ``groupBy().agg()``, the modal segment and market
+from two small count aggregates joined back on the same keys; all of them
+combine partially before the shuffle, so a customer holding a third
 of the lines does not put a third of the lines into one task. Sums and means
 are exact (``exact_sum``), so the rounded features do not depend on how the
 partitions were combined.
@@ -77,10 +78,29 @@ def _distinct_or(cols: Sequence[str], name: str, default: int) -> Column:
     return F.lit(default).cast("long")
 
 
-def _mode_or(cols: Sequence[str], name: str, default: str) -> Column:
-    if name in cols:
-        return F.coalesce(F.mode(name, deterministic=True), F.lit(default))
-    return F.lit(default)
+def modal_value(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
+    """Most frequent non-NULL ``column`` per ``keys``; ties go to the smallest value.
+
+    Two hash aggregates: count per ``(keys, value)``, then keep the pair with
+    the highest count (smallest value on ties). The second one only sees one
+    row per distinct value of a key, so a hot key stays cheap. This keeps
+    ``mode`` out of the big distinct-count aggregate, where it would force a
+    sort-based plan over every expanded row.
+    """
+    counts = df.filter(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count(F.lit(1)).alias("_n"))
+    best = counts.groupBy(*keys).agg(F.min(F.struct((-F.col("_n")).alias("n"), F.col(column).alias("v"))).alias("_m"))
+    return best.select(*keys, F.col("_m.v").alias(column))
+
+
+def _with_modes(agg: DataFrame, rows: DataFrame, keys: Sequence[str], spec: FeatureSpec) -> DataFrame:
+    out = agg
+    for column, default in (("segment", spec.default_segment), ("market", spec.default_market)):
+        if column in rows.columns:
+            out = out.join(modal_value(rows, keys, column), list(keys), "left")
+            out = out.withColumn(column, F.coalesce(F.col(column), F.lit(default)))
+        else:
+            out = out.withColumn(column, F.lit(default))
+    return out
 
 
 def _aggregates(cols: Sequence[str], spec: FeatureSpec) -> list[Column]:
@@ -94,8 +114,6 @@ def _aggregates(cols: Sequence[str], spec: FeatureSpec) -> list[Column]:
         (units_to_double(exact_sum(F.col("discount"))) / F.count("discount")).alias("_discount"),
         (units_to_double(exact_sum(F.col("margem_lucro"))) / F.count("margem_lucro")).alias("_margin"),
         _distinct_or(cols, "category", spec.default_category_count).alias("qtd_categorias_distintas"),
-        _mode_or(cols, "segment", spec.default_segment).alias("segment"),
-        _mode_or(cols, "market", spec.default_market).alias("market"),
     ]
     if spec.extended:
         aggs += [
@@ -135,7 +153,9 @@ def customer_features_asof(
     history = sales.join(
         F.broadcast(cutoffs.select("cutoff")), F.col("order_date") <= F.col("cutoff")
     )
-    agg = history.groupBy("cutoff", "customer_name").agg(*_aggregates(sales.columns, spec))
+    keys = ["cutoff", "customer_name"]
+    agg = history.groupBy(*keys).agg(*_aggregates(sales.columns, spec))
+    agg = _with_modes(agg, history, keys, spec)
     return _finish(agg, F.col("cutoff"), spec, [F.col("cutoff")])
 
 
@@ -144,6 +164,7 @@ def customer_features_current(sales: DataFrame, spec: FeatureSpec = SCRIPT_FEATU
     dated = with_order_date(sales)
     sales = conform(sales)
     agg = sales.groupBy("customer_name").agg(*_aggregates(sales.columns, spec))
+    agg = _with_modes(agg, sales, ["customer_name"], spec)
     ref = dated.agg(F.max("order_date").alias("_ref"))
     return _finish(agg.crossJoin(F.broadcast(ref)), F.col("_ref"), spec, [])
 
@@ -151,10 +172,8 @@ def customer_features_current(sales: DataFrame, spec: FeatureSpec = SCRIPT_FEATU
 def customer_mode(sales: DataFrame, spec: FeatureSpec = SCRIPT_FEATURES) -> DataFrame:
     """Most frequent segment and market per customer; ties go to the smallest value."""
     sales = conform(sales)
-    return sales.groupBy("customer_name").agg(
-        _mode_or(sales.columns, "segment", spec.default_segment).alias("segment"),
-        _mode_or(sales.columns, "market", spec.default_market).alias("market"),
-    )
+    customers = sales.select("customer_name").distinct()
+    return _with_modes(customers, sales, ["customer_name"], spec).select("customer_name", "segment", "market")
 
 
 def sales_profile(sales: DataFrame) -> DataFrame:

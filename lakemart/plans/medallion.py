@@ -30,7 +30,7 @@ from ..operators.quality import (
     rule_counts,
     rules_for,
 )
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 from ..sinks import write_table
 
 
@@ -73,33 +73,70 @@ DATASETS: tuple[DatasetDef, ...] = (
 BY_NAME = {d.name: d for d in DATASETS}
 
 
-def build_unfiltered(bronze: DataFrame) -> dict[str, DataFrame]:
+class Datasets:
+    """Lazily built datasets of one refresh; each is built once, on first use.
+
+    ``pre(name)`` is a dataset before its own drop rules (its inputs are
+    already filtered); ``[name]`` is the dataset as published. With
+    ``materialize_view`` the cleaned view, which five datasets read, is cut
+    from its lineage once by a reliable checkpoint, so the de-duplication
+    shuffle runs once instead of once per reader.
+    """
+
+    def __init__(self, bronze: DataFrame, materialize_view: bool = False):
+        self._bronze = bronze
+        self._materialize = materialize_view
+        self._pre: dict[str, DataFrame] = {}
+        self._post: dict[str, DataFrame] = {}
+
+    def pre(self, name: str) -> DataFrame:
+        if name not in self._pre:
+            d = BY_NAME[name]
+            if d.build is None:
+                frame = self._bronze
+            else:
+                frame = d.build(*[self[i] for i in d.inputs])
+                if d.layer == "view" and self._materialize:
+                    frame = materialize(frame)
+            self._pre[name] = frame
+        return self._pre[name]
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._post:
+            self._post[name] = apply_expectations(self.pre(name), BY_NAME[name].rules)
+        return self._post[name]
+
+    def __contains__(self, name: str) -> bool:
+        return name in BY_NAME
+
+    def keys(self):
+        return BY_NAME.keys()
+
+    def items(self):
+        return ((n, self[n]) for n in BY_NAME)
+
+
+def build_unfiltered(bronze: DataFrame, materialize_view: bool = False) -> dict[str, DataFrame]:
     """Every dataset before its own drop rules (inputs are already filtered)."""
-    pre: dict[str, DataFrame] = {"sales_raw": bronze}
-    post: dict[str, DataFrame] = {"sales_raw": apply_expectations(bronze, rules_for("sales_raw"))}
-    for d in DATASETS[1:]:
-        frame = d.build(*[post[i] for i in d.inputs])
-        pre[d.name] = frame
-        post[d.name] = apply_expectations(frame, d.rules)
-    return pre
+    ds = Datasets(bronze, materialize_view)
+    return {d.name: ds.pre(d.name) for d in DATASETS}
 
 
-def build(bronze: DataFrame) -> dict[str, DataFrame]:
-    """Every dataset as published: after its drop rules."""
-    pre = build_unfiltered(bronze)
-    return {name: apply_expectations(df, BY_NAME[name].rules) for name, df in pre.items()}
+def build(bronze: DataFrame, materialize_view: bool = False) -> Datasets:
+    """Every dataset as published (after its drop rules), built on first access."""
+    return Datasets(bronze, materialize_view)
 
 
-def quality_report(bronze: DataFrame) -> DataFrame:
+def quality_report(bronze: DataFrame, materialize_view: bool = False) -> DataFrame:
     """All rules of all datasets: ``dataset, rule, action, predicate, total_rows, passed, failed``."""
-    pre = build_unfiltered(bronze)
-    parts = [rule_counts(pre[d.name], d.rules, d.name) for d in DATASETS if d.rules]
+    ds = Datasets(bronze, materialize_view)
+    parts = [rule_counts(ds.pre(d.name), d.rules, d.name) for d in DATASETS if d.rules]
     return reduce(DataFrame.unionByName, parts)
 
 
-def conformity_report(bronze: DataFrame) -> DataFrame:
+def conformity_report(bronze: DataFrame, materialize_view: bool = False) -> DataFrame:
     """Kept and dropped rows of every dataset that has a drop rule."""
-    pre = build_unfiltered(bronze)
+    pre = build_unfiltered(bronze, materialize_view)
     parts = [
         conformity(pre[d.name], d.rules, d.name)
         for d in DATASETS
@@ -122,7 +159,7 @@ def run(spark: SparkSession, bronze: DataFrame, layers: Layers = Layers()) -> Da
             frame = bronze
         elif d.layer == "view":
             cleaned = d.build(*[stored[i] for i in d.inputs])
-            stored[d.name] = cleaned.checkpoint(eager=True)
+            stored[d.name] = materialize(cleaned)
             stored[d.name].createOrReplaceTempView(d.name)
             continue
         else:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..config import RANKING_EXPORT_COLUMNS, SCRIPT_BANDS, SCRIPT_FEATURES, BandSpec, FeatureSpec, ModelSpec
 from ..operators import labels, metrics, model, scoring
 from ..operators.features import customer_features_current
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 from ..sinks import export_csv, write_table
 
 TRAINING_KEY = ["cutoff", "customer_name"]
@@ -34,8 +34,7 @@ class PropensityResult:
 
 
 def fit_on_training(training: DataFrame, spec: ModelSpec, cv: bool = True) -> model.TrainedModel:
-    ensure_checkpoint_dir(training.sparkSession)
-    pinned = training.checkpoint(eager=True)
+    pinned = materialize(training)
     return model.train(pinned, spec, TRAINING_KEY, cv=cv)
 
 

@@ -9,7 +9,8 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_DEFAULTS = {
     "spark.sql.ansi.enabled": "true",
@@ -78,3 +79,20 @@ def env_cpus(default: int = 8) -> int:
         return int(os.environ.get("BENCH_CPUS", default))
     except ValueError:
         return default
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage with a reliable checkpoint.
+
+    ``checkpoint(eager=True)`` alone runs the plan twice (once to count, once
+    to write the checkpoint files); persisting first makes the write read the
+    rows just computed. The cache is released once the files are written; the
+    returned frame reads the checkpoint in ``spark.checkpoint.dir``, which
+    survives the loss of an executor.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist(blocking=False)

@@ -71,11 +71,11 @@ def _dirty_columns(with_dirt: bool) -> dict[str, Column]:
         .when(key % 97 == 0, F.lit("n/a"))
         .otherwise(qty_txt),
         "discount": F.when(key % 211 == 0, F.lit("1.50"))
-        .when(F.col("l_linenumber") % 2 == 0, F.regexp_replace(disc_txt, r"\.", ","))
+        .when(F.col("l_linenumber") % 2 == 0, F.translate(disc_txt, ".", ","))
         .otherwise(disc_txt),
         "profit": profit_txt,
         "shipping_cost": F.when(key % 307 == 0, F.lit("-1.00")).otherwise(ship_txt),
-        "margem_lucro": F.regexp_replace(_txt(margin), r"\.", ","),
+        "margem_lucro": F.translate(_txt(margin), ".", ","),
     }
 
 
