@@ -1,0 +1,146 @@
+"""Deciles, bands, global ranking, running totals and classifier metrics."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from lakemart.config import NOTEBOOK_BANDS, SCRIPT_BANDS
+from lakemart.operators import metrics, scoring
+from lakemart.operators.ranking import global_row_number, running_totals
+
+
+def scored(spark, scores):
+    data = [(f"c{i:04d}", s, float(i % 7), float(i)) for i, s in enumerate(scores)]
+    return spark.createDataFrame(data, "customer_name string, propensity_score double, ticket_medio double, "
+                                       "valor_total_gasto double")
+
+
+def pandas_deciles(scores):
+    s = pd.Series(scores)
+    try:
+        return list(pd.qcut(s, q=10, labels=False, duplicates="drop") + 1)
+    except ValueError:
+        return [None] * len(scores)
+
+
+@pytest.mark.parametrize("case", ["random", "ties", "few", "equal"])
+def test_deciles_match_pandas_qcut(spark, case):
+    rnd = random.Random(7)
+    scores = {
+        "random": [round(rnd.random(), 4) for _ in range(500)],
+        "ties": [round(rnd.choice([0.1, 0.2, 0.2, 0.5, 0.9, 0.9, 0.9]) + rnd.random() / 1e3, 4) for _ in range(300)]
+        + [0.2] * 100,
+        "few": [0.1, 0.3, 0.3, 0.7] * 20,
+        "equal": [0.5] * 40,
+    }[case]
+    out = scoring.add_deciles(scored(spark, scores)).orderBy("customer_name").collect()
+    got = [r["percentil_score"] for r in out]
+    exp = pandas_deciles(scores)
+    exp = [None if (e is None or (isinstance(e, float) and np.isnan(e))) else int(e) for e in exp]
+    assert got == exp
+
+
+def test_bands(spark):
+    df = scored(spark, [0.70, 0.6999, 0.40, 0.3999, 1.0, 0.0])
+    got = [r[SCRIPT_BANDS.column] for r in scoring.add_bands(df).orderBy("customer_name").collect()]
+    hi, mid, lo = SCRIPT_BANDS.labels
+    assert got == [hi, mid, mid, lo, hi, lo]
+    crm = scoring.add_bands(df, bands=NOTEBOOK_BANDS)
+    assert NOTEBOOK_BANDS.column in crm.columns
+
+
+def test_global_rank_with_hot_score(spark):
+    rnd = random.Random(3)
+    # a third of the customers share one score: ties broken by name
+    scores = [0.5 if i % 3 == 0 else round(rnd.random(), 4) for i in range(900)]
+    df = scored(spark, scores)
+    ranked = scoring.add_ranking(df).collect()
+    by_rank = sorted(ranked, key=lambda r: r["ranking"])
+    assert [r["ranking"] for r in by_rank] == list(range(1, 901))
+    expected = sorted(ranked, key=lambda r: (-r["propensity_score"], r["customer_name"]))
+    assert [r["customer_name"] for r in by_rank] == [r["customer_name"] for r in expected]
+
+
+def test_global_row_number_avoids_single_partition_window(spark):
+    df = spark.range(0, 2000).select(((F.col("id") * 7919) % 2000).alias("v"))
+    out = global_row_number(df, [F.col("v").asc()], "rn", num_partitions=5)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan.split("BroadcastExchange")[0]
+    assert sorted((r["v"], r["rn"]) for r in out.collect()) == [(i, i + 1) for i in range(2000)]
+
+
+def test_running_totals(spark):
+    rnd = random.Random(5)
+    data = [(i, rnd.randint(0, 9)) for i in range(1000)]
+    df = spark.createDataFrame(data, "k int, x int")
+    out = sorted((r["k"], r["cum_x"]) for r in running_totals(df, [F.col("k").asc()], ["x"], num_partitions=7).collect())
+    assert [c for _, c in out] == list(np.cumsum([x for _, x in data]))
+
+
+def test_top_k_and_band_summary(spark):
+    scores = [round(i / 100, 2) for i in range(100)]
+    df = scoring.add_bands(scored(spark, scores))
+    top = scoring.top_k(df, 10).orderBy("ranking").collect()
+    assert [r["propensity_score"] for r in top] == [round((99 - i) / 100, 2) for i in range(10)]
+    summ = {r[SCRIPT_BANDS.column]: r for r in scoring.band_summary(df).collect()}
+    hi, mid, lo = SCRIPT_BANDS.labels
+    assert (summ[hi]["total_clientes"], summ[mid]["total_clientes"], summ[lo]["total_clientes"]) == (30, 30, 40)
+    assert sum(r["pct_base"] for r in summ.values()) == pytest.approx(100.0)
+
+
+def brute_auc(labels, scores):
+    pos = [s for s, y in zip(scores, labels) if y == 1]
+    neg = [s for s, y in zip(scores, labels) if y == 0]
+    if not pos or not neg:
+        return None
+    won = sum(1.0 if p > n else 0.5 if p == n else 0.0 for p in pos for n in neg)
+    return won / (len(pos) * len(neg))
+
+
+@pytest.mark.parametrize("case", ["ties", "perfect", "inverted", "one_class"])
+def test_roc_auc_exact(spark, case):
+    rnd = random.Random(11)
+    if case == "ties":
+        ys = [rnd.randint(0, 1) for _ in range(300)]
+        ss = [round(rnd.random() * 0.5 + 0.3 * y, 1) for y in ys]
+    elif case == "perfect":
+        ys = [0] * 20 + [1] * 20
+        ss = [i / 40 for i in range(40)]
+    elif case == "inverted":
+        ys = [1] * 20 + [0] * 20
+        ss = [i / 40 for i in range(40)]
+    else:
+        ys = [1] * 10
+        ss = [0.5] * 10
+    df = spark.createDataFrame(list(zip(ys, ss)), "label int, score double")
+    got = metrics.roc_auc(df).first()["roc_auc"]
+    exp = brute_auc(ys, ss)
+    assert (got is None and exp is None) or got == pytest.approx(exp, abs=1e-12)
+
+
+def test_confusion_report_brier(spark):
+    ys = [0, 0, 0, 1, 1, 1, 1, 0]
+    ss = [0.1, 0.6, 0.4, 0.9, 0.8, 0.3, 0.51, 0.5]
+    df = metrics.predicted(spark.createDataFrame(list(zip(ys, ss)), "label int, score double"), "score")
+    cm = {(r["label"], r["prediction"]): r["n"] for r in metrics.confusion_matrix(df).collect()}
+    # 0.5 is not above the threshold
+    assert cm == {(0, 0): 3, (0, 1): 1, (1, 0): 1, (1, 1): 3}
+    rep = {r["classe"]: r for r in metrics.classification_report(df).collect()}
+    assert rep["1"]["precision"] == pytest.approx(0.75) and rep["1"]["recall"] == pytest.approx(0.75)
+    assert rep["accuracy"]["precision"] == pytest.approx(0.75) and rep["accuracy"]["support"] == 8
+    assert rep["macro avg"]["f1_score"] == pytest.approx(0.75)
+    brier = metrics.brier_score(df).first()["brier_score"]
+    assert brier == pytest.approx(np.mean([(s - y) ** 2 for s, y in zip(ss, ys)]))
+
+
+def test_report_with_one_predicted_class(spark):
+    df = spark.createDataFrame([(0, 0), (1, 0)], "label int, prediction int")
+    rep = {r["classe"]: r for r in metrics.classification_report(df).collect()}
+    assert rep["1"]["precision"] == 0.0 and rep["1"]["f1_score"] == 0.0
+    cm = metrics.confusion_matrix(df).collect()
+    assert len(cm) == 4
