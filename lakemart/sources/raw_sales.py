@@ -22,16 +22,23 @@ def read_sales_csv(
 ) -> DataFrame:
     """Scan raw order-line CSV files as they are: header row, all strings.
 
-    Without ``schema`` every column of the header is kept as a string (no
-    inference pass over the data). With a schema, columns bind by header name
-    (``enforceSchema`` off), so the column order of the file does not matter.
+    Every column of the header is read as a string (no inference pass over the
+    data). With ``schema``, its columns are then picked by header name, so the
+    column order of the file does not matter and extra columns are allowed; a
+    missing column is an error.
     """
-    reader = spark.read.option("header", "true").option("encoding", encoding)
+    df = (
+        spark.read.option("header", "true")
+        .option("inferSchema", "false")
+        .option("encoding", encoding)
+        .csv(path)
+    )
     if schema is None:
-        reader = reader.option("inferSchema", "false")
-    else:
-        reader = reader.schema(schema).option("enforceSchema", "false")
-    return reader.csv(path)
+        return df
+    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"sales file lacks columns {missing}")
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
 
 
 def with_lineage(df: DataFrame, source_file: Column | None = None) -> DataFrame:
@@ -46,7 +53,14 @@ def with_lineage(df: DataFrame, source_file: Column | None = None) -> DataFrame:
 
 def bronze_sales(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None) -> DataFrame:
     """``sales_raw``: the raw file unchanged plus lineage; nothing is dropped."""
-    return with_lineage(read_sales_csv(spark, path, schema))
+    df = read_sales_csv(spark, path)
+    df = with_lineage(df)
+    if schema is not None:
+        missing = [f.name for f in schema.fields if f.name not in df.columns]
+        if missing:
+            raise ValueError(f"sales file lacks columns {missing}")
+        df = df.select(*[f.name for f in schema.fields], LINEAGE_TIME, LINEAGE_FILE)
+    return df
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
