@@ -44,6 +44,22 @@ def feature_columns(spec: FeatureSpec) -> tuple[str, ...]:
     return FEATURE_COLUMNS_SCRIPT if spec.extended else FEATURE_COLUMNS_NOTEBOOK
 
 
+# A cutoff list is broadcast only when it has at most this many rows; every
+# sales line is copied once per cutoff it precedes, so the list is short by
+# nature (the published runs use one and four).
+MAX_BROADCAST_CUTOFFS = 10_000
+
+
+def small_side(cutoffs: DataFrame, limit: int = MAX_BROADCAST_CUTOFFS) -> DataFrame:
+    """The cutoff frame, marked for broadcast after checking its size.
+
+    Above ``limit`` rows the hint is withheld and Spark plans an ordinary
+    (non-broadcast) join.
+    """
+    n = cutoffs.limit(limit + 1).count()
+    return F.broadcast(cutoffs) if n <= limit else cutoffs
+
+
 def cutoff_frame(
     spark: SparkSession,
     cutoffs: Sequence[str | dt.date],
@@ -150,9 +166,7 @@ def customer_features_asof(
     ``(cutoff, customer_name)``; a cutoff with no history yields no rows.
     """
     sales = conform(sales)
-    history = sales.join(
-        F.broadcast(cutoffs.select("cutoff")), F.col("order_date") <= F.col("cutoff")
-    )
+    history = sales.join(small_side(cutoffs.select("cutoff")), F.col("order_date") <= F.col("cutoff"))
     keys = ["cutoff", "customer_name"]
     agg = history.groupBy(*keys).agg(*_aggregates(sales.columns, spec))
     agg = _with_modes(agg, history, keys, spec)

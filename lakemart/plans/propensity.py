@@ -1,9 +1,9 @@
 """End-to-end purchase propensity: features → labels → model → scores → ranking.
 
 Every stage stays a DataFrame; only the fitted trees and a handful of metric
-values reach the driver. The training frame is read several times (split,
-weights, fitting passes), so it is cut from its lineage once with a reliable
-checkpoint.
+values reach the driver. The sales input and the training frame are each read
+several times (features, labels, split, weights, fitting passes), so each is
+computed once and cut from its lineage with a reliable checkpoint.
 """
 
 from __future__ import annotations
@@ -55,6 +55,8 @@ def run_propensity(
     bands: BandSpec = SCRIPT_BANDS,
     cv: bool = True,
 ) -> PropensityResult:
+    # Read by the training features, the labels and the current features.
+    sales = materialize(sales)
     training = labels.training_set(sales, cutoffs, features, spec.label)
     trained = fit_on_training(training, spec, cv)
     current = customer_features_current(sales, features)

@@ -20,6 +20,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Remove checkpoint files once no DataFrame refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -88,11 +90,16 @@ def materialize(df: DataFrame) -> DataFrame:
     to write the checkpoint files); persisting first makes the write read the
     rows just computed. The cache is released once the files are written; the
     returned frame reads the checkpoint in ``spark.checkpoint.dir``, which
-    survives the loss of an executor.
+    survives the loss of an executor. A frame this function returned is
+    passed through unchanged.
     """
+    if getattr(df, "_lakemart_materialized", False):
+        return df
     ensure_checkpoint_dir(df.sparkSession)
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return cached.checkpoint(eager=True)
+        out = cached.checkpoint(eager=True)
     finally:
         cached.unpersist(blocking=False)
+    out._lakemart_materialized = True
+    return out
