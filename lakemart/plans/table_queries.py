@@ -77,7 +77,7 @@ def notebook_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_sales(d["ft_vendas"], d["dim_cliente"], d["dim_localizacao"], d["dim_produto"])
 
 
-def test_cutoffs(spark: SparkSession) -> DataFrame:
+def sample_cutoffs(spark: SparkSession) -> DataFrame:
     return feat.cutoff_frame(spark, TEST_CUTOFFS, TEST_HORIZON)
 
 
@@ -86,7 +86,7 @@ def _cutoff_text(df: DataFrame) -> DataFrame:
 
 
 def training(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return labels.training_set(script_sales(spark, sf_dir), test_cutoffs(spark), SCRIPT_FEATURES)
+    return labels.training_set(script_sales(spark, sf_dir), sample_cutoffs(spark), SCRIPT_FEATURES)
 
 
 def closed_form_score(customer: DataFrame) -> DataFrame:
@@ -182,7 +182,7 @@ def q_history_asof(spark, sf_dir):
 
 
 def q_buyers_in_window(spark, sf_dir):
-    return _cutoff_text(labels.buyers_in_window(script_sales(spark, sf_dir), test_cutoffs(spark)))
+    return _cutoff_text(labels.buyers_in_window(script_sales(spark, sf_dir), sample_cutoffs(spark)))
 
 
 def q_label_customers(spark, sf_dir):
@@ -190,7 +190,7 @@ def q_label_customers(spark, sf_dir):
 
 
 def q_customer_features(spark, sf_dir):
-    return _cutoff_text(feat.customer_features_asof(script_sales(spark, sf_dir), test_cutoffs(spark)))
+    return _cutoff_text(feat.customer_features_asof(script_sales(spark, sf_dir), sample_cutoffs(spark)))
 
 
 def q_customer_features_current(spark, sf_dir):
@@ -297,7 +297,7 @@ def q_feature_importance(spark, sf_dir):
 def q_propensity_pipeline(spark, sf_dir):
     from .propensity import run_propensity
 
-    result = run_propensity(script_sales(spark, sf_dir), test_cutoffs(spark), QUICK_MODEL, cv=False)
+    result = run_propensity(script_sales(spark, sf_dir), sample_cutoffs(spark), QUICK_MODEL, cv=False)
     return result.ranking
 
 

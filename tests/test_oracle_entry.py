@@ -63,7 +63,7 @@ def test_query_matches_oracle(spark, duck, name):
 @needs_data
 def test_expected_counts_of_the_mapping(spark):
     """FIXTURES F5: counts of the dirty mapping at sf0.001."""
-    from lakemart.plans import test_tables as tt
+    from lakemart.plans import table_queries as tt
 
     ds = tt.datasets(spark, SF_SMALL)
     assert ds["sales_cleaned_view"].count() == 5942
