@@ -190,7 +190,7 @@ cutoffs AS (
 
 
 def features_cte(name: str, sales: str, extended: bool, default_seg: str, default_mkt: str,
-                 with_cutoffs: bool) -> str:
+                 with_cutoffs: bool, integer_quantity: bool = False) -> str:
     """Per-customer features; ``with_cutoffs`` pairs lines with each cutoff they precede."""
     if with_cutoffs:
         hist = f"SELECT s.*, k.cutoff AS ref FROM {sales} s JOIN cutoffs k ON s.order_date <= k.cutoff"
@@ -227,7 +227,7 @@ def features_cte(name: str, sales: str, extended: bool, default_seg: str, defaul
          max(order_date) AS last_d, min(order_date) AS first_d,
          count(DISTINCT order_id) AS frequencia_pedidos,
          coalesce({units_sum("sales")}, 0.0) AS value,
-         coalesce(sum(quantity), 0) AS quantidade_itens,
+         {"CAST(coalesce(sum(quantity), 0) AS BIGINT)" if integer_quantity else "coalesce(sum(quantity), 0)"} AS quantidade_itens,
          coalesce({units_sum("profit")}, 0.0) AS profit_sum,
          {units_sum("discount")} / count(discount) AS disc,
          {units_sum("margem_lucro")} / count(margem_lucro) AS margin,
@@ -402,7 +402,7 @@ _FEATURE_COLS = (
     "data_primeira_compra, data_ultima_compra"
 )
 
-_NB_FEATS = features_cte("nb_feats", "nb_sales", False, "Consumer", "Global", True).replace(
+_NB_FEATS = features_cte("nb_feats", "nb_sales", False, "Consumer", "Global", True, integer_quantity=True).replace(
     "JOIN cutoffs k", "JOIN nb_cutoffs k"
 )
 
