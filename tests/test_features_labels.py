@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from lakemart.config import NOTEBOOK_FEATURES, SCRIPT_FEATURES
+from lakemart.config import NOTEBOOK_FEATURES
 from lakemart.operators import features as feat
 from lakemart.operators import labels
 
