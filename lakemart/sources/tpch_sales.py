@@ -7,10 +7,13 @@ values injected by fixed key rules (quotes, decimal commas, text that is not a
 number, negative amounts, NULL keys, a second product name that fans out the
 product dimension). The same rules are written in DuckDB SQL for the oracle.
 
-Scale: ``lineitem`` joins ``orders`` on the order key and ``part`` on the part
-key (both large: shuffled joins chosen by AQE at run time); ``customer`` joins
-``orders`` on the customer key. Only ``nation`` and ``region`` are broadcast:
-TPC-H fixes them at 25 and 5 rows at every scale factor.
+Scale: ``lineitem`` joins ``orders`` on the order key as a sort-merge join
+(both are fact-scale; the hint keeps AQE from broadcasting orders on small
+inputs, so the rest of the mapping runs at shuffle parallelism rather than in
+the scan's tasks). ``customer`` (on the customer key) and ``part`` (on the
+part key) are joined with whatever AQE measures best. Only ``nation`` and
+``region`` are broadcast explicitly: TPC-H fixes them at 25 and 5 rows at
+every scale factor.
 """
 
 from __future__ import annotations
@@ -86,7 +89,9 @@ def raw_sales_from_tables(tables: dict[str, DataFrame], with_dirt: bool = True)
         "l_extendedprice", "l_discount", "l_tax", "l_linestatus", "l_shipdate",
         F.col("_metadata.file_name").alias("_source_file"),
     )
-    orders = tables["orders"].select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    # lineitem and orders are both fact-scale: join them by shuffling both on the
+    # order key (sort-merge), never by broadcasting orders.
+    orders = tables["orders"].select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority").hint("merge")
     geo = tables["nation"].join(
         F.broadcast(tables["region"]), F.col("n_regionkey") == F.col("r_regionkey")
     ).select("n_nationkey", "n_name", "r_name")
