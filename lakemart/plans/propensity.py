@@ -8,6 +8,7 @@ computed once and cut from its lineage with a reliable checkpoint.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -38,6 +39,21 @@ def fit_on_training(training: DataFrame, spec: ModelSpec, cv: bool = True) -> mo
     return model.train(pinned, spec, TRAINING_KEY, cv=cv)
 
 
+def warn_censored(sales: DataFrame, cutoffs: DataFrame) -> list[str]:
+    """Warn about cutoffs whose label window ends after the last order date.
+
+    Their labels are biased towards 0 (the window is not fully observed). The
+    check collects one row per cutoff, a list the caller wrote by hand.
+    """
+    rows = labels.censored_cutoffs(sales, cutoffs).filter(F.col("censored")).select(
+        F.date_format("cutoff", "yyyy-MM-dd").alias("c")
+    ).collect()
+    late = [r["c"] for r in rows]
+    if late:
+        warnings.warn(f"label windows of cutoffs {late} run past the last order date", stacklevel=2)
+    return late
+
+
 def evaluate(predictions: DataFrame, label: str) -> dict[str, DataFrame]:
     return {
         "roc_auc": metrics.roc_auc(predictions, label, "score"),
@@ -57,6 +73,7 @@ def run_propensity(
 ) -> PropensityResult:
     # Read by the training features, the labels and the current features.
     sales = materialize(sales)
+    warn_censored(sales, cutoffs)
     training = labels.training_set(sales, cutoffs, features, spec.label)
     trained = fit_on_training(training, spec, cv)
     current = customer_features_current(sales, features)

@@ -147,3 +147,13 @@ def test_multi_cutoff_is_one_aggregate(spark):
     assert list(per_cutoff.values()) == [3, 3, 3]
     plan = t._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastNestedLoopJoin" in plan or "BroadcastExchange" in plan
+
+
+def test_propensity_run_warns_about_censored_cutoffs(spark):
+    from lakemart.plans.propensity import warn_censored
+
+    data = [("o1", "a", d("2020-01-01"), 1.0, 1.0, 0.0, 0.0, 0.0, "A", "a", "p", "S", "M"),
+            ("o2", "a", d("2020-03-01"), 1.0, 1.0, 0.0, 0.0, 0.0, "A", "a", "p", "S", "M")]
+    cutoffs = feat.cutoff_frame(spark, ["2020-01-15", "2020-02-15"], 30)
+    with pytest.warns(UserWarning, match="2020-02-15"):
+        assert warn_censored(sales_frame(spark, data), cutoffs) == ["2020-02-15"]
