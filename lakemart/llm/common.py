@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
@@ -51,7 +52,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = 4_000_000)
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
         start = total = 0
         for i, n in enumerate(sizes):
             if i > start and total + n > limit:

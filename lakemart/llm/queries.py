@@ -7,21 +7,64 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents
+from . import chat, pii
+from .common import documents, prepare
 from .exact_dedup import exact_dedup
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one that holds control strings, rendered and read back."""
+    turns = prepare(spark).read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    tricky = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    return chat.conversation_digests(chat.format_conversations(turns.unionByName(tricky)))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies of a text: the row with the largest id stays."""
     docs = documents(spark, sf_dir)
     return exact_dedup(docs, per_text={"text_sha256": F.sha2(F.col("text"), 256)})
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text."""
+    found = pii.find_pii(documents(spark, sf_dir))
+    counts = [pii.number_of("spans", k).alias(f"n_{k}") for k in pii.BASE]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.joined("spans", pii.BASE), 256).alias("base_sha256"),
+        pii.joined("spans", pii.KINDS).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op8_chat_format": op8_chat_format,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_pii": op10_pii,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op8_chat_format": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ), sized AS (
+            SELECT *,
+                   length(replace(text, '\', '\\')) + len(regexp_extract_all(text, '<\||<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>'))
+                   + length(replace(role, '\', '\\')) + len(regexp_extract_all(role, '<\||<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>'))
+                   + length('<|turn|><|text|><|end|>') AS chars
+            FROM turns
+        )
+        SELECT conv_id,
+               count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(chars) AS BIGINT) AS formatted_chars
+        FROM sized GROUP BY conv_id
+    """,
     "op9_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER w AS keep_id,
