@@ -204,7 +204,9 @@ def exact_dedup(
         *(F.max(k).alias(k) for k in extra),
     )
     return (
-        stored.select(cls, F.explode(members).alias(id_col))
-        .join(totals, cls)
-        .select(id_col, "keep_id", "group_size", F.col(id_col).eqNullSafe(F.col("keep_id")).alias("kept"), *extra)
+        stored.select(cls, members)
+        .join(totals, cls)  # before members are spread out: a group has few rows here
+        .select(F.explode(members).alias(id_col), "keep_id", "group_size", *extra)
+        .withColumn("kept", F.col(id_col).eqNullSafe(F.col("keep_id")))
+        .select(id_col, "keep_id", "group_size", "kept", *extra)
     )
