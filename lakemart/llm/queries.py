@@ -4,14 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, pii
+from . import bpe, chat, pii
 from .common import documents, prepare
 from .exact_dedup import exact_dedup
 
 
+BYTE_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded, and decoded again."""
+    coded = bpe.encode(documents(spark, sf_dir), BYTE_BPE, public_tokenizers.PATTERN)
+    return bpe.decode(coded, BYTE_BPE).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one that holds control strings, rendered and read back."""
     turns = prepare(spark).read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
@@ -39,6 +54,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe": op1_bpe,
     "op8_chat_format": op8_chat_format,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_pii": op10_pii,
