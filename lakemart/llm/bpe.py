@@ -42,7 +42,7 @@ MATRIX_CELLS = 2_000_000
 CACHE_WORDS = 300_000
 
 #: Unicode white space, as the split pattern's engine understands it.
-_SPACE = r"\t-\r \x85\xa0  -     　"
+_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _SPACED = re.compile(rf"[{_SPACE}] ")
 _BEFORE_SPACE = re.compile(rf"(?<=[^{_SPACE}])(?= )")
 
