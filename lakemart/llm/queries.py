@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, pii, quality_rules
+from . import bpe, chat, packing, pii, quality_rules
 from .common import documents, prepare
 from .exact_dedup import exact_dedup
 
 
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -36,6 +37,16 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *counts, "base_failed", "kept")
 
 
+def packed_documents(docs: DataFrame) -> DataFrame:
+    """All texts of ``docs`` as token pieces in sequences of 4096."""
+    pieces = packing.tokenize_pieces(docs, WORD_BPE)
+    return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_documents(documents(spark, sf_dir))
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one that holds control strings, rendered and read back."""
     turns = prepare(spark).read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
@@ -65,6 +76,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality_rules": op2_quality_rules,
+    "op4_packing": op4_packing,
     "op8_chat_format": op8_chat_format,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_pii": op10_pii,
