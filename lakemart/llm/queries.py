@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, packing, pii, quality_rules
+from . import bpe, chat, minhash, packing, pii, quality_rules
 from .common import documents, prepare
 from .exact_dedup import exact_dedup
 
@@ -47,6 +47,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(documents(spark, sf_dir))
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near copies of five-word shingles, similarity 0.85 or more."""
+    return minhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one that holds control strings, rendered and read back."""
     turns = prepare(spark).read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality_rules": op2_quality_rules,
     "op4_packing": op4_packing,
+    "op5_minhash": op5_minhash,
     "op8_chat_format": op8_chat_format,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_pii": op10_pii,
