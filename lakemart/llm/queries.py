@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, minhash, packing, pii, quality_rules
+from . import bpe, chat, cotraining, minhash, packing, pii, quality_rules, toxicity
 from .common import documents, prepare
 from .exact_dedup import exact_dedup
 
@@ -37,6 +37,22 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *counts, "base_failed", "kept")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text; a quarter of the ids teaches nothing."""
+    docs = documents(spark, sf_dir)
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), ~held_out)
+    scored = toxicity.score_texts(docs, model)
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",").alias("spans"),
+    )
+
+
 def packed_documents(docs: DataFrame) -> DataFrame:
     """All texts of ``docs`` as token pieces in sequences of 4096."""
     pieces = packing.tokenize_pieces(docs, WORD_BPE)
@@ -52,6 +68,12 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op6_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document from its content and its metadata."""
+    docs = documents(spark, sf_dir)
+    return cotraining.score(docs, cotraining.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one that holds control strings, rendered and read back."""
     turns = prepare(spark).read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
@@ -81,8 +103,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality_rules": op2_quality_rules,
+    "op3_toxicity": op3_toxicity,
     "op4_packing": op4_packing,
     "op5_minhash": op5_minhash,
+    "op6_cotraining": op6_cotraining,
     "op8_chat_format": op8_chat_format,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_pii": op10_pii,
