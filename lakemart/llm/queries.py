@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, cotraining, minhash, packing, pii, quality_rules, toxicity
+from . import bpe, chat, cotraining, minhash, packing, pii, quality_rules, suffix_dedup, toxicity
 from .common import documents, prepare
 from .exact_dedup import exact_dedup
 
@@ -74,6 +74,12 @@ def op6_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cotraining.score(docs, cotraining.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of 200-byte strings that occur more than once are removed."""
+    done = suffix_dedup.remove_repeats(documents(spark, sf_dir), per_text={"kept_sha256": F.sha2("kept", 256)})
+    return done.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one that holds control strings, rendered and read back."""
     turns = prepare(spark).read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
@@ -107,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op5_minhash": op5_minhash,
     "op6_cotraining": op6_cotraining,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_chat_format": op8_chat_format,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_pii": op10_pii,
