@@ -224,3 +224,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         ids = ids.withColumn("component", F.col("node"))
     component = F.when(F.col(id_col).isNotNull(), F.coalesce("component", "node", id_col))
     return ids.select(id_col, "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
+
+
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
+    """The rows of ``docs`` without the near copies of a document with a smaller id; null ids stay."""
+    linked = near_duplicates(docs, id_col, text_col, percent)
+    dropped = store(linked.filter(~F.col("kept")).select(id_col).distinct())
+    if dropped.count() <= BROADCAST_KEYS:
+        dropped = F.broadcast(dropped)
+    return docs.join(dropped, id_col, "left_anti").select(*docs.columns)
