@@ -43,7 +43,11 @@ END_ID = 1
 CLASSES = 256
 ROUNDS = 2000
 EPSILON = 0.2
-CACHE_PIECES = 300_000
+#: Entries of a worker's caches: pieces as they stand, and words without punctuation.
+CACHE_PIECES = 250_000
+CACHE_WORDS = 500_000
+RUN_WORDS = 1000
+_TAIL = ".,;:!?*#$%&|)]}\""
 
 
 # --- tokens ---------------------------------------------------------------------
@@ -53,7 +57,9 @@ class WordTokenizer:
     """Whole-text ids of a public tokenizer that drops white space, piece by piece from a cache.
 
     Normalization and splitting of that tokenizer never look across a space or
-    a line end, so a text's ids are those of its pieces in order.
+    a line end, so a text's ids are those of its pieces in order. Nor does a
+    token span letters and punctuation: a word is encoded once for all the
+    punctuation marks that may follow it.
     """
 
     def __init__(self, path: str):
@@ -62,17 +68,50 @@ class WordTokenizer:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
+        self.ends = np.zeros(self.library.get_vocab_size(), bool)  # tokens that end a word
+        for token, i in self.library.get_vocab().items():
+            self.ends[i] = token.endswith("</w>")
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def learn(self, words: list[str]) -> None:
+        """Remember ids of words; letters-only words are encoded many at a time and cut at word ends."""
+        single = [w for w in words if not w.isalpha()]
+        letters = [w for w in words if w.isalpha()]
+        runs = [letters[i : i + RUN_WORDS] for i in range(0, len(letters), RUN_WORDS)]
+        for run, made in zip(runs, self.library.encode_batch_fast([" ".join(r) for r in runs], add_special_tokens=False)):
+            ids = np.array(made.ids, "<u4")
+            ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(ends) != len(run):  # a letter was normalized to something else
+                single += run
+                continue
+            data = ids.tobytes()
+            for word, a, b in zip(run, [0, *ends], ends):
+                self.words[word] = data[4 * a : 4 * b]
+        for word, made in zip(single, self.library.encode_batch_fast(single, add_special_tokens=False)):
+            self.words[word] = np.array(made.ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids (little-endian 32-bit) of each text."""
         if len(self.known) > CACHE_PIECES:
             self.known = {}
+        if len(self.words) > CACHE_WORDS:
+            self.words = {}
         cut = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list(set().union(*cut).difference(self.known))
-        for piece, made in zip(new, self.library.encode_batch(new, add_special_tokens=False)):
-            self.known[piece] = np.array(made.ids, "<u4").tobytes()
-        known = self.known
+        parts, new = [], set()
+        for piece in set().union(*cut).difference(self.known):
+            word = piece.rstrip(_TAIL)
+            if not word.isalpha():
+                word = piece
+            tail = piece[len(word) :]
+            if word.isascii():
+                word = word.lower()
+            parts.append((piece, word, tail))
+            new.update((word, tail))
+        self.learn(list(new.difference(self.words)))
+        known, words = self.known, self.words
+        for piece, word, tail in parts:
+            known[piece] = words[word] + words[tail]
         return [b"".join([known[p] for p in pieces]) for pieces in cut]
 
 

@@ -23,7 +23,7 @@ def library():
     return t
 
 
-PIECES = st.sampled_from([" ", "\n", "\t", "\x1c", "\x85", "́", "e", "É", "İ", "Σ", "漢", "🙂", "'ll", "1", "12", "!!", "<|endoftext|>", "word", "́\ń"])
+PIECES = st.sampled_from([" ", "\n", "\t", "\x1c", "\x85", "́", "e", "É", "İ", "Σ", "漢", "🙂", "'ll", "1", "12", "!!", "<|endoftext|>", "word", "Word", "Straße", ".", ",", "%%%", "\"", "\u0338", "<", "²", "́\ń"])
 
 
 @settings(max_examples=400, deadline=None)
