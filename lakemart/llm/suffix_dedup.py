@@ -48,7 +48,7 @@ LENGTH = 200
 #: Occurrences beyond which an anchor's suffixes are dealt out by content.
 HOT = 4000
 #: Bytes of suffixes that a task sorts into one run.
-RUN_BYTES = 32_000_000
+RUN_BYTES = 16_000_000
 
 _BITS = 20
 _BLOCK = 1 << _BITS
@@ -366,9 +366,10 @@ def _sorted_runs(length: int, targets: int):
                 anchors, firsts, lasts = segments(data, length)
                 keep = np.isin(anchors, wanted.values.to_numpy())
                 is_hot = np.isin(anchors[keep], hot.values.to_numpy())
-                for anchor, first, last, h in zip(anchors[keep].tolist(), firsts[keep].tolist(), lasts[keep].tolist(), is_hot.tolist()):
+                # anchors are the least of their neighbours: mixed again, they spread evenly over the targets
+                places = _mixed(anchors[keep].view(np.uint64) ^ np.uint64(_BASE)).tolist()
+                for place, first, last, h in zip(places, firsts[keep].tolist(), lasts[keep].tolist(), is_hot.tolist()):
                     body = data[first : last + length]
-                    place = anchor % (1 << 64)
                     target = zlib.crc32(body) % targets if h else place * targets >> 64
                     entries.append((target, place.to_bytes(8, "big") + body, copies, h, (key, len(data), first)))
                     held += len(body) + 200
