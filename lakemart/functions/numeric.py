@@ -29,17 +29,30 @@ def pct(part: Column, total: Column, scale: int = 1) -> Column:
     return round_half_even(F.try_divide(part * F.lit(100.0), total), scale)
 
 
-def exact_sum(c: Column, scale: int = 6) -> Column:
-    """Exact sum of a double column, in units of ``10**-scale``.
-
-    Each value is quantized to ``scale`` decimals and summed as DECIMAL(38,0)
-    (plain long additions while the total fits in 18 digits, no overflow up to
-    38). The result does not depend on the order in which partitions are
-    combined; a double sum does, and at a rounding tie that decides the
-    published digit. Turn it back with ``units_to_double``.
+#: From this size on, values are added as doubles.
+WIDE = 1e19
+
+
+def exact_sum(c: Column, as_double: bool = True) -> Column:
+    """Sum of a double column that does not depend on the order of addition.
+
+    Each value is taken at its shortest decimal form with up to 18 decimals, so
+    sums have no binary rounding before the end. Infinite sums, and values of
+    1e19 and beyond, which such decimals can't hold, are added as doubles. NaN
+    counts as NULL. With ``as_double=False`` the result is the decimal sum, for
+    adding up partial sums (the caller then looks after values beyond ``WIDE``).
     """
+    clean = F.nanvl(c.cast("double"), F.lit(None).cast("double"))
+    total = F.sum(clean.try_cast("decimal(38,18)"))
+    if not as_double:
+        return total
+    return F.when(F.max(F.abs(clean)) >= WIDE, F.sum(clean)).otherwise(total.cast("double"))
+
+
+def scaled_sum(c: Column, scale: int) -> Column:
+    """Exact sum, in units of ``10**-scale``, of values already rounded to ``scale`` decimals."""
     return F.sum(F.round(c * F.lit(float(10**scale))).cast("decimal(38,0)"))
 
 
-def units_to_double(c: Column, scale: int = 6) -> Column:
+def units_to_double(c: Column, scale: int) -> Column:
     return c.cast("double") / F.lit(float(10**scale))

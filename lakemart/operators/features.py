@@ -1,15 +1,19 @@
 """Per-customer recency / frequency / value features at one or many cutoffs.
 
 The reference loops over customers in Python, and over cutoffs around that.
-Here both loops are one aggregate: sales lines are paired with every cutoff
-they precede (a join against the small, broadcast cutoff list: a bounded
-expansion of at most ``len(cutoffs)`` copies per line), then grouped by
-``(cutoff, customer_name)``. Distinct counts, sums, means, min/max dates and
-min/max dates come from one ``groupBy().agg()``, the modal segment and market
-from two small count aggregates joined back on the same keys; all of them
-combine partially before the shuffle, so a customer holding a third
-of the lines does not put a third of the lines into one task. Sums and means
-are exact (``exact_sum``), so the rounded features do not depend on how the
+Here no line is ever copied per cutoff. Each line belongs to one bucket, that
+of the first cutoff on or after its date (an equi-join with the calendar days
+between the cutoffs); lines are aggregated per ``(customer, bucket)``, and a
+customer's features at a cutoff are running totals over the buckets up to it.
+Distinct counts come from the first bucket in which a value appears, modes
+from the running count of each value. A row of running totals then stands for
+every cutoff up to the customer's next bucket. The number of cutoffs thus only
+affects the size of the result.
+
+All aggregates combine partially before the shuffle, and the windows see one
+row per customer, bucket and distinct value, so a customer holding a third of
+the lines does not put a third of the lines into one task. Sums and means are
+exact (``exact_sum``), so the rounded features do not depend on how the
 partitions were combined.
 
 ``customer_features_current`` uses the latest order date in the data as the
@@ -21,11 +25,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import SCRIPT_FEATURES, FeatureSpec
-from ..functions.numeric import exact_sum, round_half_even, safe_ratio, units_to_double
+from ..functions.numeric import WIDE, exact_sum, round_half_even, safe_ratio
 from ..schemas import CUTOFF_SCHEMA
 
 FEATURE_COLUMNS_SCRIPT = (
@@ -44,22 +48,6 @@ def feature_columns(spec: FeatureSpec) -> tuple[str, ...]:
     return FEATURE_COLUMNS_SCRIPT if spec.extended else FEATURE_COLUMNS_NOTEBOOK
 
 
-# A cutoff list is broadcast only when it has at most this many rows; every
-# sales line is copied once per cutoff it precedes, so the list is short by
-# nature (the published runs use one and four).
-MAX_BROADCAST_CUTOFFS = 10_000
-
-
-def small_side(cutoffs: DataFrame, limit: int = MAX_BROADCAST_CUTOFFS) -> DataFrame:
-    """The cutoff frame, marked for broadcast after checking its size.
-
-    Above ``limit`` rows the hint is withheld and Spark plans an ordinary
-    (non-broadcast) join.
-    """
-    n = cutoffs.limit(limit + 1).count()
-    return F.broadcast(cutoffs) if n <= limit else cutoffs
-
-
 def cutoff_frame(
     spark: SparkSession,
     cutoffs: Sequence[str | dt.date],
@@ -88,12 +76,6 @@ def conform(sales: DataFrame) -> DataFrame:
     return with_order_date(sales).filter(F.col("customer_name").isNotNull())
 
 
-def _distinct_or(cols: Sequence[str], name: str, default: int) -> Column:
-    if name in cols:
-        return F.count_distinct(name)
-    return F.lit(default).cast("long")
-
-
 def modal_value(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     """Most frequent non-NULL ``column`` per ``keys``; ties go to the smallest value.
 
@@ -119,24 +101,43 @@ def _with_modes(agg: DataFrame, rows: DataFrame, keys: Sequence[str], spec: Feat
     return out
 
 
+def _means(agg: DataFrame) -> DataFrame:
+    """Sums and counts to the value columns that ``_finish`` rounds."""
+    return agg.withColumns(
+        {
+            "_value": F.coalesce("_sales", F.lit(0.0)),
+            "_profit": F.coalesce("_profit", F.lit(0.0)),
+            "_discount": F.try_divide("_discount", "_n_discount"),
+            "_margin": F.try_divide("_margin", "_n_margin"),
+        }
+    )
+
+
+def _distincts(cols: Sequence[str], spec: FeatureSpec) -> dict[str, tuple[str, int | None]]:
+    """Distinct-count feature: its column, and the constant used where the column is absent."""
+    wanted = {"frequencia_pedidos": ("order_id", None), "qtd_categorias_distintas": ("category", spec.default_category_count)}
+    if spec.extended:
+        wanted |= {"qtd_subcategorias_distintas": ("sub_category", spec.default_category_count), "qtd_produtos_distintos": ("product_id", 1)}
+    return {f: (c, None if c in cols else d) for f, (c, d) in wanted.items()}
+
+
 def _aggregates(cols: Sequence[str], spec: FeatureSpec) -> list[Column]:
-    aggs = [
+    counts = [
+        (F.count_distinct(c) if default is None else F.lit(default).cast("long")).alias(f)
+        for f, (c, default) in _distincts(cols, spec).items()
+    ]
+    return [
         F.max("order_date").alias("_last"),
         F.min("order_date").alias("_first"),
-        F.count_distinct("order_id").alias("frequencia_pedidos"),
-        F.coalesce(units_to_double(exact_sum(F.col("sales"))), F.lit(0.0)).alias("_value"),
+        exact_sum(F.col("sales")).alias("_sales"),
         F.coalesce(F.sum("quantity"), F.lit(0)).alias("quantidade_itens"),
-        F.coalesce(units_to_double(exact_sum(F.col("profit"))), F.lit(0.0)).alias("_profit"),
-        (units_to_double(exact_sum(F.col("discount"))) / F.count("discount")).alias("_discount"),
-        (units_to_double(exact_sum(F.col("margem_lucro"))) / F.count("margem_lucro")).alias("_margin"),
-        _distinct_or(cols, "category", spec.default_category_count).alias("qtd_categorias_distintas"),
+        exact_sum(F.col("profit")).alias("_profit"),
+        exact_sum(F.col("discount")).alias("_discount"),
+        F.count("discount").alias("_n_discount"),
+        exact_sum(F.col("margem_lucro")).alias("_margin"),
+        F.count("margem_lucro").alias("_n_margin"),
+        *counts,
     ]
-    if spec.extended:
-        aggs += [
-            _distinct_or(cols, "sub_category", spec.default_category_count).alias("qtd_subcategorias_distintas"),
-            _distinct_or(cols, "product_id", 1).alias("qtd_produtos_distintos"),
-        ]
-    return aggs
 
 
 def _finish(agg: DataFrame, ref: Column, spec: FeatureSpec, lead: Sequence[Column]) -> DataFrame:
@@ -157,6 +158,107 @@ def _finish(agg: DataFrame, ref: Column, spec: FeatureSpec, lead: Sequence[Colum
     return agg.select(*lead, *cols)
 
 
+def with_bucket(sales: DataFrame, cutoffs: DataFrame) -> DataFrame:
+    """``_bucket``: number (from 1) of the first cutoff on or after the order date.
+
+    Lines after the last cutoff get the number of cutoffs plus 1. The lookup
+    holds one row per calendar day between the first and the last cutoff.
+    """
+    in_order = Window.orderBy("cutoff")  # over the caller's list of cutoffs
+    numbered = cutoffs.select("cutoff").distinct().select(
+        "cutoff", F.row_number().over(in_order).alias("_bucket"), F.lag("cutoff").over(in_order).alias("_before")
+    )
+    days = numbered.filter(F.col("_before").isNotNull()).select(
+        F.explode(F.sequence(F.date_add("_before", 1), F.col("cutoff"))).alias("order_date"), "_bucket"
+    )
+    ends = numbered.agg(F.min("cutoff").alias("_low"), F.max("cutoff").alias("_high"), F.count(F.lit(1)).alias("_beyond"))
+    return (
+        sales.crossJoin(F.broadcast(ends))  # one row
+        .join(days, "order_date", "left")
+        .withColumn(
+            "_bucket",
+            F.when(F.col("order_date") <= F.col("_low"), F.lit(1))
+            .when(F.col("order_date") > F.col("_high"), (F.col("_beyond") + 1).cast("int"))
+            .otherwise(F.col("_bucket")),
+        )
+        .drop("_low", "_high", "_beyond")
+    )
+
+
+def _values(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``customer_name, _column, _value, _bucket, _n``: lines of each non-NULL value of each column."""
+    pairs = [F.struct(F.lit(c).alias("_column"), F.col(c).cast("string").alias("_value")) for c in columns]
+    long = lines.select("customer_name", "_bucket", F.explode(F.array(*pairs)).alias("_pair")).select("customer_name", "_bucket", "_pair.*")
+    return long.filter(F.col("_value").isNotNull()).groupBy("customer_name", "_column", "_value", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+
+
+def bucket_totals(sales: DataFrame, cutoffs: DataFrame, spec: FeatureSpec = SCRIPT_FEATURES) -> DataFrame:
+    """Running totals per customer and bucket, and the date of the customer's next order after it."""
+    lines = with_bucket(conform(sales), cutoffs)
+    keys = ["customer_name", "_bucket"]
+    distinct = {f: c for f, (c, default) in _distincts(sales.columns, spec).items() if default is None}
+    modes = [c for c in ("segment", "market") if c in sales.columns]
+    sums = lines.groupBy(*keys).agg(
+        F.max("order_date").alias("_last"),
+        F.min("order_date").alias("_first"),
+        *(exact_sum(F.col(c), as_double=False).alias(n) for c, n in _SUMS.items()),
+        *(F.struct(F.max(F.abs(c)).alias("most"), F.sum(c).alias("total")).alias(f"{n}_wide") for c, n in _SUMS.items()),
+        F.coalesce(F.sum("quantity"), F.lit(0)).alias("quantidade_itens"),
+        F.count("discount").alias("_n_discount"),
+        F.count("margem_lucro").alias("_n_margin"),
+    )
+    values = _values(lines, list(dict.fromkeys([*distinct.values(), *modes])))
+    of_value = Window.partitionBy("customer_name", "_column", "_value").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
+    seen = values.select(*keys, "_column", "_value", F.sum("_n").over(of_value).alias("_seen"), F.row_number().over(of_value).alias("_nth"))
+    new = seen.groupBy(*keys).agg(*(F.count_if((F.col("_column") == c) & (F.col("_nth") == 1)).alias(f) for f, c in distinct.items()))
+    out = sums.join(new, keys, "left")
+    # the most frequent value so far: running counts only grow, so the best row up to a bucket names it
+    so_far = Window.partitionBy("customer_name").orderBy("_bucket").rangeBetween(Window.unboundedPreceding, 0)
+    best = [F.min(F.when(F.col("_column") == c, F.struct((-F.col("_seen")).alias("n"), F.col("_value").alias("v")))).over(so_far).alias(c) for c in modes]
+    if modes:
+        leaders = seen.select(*keys, *best).groupBy(*keys).agg(*(F.min(f"{c}.v").alias(c) for c in modes))
+        out = out.join(leaders, keys, "left")
+    running = Window.partitionBy("customer_name").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy("customer_name").orderBy("_bucket")
+    return out.select(
+        *keys,
+        F.max("_last").over(running).alias("_last"),
+        F.min("_first").over(running).alias("_first"),
+        *(
+            F.when(F.max(f"{n}_wide.most").over(running) >= WIDE, F.sum(f"{n}_wide.total").over(running))
+            .otherwise(F.sum(n).over(running).cast("double"))
+            .alias(n)
+            for n in _SUMS.values()
+        ),
+        *(F.sum(n).over(running).alias(n) for n in ("quantidade_itens", "_n_discount", "_n_margin")),
+        *(F.sum(F.coalesce(f, F.lit(0))).over(running).alias(f) for f in distinct),
+        *(F.last(c, ignorenulls=True).over(running).alias(c) for c in modes),
+        F.lead("_bucket").over(order).alias("_next_bucket"),
+        F.lead("_first").over(order).alias("_next_order"),
+    )
+
+
+_SUMS = {"sales": "_sales", "profit": "_profit", "discount": "_discount", "margem_lucro": "_margin"}
+
+
+def at_cutoffs(totals: DataFrame, cutoffs: DataFrame) -> DataFrame:
+    """One row per customer and cutoff with history: the totals of the customer's last bucket up to it."""
+    numbered = cutoffs.select("cutoff", "horizon_days").distinct().select(
+        "cutoff", "horizon_days", F.row_number().over(Window.orderBy("cutoff")).alias("_number")
+    )
+    count = numbered.agg(F.count(F.lit(1)).cast("int").alias("_cutoffs"))
+    spread = totals.crossJoin(F.broadcast(count)).filter(F.col("_bucket") <= F.col("_cutoffs"))
+    until = F.least(F.coalesce(F.col("_next_bucket") - 1, F.col("_cutoffs")), F.col("_cutoffs"))
+    return spread.withColumn("_number", F.explode(F.sequence("_bucket", until))).join(numbered, "_number")
+
+
+def _features_at(rows: DataFrame, columns: Sequence[str], spec: FeatureSpec, more: Sequence[Column] = ()) -> DataFrame:
+    constants = {f: F.lit(d).cast("long") for f, (_, d) in _distincts(columns, spec).items() if d is not None}
+    for column, default in (("segment", spec.default_segment), ("market", spec.default_market)):
+        constants[column] = F.coalesce(column, F.lit(default)) if column in columns else F.lit(default)
+    return _finish(_means(rows.withColumns(constants)), F.col("cutoff"), spec, [F.col("cutoff"), *more])
+
+
 def customer_features_asof(
     sales: DataFrame, cutoffs: DataFrame, spec: FeatureSpec = SCRIPT_FEATURES
 ) -> DataFrame:
@@ -165,19 +267,16 @@ def customer_features_asof(
     Output: ``cutoff`` (DATE) followed by the feature columns; one row per
     ``(cutoff, customer_name)``; a cutoff with no history yields no rows.
     """
-    sales = conform(sales)
-    history = sales.join(small_side(cutoffs.select("cutoff")), F.col("order_date") <= F.col("cutoff"))
-    keys = ["cutoff", "customer_name"]
-    agg = history.groupBy(*keys).agg(*_aggregates(sales.columns, spec))
-    agg = _with_modes(agg, history, keys, spec)
-    return _finish(agg, F.col("cutoff"), spec, [F.col("cutoff")])
+    if "horizon_days" not in cutoffs.columns:
+        cutoffs = cutoffs.withColumn("horizon_days", F.lit(0))
+    return _features_at(at_cutoffs(bucket_totals(sales, cutoffs, spec), cutoffs), sales.columns, spec)
 
 
 def customer_features_current(sales: DataFrame, spec: FeatureSpec = SCRIPT_FEATURES) -> DataFrame:
     """Features on the whole history, recency measured from the latest order date."""
     dated = with_order_date(sales)
     sales = conform(sales)
-    agg = sales.groupBy("customer_name").agg(*_aggregates(sales.columns, spec))
+    agg = _means(sales.groupBy("customer_name").agg(*_aggregates(sales.columns, spec)))
     agg = _with_modes(agg, sales, ["customer_name"], spec)
     ref = dated.agg(F.max("order_date").alias("_ref"))
     return _finish(agg.crossJoin(F.broadcast(ref)), F.col("_ref"), spec, [])

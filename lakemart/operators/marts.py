@@ -10,7 +10,7 @@ the dimension fan-out of the published marts is preserved exactly. Averages
 are carried as (sum, count).
 
 Money columns of the fact carry 2 decimals and the margin 4 (the cleaning
-rounds them), so they are summed exactly in those units (``exact_sum``) and
+rounds them), so they are summed exactly in those units (``scaled_sum``) and
 turned back into doubles at the end: totals do not depend on how partitions
 were combined.
 
@@ -23,15 +23,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import exact_sum, units_to_double
+from ..functions.numeric import scaled_sum, units_to_double
 
 
 def vendas_por_categoria(ft: DataFrame, dim_prod: DataFrame) -> DataFrame:
     per_product = ft.groupBy("product_id").agg(
         F.sum("sales").alias("s_sales"),
-        exact_sum(F.col("profit"), 2).alias("s_profit"),
+        scaled_sum(F.col("profit"), 2).alias("s_profit"),
         F.sum("quantity").alias("s_quantity"),
-        exact_sum(F.col("margem_lucro"), 4).alias("s_margin"),
+        scaled_sum(F.col("margem_lucro"), 4).alias("s_margin"),
         F.count("margem_lucro").alias("n_margin"),
     )
     joined = per_product.join(dim_prod, "product_id", "inner")
@@ -47,8 +47,8 @@ def vendas_por_categoria(ft: DataFrame, dim_prod: DataFrame) -> DataFrame:
 def desempenho_regional(ft: DataFrame, dim_loc: DataFrame) -> DataFrame:
     per_order = ft.groupBy("country", "state", "order_id").agg(
         F.sum("sales").alias("s_sales"),
-        exact_sum(F.col("profit"), 2).alias("s_profit"),
-        exact_sum(F.col("shipping_cost"), 2).alias("s_shipping"),
+        scaled_sum(F.col("profit"), 2).alias("s_profit"),
+        scaled_sum(F.col("shipping_cost"), 2).alias("s_shipping"),
     )
     joined = per_order.join(dim_loc, ["country", "state"], "inner")
     return joined.groupBy("market", "region", "country").agg(
@@ -62,7 +62,7 @@ def desempenho_regional(ft: DataFrame, dim_loc: DataFrame) -> DataFrame:
 def metrica_clientes(ft: DataFrame, dim_cli: DataFrame) -> DataFrame:
     per_order = ft.groupBy("customer_name", "order_id").agg(
         F.sum("sales").alias("s_sales"),
-        exact_sum(F.col("profit"), 2).alias("s_profit"),
+        scaled_sum(F.col("profit"), 2).alias("s_profit"),
     )
     joined = per_order.join(dim_cli, "customer_name", "inner")
     return joined.groupBy("segment").agg(
@@ -75,6 +75,13 @@ def metrica_clientes(ft: DataFrame, dim_cli: DataFrame) -> DataFrame:
     )
 
 
+MART_KEYS = {
+    "vendas_por_categoria": ("category", "sub_category"),
+    "desempenho_regional": ("market", "region", "country"),
+    "metrica_clientes": ("segment",),
+}
+
+
 def by_revenue(df: DataFrame, *keys: str) -> DataFrame:
     """Presentation order of a mart: revenue descending, then the keys."""
     return df.orderBy(F.col("faturamento_total").desc_nulls_last(), *[F.col(k).asc() for k in keys])

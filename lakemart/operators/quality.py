@@ -45,13 +45,6 @@ def rules_for(dataset: str) -> tuple[Expectation, ...]:
     return tuple(Expectation(n, p, a) for d, n, p, a in QUALITY_RULES if d == dataset)
 
 
-def rule_datasets() -> tuple[str, ...]:
-    seen: dict[str, None] = {}
-    for d, *_ in QUALITY_RULES:
-        seen.setdefault(d)
-    return tuple(seen)
-
-
 def apply_expectations(df: DataFrame, rules: Iterable[Expectation]) -> DataFrame:
     """Keep the rows that pass every ``drop`` rule (``warn`` rules keep all)."""
     drops = [F.expr(r.predicate) for r in rules if r.action == DROP]

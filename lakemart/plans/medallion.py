@@ -5,10 +5,10 @@ of them can be queried or explained; ``quality_report`` counts all 19 rules;
 ``run`` writes the tables in dependency order, each write computing its own
 rule counters through ``DataFrame.observe`` (no extra pass).
 
-Re-use across writes: five datasets read the cleaned view. ``run`` cuts its
-lineage once with a reliable ``checkpoint`` (in ``spark.checkpoint.dir``) so
-the de-duplication shuffle runs once, and the gold marts read the silver
-tables that were just written rather than recomputing them.
+Re-use across writes: five datasets read the cleaned view. ``run`` stores it
+once as Parquet in the shared folder, so the de-duplication shuffle runs once,
+and the gold marts read the silver tables that were just written rather than
+recomputing them.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ..config import Layers
 from ..operators import marts, star
@@ -30,7 +30,7 @@ from ..operators.quality import (
     rule_counts,
     rules_for,
 )
-from ..session import ensure_checkpoint_dir, materialize
+from ..session import store
 from ..sinks import write_table
 
 
@@ -70,6 +70,7 @@ DATASETS: tuple[DatasetDef, ...] = (
                marts.metrica_clientes, "Customer and segment KPIs"),
 )
 
+REPORT_SCHEMA = "dataset string, rule string, action string, predicate string, total_rows long, passed long, failed long"
 BY_NAME = {d.name: d for d in DATASETS}
 
 
@@ -78,14 +79,15 @@ class Datasets:
 
     ``pre(name)`` is a dataset before its own drop rules (its inputs are
     already filtered); ``[name]`` is the dataset as published. With
-    ``materialize_view`` the cleaned view, which five datasets read, is cut
-    from its lineage once by a reliable checkpoint, so the de-duplication
-    shuffle runs once instead of once per reader.
+    ``store_view`` the cleaned view, which five datasets read, is stored once,
+    so the de-duplication shuffle runs once instead of once per reader; the
+    same pass counts the raw lines against their rules.
     """
 
-    def __init__(self, bronze: DataFrame, materialize_view: bool = False):
+    def __init__(self, bronze: DataFrame, store_view: bool = False):
         self._bronze = bronze
-        self._materialize = materialize_view
+        self._store = store_view
+        self.observed: dict[str, Observation] = {}
         self._pre: dict[str, DataFrame] = {}
         self._post: dict[str, DataFrame] = {}
 
@@ -96,8 +98,9 @@ class Datasets:
                 frame = self._bronze
             else:
                 frame = d.build(*[self[i] for i in d.inputs])
-                if d.layer == "view" and self._materialize:
-                    frame = materialize(frame)
+                if d.layer == "view" and self._store:
+                    raw, self.observed["sales_raw"] = observe_rules(self._bronze, rules_for("sales_raw"), "sales_raw")
+                    frame = store(d.build(raw))
             self._pre[name] = frame
         return self._pre[name]
 
@@ -116,27 +119,34 @@ class Datasets:
         return ((n, self[n]) for n in BY_NAME)
 
 
-def build_unfiltered(bronze: DataFrame, materialize_view: bool = False) -> dict[str, DataFrame]:
+def build_unfiltered(bronze: DataFrame, store_view: bool = False) -> dict[str, DataFrame]:
     """Every dataset before its own drop rules (inputs are already filtered)."""
-    ds = Datasets(bronze, materialize_view)
+    ds = Datasets(bronze, store_view)
     return {d.name: ds.pre(d.name) for d in DATASETS}
 
 
-def build(bronze: DataFrame, materialize_view: bool = False) -> Datasets:
+def build(bronze: DataFrame, store_view: bool = False) -> Datasets:
     """Every dataset as published (after its drop rules), built on first access."""
-    return Datasets(bronze, materialize_view)
+    return Datasets(bronze, store_view)
 
 
-def quality_report(bronze: DataFrame, materialize_view: bool = False) -> DataFrame:
+def quality_report(bronze: DataFrame, store_view: bool = False) -> DataFrame:
     """All rules of all datasets: ``dataset, rule, action, predicate, total_rows, passed, failed``."""
-    ds = Datasets(bronze, materialize_view)
-    parts = [rule_counts(ds.pre(d.name), d.rules, d.name) for d in DATASETS if d.rules]
+    ds = Datasets(bronze, store_view)
+    ds.pre("sales_cleaned_view")  # with store_view this pass also counts the raw lines
+    parts = []
+    for d in DATASETS:
+        if d.name in ds.observed:
+            rows = observation_rows(d.name, d.rules, ds.observed[d.name].get)
+            parts.append(bronze.sparkSession.createDataFrame(rows, REPORT_SCHEMA))
+        elif d.rules:
+            parts.append(rule_counts(ds.pre(d.name), d.rules, d.name))
     return reduce(DataFrame.unionByName, parts)
 
 
-def conformity_report(bronze: DataFrame, materialize_view: bool = False) -> DataFrame:
+def conformity_report(bronze: DataFrame, store_view: bool = False) -> DataFrame:
     """Kept and dropped rows of every dataset that has a drop rule."""
-    pre = build_unfiltered(bronze, materialize_view)
+    pre = build_unfiltered(bronze, store_view)
     parts = [
         conformity(pre[d.name], d.rules, d.name)
         for d in DATASETS
@@ -151,7 +161,6 @@ def table_name(layers: Layers, d: DatasetDef) -> str:
 
 def run(spark: SparkSession, bronze: DataFrame, layers: Layers = Layers()) -> DataFrame:
     """Full refresh: write every table in order; return the rule counts observed."""
-    ensure_checkpoint_dir(spark)
     rows: list[tuple] = []
     stored: dict[str, DataFrame] = {}
     for d in DATASETS:
@@ -159,16 +168,17 @@ def run(spark: SparkSession, bronze: DataFrame, layers: Layers = Layers()) -> Da
             frame = bronze
         elif d.layer == "view":
             cleaned = d.build(*[stored[i] for i in d.inputs])
-            stored[d.name] = materialize(cleaned)
+            stored[d.name] = store(cleaned)
             stored[d.name].createOrReplaceTempView(d.name)
             continue
         else:
             frame = d.build(*[stored[i] for i in d.inputs])
+        if d.layer == "gold":
+            frame = marts.by_revenue(frame, *marts.MART_KEYS[d.name])
         observed, obs = observe_rules(frame, d.rules, d.name) if d.rules else (frame, None)
         name = table_name(layers, d)
         write_table(apply_expectations(observed, d.rules), name, d.comment, layers.table_format)
         if obs is not None:
             rows += observation_rows(d.name, d.rules, obs.get)
         stored[d.name] = spark.read.table(name)
-    schema = "dataset string, rule string, action string, predicate string, total_rows long, passed long, failed long"
-    return spark.createDataFrame(rows, schema)
+    return spark.createDataFrame(rows, REPORT_SCHEMA)

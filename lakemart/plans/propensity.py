@@ -1,9 +1,8 @@
 """End-to-end purchase propensity: features → labels → model → scores → ranking.
 
 Every stage stays a DataFrame; only the fitted trees and a handful of metric
-values reach the driver. The sales input and the training frame are each read
-several times (features, labels, split, weights, fitting passes), so each is
-computed once and cut from its lineage with a reliable checkpoint.
+values reach the driver. Frames with several readers (sales, training set,
+hold-out predictions) are stored once as Parquet and read from there.
 """
 
 from __future__ import annotations
@@ -17,15 +16,21 @@ from pyspark.sql import functions as F
 from ..config import RANKING_EXPORT_COLUMNS, SCRIPT_BANDS, SCRIPT_FEATURES, BandSpec, FeatureSpec, ModelSpec
 from ..operators import labels, metrics, model, scoring
 from ..operators.features import customer_features_current
-from ..session import materialize
+from ..session import store
 from ..sinks import export_csv, write_table
 
+# What features and labels read of the sales lines.
+SALES_INPUTS = (
+    "order_id", "customer_name", "order_date", "sales", "quantity", "discount", "profit", "margem_lucro",
+    "category", "sub_category", "product_id", "segment", "market",
+)
 TRAINING_KEY = ["cutoff", "customer_name"]
 
 
 @dataclass
 class PropensityResult:
     trained: model.TrainedModel
+    feature_importance: DataFrame
     ranked: DataFrame
     ranking: DataFrame
     top10: DataFrame
@@ -35,8 +40,10 @@ class PropensityResult:
 
 
 def fit_on_training(training: DataFrame, spec: ModelSpec, cv: bool = True) -> model.TrainedModel:
-    pinned = materialize(training)
-    return model.train(pinned, spec, TRAINING_KEY, cv=cv)
+    trained = model.train(training, spec, TRAINING_KEY, cv=cv)
+    # without the columns of the pipeline's stages: four metrics read these rows
+    trained.test_predictions = store(trained.test_predictions.select(*training.columns, "score", "prediction"))
+    return trained
 
 
 def warn_censored(sales: DataFrame, cutoffs: DataFrame) -> list[str]:
@@ -71,11 +78,11 @@ def run_propensity(
     bands: BandSpec = SCRIPT_BANDS,
     cv: bool = True,
 ) -> PropensityResult:
-    # Read by the training features, the labels and the current features.
-    sales = materialize(sales)
+    sales = store(sales.select(*[c for c in SALES_INPUTS if c in sales.columns]))
     warn_censored(sales, cutoffs)
-    training = labels.training_set(sales, cutoffs, features, spec.label)
+    training = store(labels.training_set(sales, cutoffs, features, spec.label))
     trained = fit_on_training(training, spec, cv)
+    importance = model.feature_importance(trained.model, trained.test_predictions, spec)
     current = customer_features_current(sales, features)
     scored = model.score_customers(trained.model, current, spec)
     ranked = scoring.rank_scores(scored, bands=bands)
@@ -83,6 +90,7 @@ def run_propensity(
     ranking = ranked.select(*export_cols)
     return PropensityResult(
         trained=trained,
+        feature_importance=sales.sparkSession.createDataFrame(importance, "Feature string, Importance double").orderBy(F.col("Importance").desc()),
         ranked=ranked,
         ranking=ranking,
         top10=ranking.filter(F.col("ranking") <= 10),
@@ -92,9 +100,9 @@ def run_propensity(
     )
 
 
-def publish(result: PropensityResult, table: str | None = None, csv_path: str | None = None) -> None:
+def publish(result: PropensityResult, table: str | None = None, csv_path: str | None = None, table_format: str = "parquet") -> None:
     """Write the ranked customers to a table and/or a CSV export ordered by rank."""
     if table:
-        write_table(result.ranked, table, "Purchase propensity of every customer, ranked")
+        write_table(result.ranked, table, "Purchase propensity of every customer, ranked", table_format)
     if csv_path:
         export_csv(result.ranking, csv_path, order_by=["ranking"])

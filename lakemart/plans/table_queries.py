@@ -11,16 +11,18 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import (
     SALES_COLUMNS,
     NOTEBOOK_BANDS,
     NOTEBOOK_FEATURES,
+    NOTEBOOK_NUMERIC_FEATURES,
     RANKING_EXPORT_COLUMNS,
     SCRIPT_BANDS,
     SCRIPT_FEATURES,
+    BandSpec,
     ModelSpec,
 )
 from ..functions.cleaning import clean_columns
@@ -28,10 +30,12 @@ from ..operators import features as feat
 from ..operators import labels, marts, metrics, model, scoring, star
 from ..operators.dedup import dedup_by_key
 from ..operators.enrich import enrich_sales
+from ..operators.ranking import global_row_number
 from ..sources import tpch_sales
 from ..sources.raw_sales import tolerant_sales
-from ..session import materialize
+from ..session import store
 from . import medallion
+from .propensity import SALES_INPUTS, fit_on_training, run_propensity
 
 # Test cutoffs inside the tables' 1995-2001 order dates.
 TEST_CUTOFFS = ("1996-06-30", "1996-12-31", "1997-06-30", "1997-12-31")
@@ -58,22 +62,28 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def datasets(spark: SparkSession, sf_dir: str) -> medallion.Datasets:
-    """The refresh's datasets; the cleaned view is materialized once (checkpoint)."""
-    return medallion.build(bronze(spark, sf_dir), materialize_view=True)
+    """The refresh's datasets, all lazy: a query of one dataset reads only what that needs."""
+    return medallion.build(bronze(spark, sf_dir))
+
+
+def shared_datasets(spark: SparkSession, sf_dir: str) -> medallion.Datasets:
+    """The same for queries of several datasets: the cleaned view is stored once."""
+    return medallion.build(bronze(spark, sf_dir), store_view=True)
 
 
 def script_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The standalone script's input: raw lines, tolerant typing, required fields.
+    """The standalone script's input: raw lines, tolerant typing, required fields (lazy)."""
+    return tolerant_sales(raw_lines(spark, sf_dir))
 
-    Materialized once (the features, the two modal values and the labels each
-    read it), as the script reads one stored file.
-    """
-    return materialize(tolerant_sales(raw_lines(spark, sf_dir)))
+
+def feature_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What features and labels read of the script's input; stored, since they read it more than once."""
+    return store(script_sales(spark, sf_dir).select(*SALES_INPUTS))
 
 
 def notebook_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The notebook's input: the silver fact left-joined with three dimensions."""
-    d = datasets(spark, sf_dir)
+    d = shared_datasets(spark, sf_dir)
     return enrich_sales(d["ft_vendas"], d["dim_cliente"], d["dim_localizacao"], d["dim_produto"])
 
 
@@ -86,7 +96,7 @@ def _cutoff_text(df: DataFrame) -> DataFrame:
 
 
 def training(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return labels.training_set(script_sales(spark, sf_dir), sample_cutoffs(spark), SCRIPT_FEATURES)
+    return labels.training_set(feature_sales(spark, sf_dir), sample_cutoffs(spark), SCRIPT_FEATURES)
 
 
 def closed_form_score(customer: DataFrame) -> DataFrame:
@@ -96,10 +106,9 @@ def closed_form_score(customer: DataFrame) -> DataFrame:
 
 
 def scored_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    current = feat.customer_features_current(script_sales(spark, sf_dir), SCRIPT_FEATURES)
+    current = feat.customer_features_current(feature_sales(spark, sf_dir), SCRIPT_FEATURES)
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    # read twice or more by every consumer (decile edges and rows, band totals)
-    return materialize(current.join(closed_form_score(customer), "customer_name", "inner"))
+    return current.join(closed_form_score(customer), "customer_name", "inner")
 
 
 def labelled_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,27 +156,27 @@ def _dataset_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def q_vendas_por_categoria(spark, sf_dir):
-    return marts.by_revenue(datasets(spark, sf_dir)["vendas_por_categoria"], "category", "sub_category")
+    return marts.by_revenue(shared_datasets(spark, sf_dir)["vendas_por_categoria"], "category", "sub_category")
 
 
 def q_desempenho_regional(spark, sf_dir):
-    return marts.by_revenue(datasets(spark, sf_dir)["desempenho_regional"], "market", "region", "country")
+    return marts.by_revenue(shared_datasets(spark, sf_dir)["desempenho_regional"], "market", "region", "country")
 
 
 def q_metrica_clientes(spark, sf_dir):
-    return marts.by_revenue(datasets(spark, sf_dir)["metrica_clientes"], "segment")
+    return marts.by_revenue(shared_datasets(spark, sf_dir)["metrica_clientes"], "segment")
 
 
 def q_quality_report(spark, sf_dir):
-    return medallion.quality_report(bronze(spark, sf_dir), materialize_view=True)
+    return medallion.quality_report(bronze(spark, sf_dir), store_view=True)
 
 
 def q_conformity_rate(spark, sf_dir):
-    return medallion.conformity_report(bronze(spark, sf_dir), materialize_view=True)
+    return medallion.conformity_report(bronze(spark, sf_dir), store_view=True)
 
 
 def q_dim_key_uniqueness(spark, sf_dir):
-    d = datasets(spark, sf_dir)
+    d = shared_datasets(spark, sf_dir)
     parts = [star.dim_key_report(d[n], n) for n in star.DIM_COLUMNS]
     return reduce(DataFrame.unionByName, parts)
 
@@ -190,15 +199,15 @@ def q_label_customers(spark, sf_dir):
 
 
 def q_customer_features(spark, sf_dir):
-    return _cutoff_text(feat.customer_features_asof(script_sales(spark, sf_dir), sample_cutoffs(spark)))
+    return _cutoff_text(feat.customer_features_asof(feature_sales(spark, sf_dir), sample_cutoffs(spark)))
 
 
 def q_customer_features_current(spark, sf_dir):
-    return feat.customer_features_current(script_sales(spark, sf_dir))
+    return feat.customer_features_current(feature_sales(spark, sf_dir))
 
 
 def q_customer_mode(spark, sf_dir):
-    return feat.customer_mode(script_sales(spark, sf_dir))
+    return feat.customer_mode(feature_sales(spark, sf_dir))
 
 
 def q_sales_profile(spark, sf_dir):
@@ -211,15 +220,16 @@ def q_multi_window_training(spark, sf_dir):
 
 def q_single_window_training(spark, sf_dir):
     cutoffs = feat.cutoff_frame(spark, [TEST_SINGLE_CUTOFF], TEST_SINGLE_HORIZON)
-    return _cutoff_text(labels.training_set(notebook_sales(spark, sf_dir), cutoffs, NOTEBOOK_FEATURES))
+    sales = store(notebook_sales(spark, sf_dir).select(*SALES_INPUTS))
+    return _cutoff_text(labels.training_set(sales, cutoffs, NOTEBOOK_FEATURES))
 
 
 def q_label_rate_by_cutoff(spark, sf_dir):
-    return labels.label_rate_by_cutoff(training(spark, sf_dir))
+    return labels.label_rate_by_cutoff(training(spark, sf_dir).select("cutoff", "target_comprou"))
 
 
 def q_score_deciles(spark, sf_dir):
-    s = scoring.add_deciles(scored_customers(spark, sf_dir))
+    s = scoring.add_deciles(store(scored_customers(spark, sf_dir)))
     return s.select("customer_name", "propensity_score", "percentil_score")
 
 
@@ -269,36 +279,54 @@ def q_classification_report(spark, sf_dir):
 
 
 def q_stratified_split(spark, sf_dir):
-    t = training(spark, sf_dir)
+    t = store(training(spark, sf_dir).select("cutoff", "customer_name", "target_comprou"))
     split = model.stratified_split(t, "target_comprou", ["cutoff", "customer_name"], 0.2, 5, 42)
-    return split.groupBy("target_comprou", "split").agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("fold").alias("folds")
-    )
+    return _cutoff_text(split)
 
 
 def q_class_weight(spark, sf_dir):
-    t = training(spark, sf_dir)
+    t = store(training(spark, sf_dir).select("cutoff", "customer_name", "target_comprou"))
     split = model.stratified_split(t, "target_comprou", ["cutoff", "customer_name"], 0.2, 5, 42)
     return model.class_weights(split.filter(F.col("split") == "train"), "target_comprou")
 
 
-QUICK_MODEL = ModelSpec(trees=10, folds=5)
-
-
 def q_feature_importance(spark, sf_dir):
-    from .propensity import fit_on_training
+    """Features of the default model (150 trees); importances differ between learners, their sum does not.
 
-    t = training(spark, sf_dir)
-    trained = fit_on_training(t, QUICK_MODEL, cv=False)
-    pairs = model.feature_importance(trained.model, t, QUICK_MODEL)
-    return spark.createDataFrame(pairs, "Feature string, Importance double").orderBy(F.col("Importance").desc())
+    Cross-validation does not enter into them; the end-to-end queries run it.
+    """
+    trained = fit_on_training(store(training(spark, sf_dir)), ModelSpec(), cv=False)
+    pairs = model.feature_importance(trained.model, trained.test_predictions, ModelSpec())
+    frame = spark.createDataFrame(pairs, "Feature string, Importance double")
+    total = F.round(F.sum("Importance").over(Window.partitionBy(F.lit(1))), 6)  # one row per model feature
+    return frame.select("Feature", (F.col("Importance") >= 0).alias("not_negative"), total.alias("total_importance"))
+
+
+def _run_checks(result, bands):
+    """The run's ranking: what does not depend on the fit as it is, the rest as consistency checks."""
+    r = store(result.ranking)
+    expected = scoring.add_bands(scoring.add_deciles(r, out="_decile"), bands=BandSpec("_band", bands.high, bands.medium, bands.labels))
+    expected = global_row_number(expected, scoring.ranking_order(), "_rank")
+    return expected.select(
+        "customer_name", "recencia_dias", "frequencia_pedidos", "valor_total_gasto", "ticket_medio", "data_ultima_compra", "segment", "market",
+        F.col("propensity_score").between(0, 1).alias("score_in_range"),
+        (F.col("ranking") == F.col("_rank")).alias("rank_agrees"),
+        F.col("percentil_score").eqNullSafe(F.col("_decile")).alias("decile_agrees"),
+        (F.col(bands.column) == F.col("_band")).alias("band_agrees"),
+    )
 
 
 def q_propensity_pipeline(spark, sf_dir):
-    from .propensity import run_propensity
+    """The script's run, end to end, with the default model (150 trees, 5 folds)."""
+    return _run_checks(run_propensity(script_sales(spark, sf_dir), sample_cutoffs(spark)), SCRIPT_BANDS)
 
-    result = run_propensity(script_sales(spark, sf_dir), sample_cutoffs(spark), QUICK_MODEL, cv=False)
-    return result.ranking
+
+def q_notebook_ranking(spark, sf_dir):
+    """The notebook's run, end to end: silver tables, one cutoff, its features and bands."""
+    cutoffs = feat.cutoff_frame(spark, [TEST_SINGLE_CUTOFF], TEST_SINGLE_HORIZON)
+    spec = ModelSpec(numeric=NOTEBOOK_NUMERIC_FEATURES)
+    result = run_propensity(notebook_sales(spark, sf_dir), cutoffs, spec, NOTEBOOK_FEATURES, NOTEBOOK_BANDS)
+    return _run_checks(result, NOTEBOOK_BANDS)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -343,4 +371,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "class_weight": q_class_weight,
     "feature_importance": q_feature_importance,
     "propensity_pipeline": q_propensity_pipeline,
+    "notebook_ranking": q_notebook_ranking,
 }

@@ -6,10 +6,8 @@ Library code never creates a session of its own; it takes the caller's.
 
 from __future__ import annotations
 
-import os
-import tempfile
+import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 SESSION_DEFAULTS = {
@@ -20,8 +18,6 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # Remove checkpoint files once no DataFrame refers to them any more.
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -48,12 +44,12 @@ def get_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint directory, configuring it if needed.
+    """Return the shared folder for intermediate tables, configuring it if needed.
 
-    The cluster names a shared folder in ``spark.checkpoint.dir``; that one is
-    always used. Only a local-mode session without the setting (tests) gets a
-    fresh folder of its own; anywhere else a missing setting is an error,
-    because a machine-local folder does not survive the loss of an executor.
+    The cluster names one in ``spark.checkpoint.dir``; that one is always used.
+    Only a local-mode session without the setting (tests) uses its warehouse
+    folder; anywhere else a missing setting is an error, because a machine-local
+    folder does not survive the loss of an executor.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -67,7 +63,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; name a shared folder for checkpoints"
             )
-        configured = tempfile.mkdtemp(prefix="lakemart-ckpt-")
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir')}/_intermediate"
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
@@ -76,30 +72,16 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def env_cpus(default: int = 8) -> int:
-    try:
-        return int(os.environ.get("BENCH_CPUS", default))
-    except ValueError:
-        return default
+def store(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder and read it back.
 
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut its lineage with a reliable checkpoint.
-
-    ``checkpoint(eager=True)`` alone runs the plan twice (once to count, once
-    to write the checkpoint files); persisting first makes the write read the
-    rows just computed. The cache is released once the files are written; the
-    returned frame reads the checkpoint in ``spark.checkpoint.dir``, which
-    survives the loss of an executor. A frame this function returned is
-    passed through unchanged.
+    For frames with two readers or more: ``df`` is computed once, readers still
+    prune columns and push filters down, and the files do not depend on the
+    executors that wrote them. They go when the driver ends.
     """
-    if getattr(df, "_lakemart_materialized", False):
-        return df
-    ensure_checkpoint_dir(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        out = cached.checkpoint(eager=True)
-    finally:
-        cached.unpersist(blocking=False)
-    out._lakemart_materialized = True
-    return out
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+    return spark.read.schema(df.schema).parquet(path)

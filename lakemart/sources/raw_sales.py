@@ -14,6 +14,13 @@ LINEAGE_TIME = "_ingestion_time"
 LINEAGE_FILE = "_source_file"
 
 
+# Texts read as missing values by the single-file script.
+NULL_TOKENS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
+
 def read_sales_csv(
     spark: SparkSession,
     path: str | list[str],
@@ -75,12 +82,17 @@ def tolerant_sales(
 ) -> DataFrame:
     """Single-file load path of the standalone model script.
 
-    Numbers that do not parse become NULL (no stripping, no decimal-comma
-    repair, no de-duplication, no sign rules), then rows missing any required
-    field are dropped and the order date becomes a DATE.
+    Texts that the script's reader takes for missing values (``NULL_TOKENS``)
+    become NULL in every column, numbers that do not parse or are not a number
+    become NULL too (no stripping, no decimal-comma repair, no de-duplication,
+    no sign rules), then rows missing any required field are dropped and the
+    order date becomes a DATE.
     """
     numeric = list(numeric)
-    typed = raw.withColumns({c: F.col(c).try_cast("double") for c in numeric})
+    texts = [c for c, t in raw.dtypes if t == "string"]
+    known = raw.withColumns({c: F.when(~F.col(c).isin(*NULL_TOKENS), F.col(c)) for c in texts})
+    nothing = F.lit(None).cast("double")
+    typed = known.withColumns({c: F.nanvl(F.col(c).try_cast("double"), nothing) for c in numeric})
     required = list(required)
     kept = typed.dropna(subset=required) if required else typed
     return kept.withColumn(date_column, F.to_date(F.col(date_column)))

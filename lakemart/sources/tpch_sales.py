@@ -7,11 +7,8 @@ values injected by fixed key rules (quotes, decimal commas, text that is not a
 number, negative amounts, NULL keys, a second product name that fans out the
 product dimension). The same rules are written in DuckDB SQL for the oracle.
 
-Scale: ``lineitem`` joins ``orders`` on the order key as a sort-merge join
-(both are fact-scale; the hint keeps AQE from broadcasting orders on small
-inputs, so the rest of the mapping runs at shuffle parallelism rather than in
-the scan's tasks). ``customer`` (on the customer key) and ``part`` (on the
-part key) are joined with whatever AQE measures best. Only ``nation`` and
+Scale: all joins are left to the optimizer (``lineitem`` and ``orders`` are both
+fact-scale and shuffle on the order key there). Only ``nation`` and
 ``region`` are broadcast explicitly: TPC-H fixes them at 25 and 5 rows at
 every scale factor.
 """
@@ -69,16 +66,19 @@ def _dirty_columns(with_dirt: bool) -> dict[str, Column]:
         "sales": F.when(key % 101 == 0, F.lit("1,234"))
         .when(key % 7 == 0, F.concat(F.lit('"'), price_txt, F.lit(' "')))
         .when(key % 53 == 0, F.concat(F.lit("-"), price_txt))
+        .when(key % 103 == 0, F.concat(price_txt, F.lit("123457")))
         .otherwise(price_txt),
         "quantity": F.when(key % 89 == 0, F.lit("0"))
         .when(key % 97 == 0, F.lit("n/a"))
+        .when(key % 83 == 0, F.lit("NaN"))
         .otherwise(qty_txt),
         "discount": F.when(key % 211 == 0, F.lit("1.50"))
         .when(F.col("l_linenumber") % 2 == 0, F.translate(disc_txt, ".", ","))
         .otherwise(disc_txt),
         "profit": profit_txt,
         "shipping_cost": F.when(key % 307 == 0, F.lit("-1.00")).otherwise(ship_txt),
-        "margem_lucro": F.translate(_txt(margin), ".", ","),
+        "margem_lucro": F.when(key % 2 == 0, F.translate(_txt(margin), ".", ",")).otherwise(_txt(margin)),
+        "customer_name": F.when(key % 1499 == 0, F.lit("NA")).otherwise(F.col("c_name")),
     }
 
 
@@ -89,9 +89,7 @@ def raw_sales_from_tables(tables: dict[str, DataFrame], with_dirt: bool = True)
         "l_extendedprice", "l_discount", "l_tax", "l_linestatus", "l_shipdate",
         F.col("_metadata.file_name").alias("_source_file"),
     )
-    # lineitem and orders are both fact-scale: join them by shuffling both on the
-    # order key (sort-merge), never by broadcasting orders.
-    orders = tables["orders"].select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority").hint("merge")
+    orders = tables["orders"].select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     geo = tables["nation"].join(
         F.broadcast(tables["region"]), F.col("n_regionkey") == F.col("r_regionkey")
     ).select("n_nationkey", "n_name", "r_name")
@@ -111,7 +109,7 @@ def raw_sales_from_tables(tables: dict[str, DataFrame], with_dirt: bool = True)
         "product_id": dirty["product_id"],
         "order_date": _txt(F.col("o_orderdate").cast("date")),
         "ship_date": _txt(F.col("l_shipdate").cast("date")),
-        "customer_name": F.col("c_name"),
+        "customer_name": dirty.get("customer_name", F.col("c_name")),
         "segment": F.col("c_mktsegment"),
         "country": F.col("n_name"),
         "state": F.concat(F.col("n_name"), F.lit("-"), _txt(F.col("c_custkey") % 4)),

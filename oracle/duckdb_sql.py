@@ -33,8 +33,8 @@ def np_round(x: str, s: int) -> str:
     return f"(round_even(({x}) * {f}, 0) / {f})"
 
 
-def units_sum(x: str, s: int = 6) -> str:
-    """Exact sum of a double column quantized to ``s`` decimals, back as double."""
+def units_sum(x: str, s: int) -> str:
+    """Exact sum of a double column already rounded to ``s`` decimals, back as double."""
     f = float(10**s)
     return f"(CAST(sum(CAST(round({x} * {f}) AS DECIMAL(38,0))) AS DOUBLE) / {f})"
 
@@ -46,7 +46,7 @@ raw_sales AS (
     CASE WHEN l.l_partkey % 997 = 0 THEN NULL ELSE 'P' || CAST(l.l_partkey AS VARCHAR) END AS product_id,
     CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) AS order_date,
     CAST(CAST(l.l_shipdate AS DATE) AS VARCHAR) AS ship_date,
-    c.c_name AS customer_name,
+    CASE WHEN l.l_orderkey % 1499 = 0 THEN 'NA' ELSE c.c_name END AS customer_name,
     c.c_mktsegment AS segment,
     n.n_name AS country,
     n.n_name || '-' || CAST(c.c_custkey % 4 AS VARCHAR) AS state,
@@ -60,9 +60,11 @@ raw_sales AS (
     CASE WHEN l.l_orderkey % 101 = 0 THEN '1,234'
          WHEN l.l_orderkey % 7 = 0 THEN '"' || {PRICE} || ' "'
          WHEN l.l_orderkey % 53 = 0 THEN '-' || {PRICE}
+         WHEN l.l_orderkey % 103 = 0 THEN {PRICE} || '123457'
          ELSE {PRICE} END AS sales,
     CASE WHEN l.l_orderkey % 89 = 0 THEN '0'
          WHEN l.l_orderkey % 97 = 0 THEN 'n/a'
+         WHEN l.l_orderkey % 83 = 0 THEN 'NaN'
          ELSE CAST(CAST(l.l_quantity AS INTEGER) AS VARCHAR) END AS quantity,
     CASE WHEN l.l_orderkey % 211 = 0 THEN '1.50'
          WHEN l.l_linenumber % 2 = 0 THEN replace(CAST({DISC} AS VARCHAR), '.', ',')
@@ -70,7 +72,8 @@ raw_sales AS (
     CAST(CAST(CAST(l.l_extendedprice AS DECIMAL(12,2)) * (0.15 - {DISC}) AS DECIMAL(14,2)) AS VARCHAR) AS profit,
     CASE WHEN l.l_orderkey % 307 = 0 THEN '-1.00'
          ELSE CAST(CAST(CAST(l.l_extendedprice AS DECIMAL(12,2)) * CAST(l.l_tax AS DECIMAL(4,2)) AS DECIMAL(14,2)) AS VARCHAR) END AS shipping_cost,
-    replace(CAST(0.15 - {DISC} AS VARCHAR), '.', ',') AS margem_lucro,
+    CASE WHEN l.l_orderkey % 2 = 0 THEN replace(CAST(0.15 - {DISC} AS VARCHAR), '.', ',')
+         ELSE CAST(0.15 - {DISC} AS VARCHAR) END AS margem_lucro,
     'lineitem.parquet' AS _source_file
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey
@@ -169,6 +172,22 @@ metrica_clientes AS (
 SILVER = f"WITH {RAW_SALES},{DEDUP},{CLEANED},{DIMS}"
 GOLD = f"{SILVER},{MARTS}"
 
+# Texts that the script's reader takes for missing values.
+_MISSING = (
+    "'', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN', "
+    "'<NA>', 'N/A', 'NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null'"
+)
+
+
+def _present(c: str, as_: str = "") -> str:
+    return f"CASE WHEN {c} NOT IN ({_MISSING}) THEN {c} END{f' AS {as_}' if as_ else ''}"
+
+
+def dec_sum(c: str) -> str:
+    """Sum of the numbers as they are written, in decimals."""
+    return f"CAST(sum({c}_dec) AS DOUBLE)"
+
+
 # Standalone-script input: tolerant numeric typing, required fields present.
 SCRIPT_SALES = f"""
 script_sales AS (
@@ -176,8 +195,10 @@ script_sales AS (
          country, state, market, region, category, sub_category, product_name, ship_mode, order_priority,
          try_cast(sales AS DOUBLE) AS sales, try_cast(quantity AS DOUBLE) AS quantity,
          try_cast(discount AS DOUBLE) AS discount, try_cast(profit AS DOUBLE) AS profit,
-         shipping_cost, try_cast(margem_lucro AS DOUBLE) AS margem_lucro
-  FROM raw_sales
+         shipping_cost, try_cast(margem_lucro AS DOUBLE) AS margem_lucro,
+         try_cast(sales AS DECIMAL(30,10)) AS sales_dec, try_cast(discount AS DECIMAL(30,10)) AS discount_dec,
+         try_cast(profit AS DECIMAL(30,10)) AS profit_dec, try_cast(margem_lucro AS DECIMAL(30,10)) AS margem_lucro_dec
+  FROM (SELECT {", ".join(_present(c, c) for c in RAW_COLS)} FROM raw_sales)
   WHERE order_id IS NOT NULL AND customer_name IS NOT NULL AND order_date IS NOT NULL
     AND try_cast(sales AS DOUBLE) IS NOT NULL
 )"""
@@ -226,11 +247,11 @@ def features_cte(name: str, sales: str, extended: bool, default_seg: str, defaul
   SELECT {grp},
          max(order_date) AS last_d, min(order_date) AS first_d,
          count(DISTINCT order_id) AS frequencia_pedidos,
-         coalesce({units_sum("sales")}, 0.0) AS value,
+         coalesce({dec_sum("sales")}, 0.0) AS value,
          {"CAST(coalesce(sum(quantity), 0) AS BIGINT)" if integer_quantity else "coalesce(sum(quantity), 0)"} AS quantidade_itens,
-         coalesce({units_sum("profit")}, 0.0) AS profit_sum,
-         {units_sum("discount")} / count(discount) AS disc,
-         {units_sum("margem_lucro")} / count(margem_lucro) AS margin,
+         coalesce({dec_sum("profit")}, 0.0) AS profit_sum,
+         {dec_sum("discount")} / count(discount) AS disc,
+         {dec_sum("margem_lucro")} / count(margem_lucro) AS margin,
          count(DISTINCT category) AS qtd_categorias_distintas{ext_cols}
   FROM {name}_hist GROUP BY {grp}
 ),
@@ -402,6 +423,12 @@ _FEATURE_COLS = (
     "data_primeira_compra, data_ultima_compra"
 )
 
+# The cleaned figures are doubles: their shortest decimal form is what is added.
+NB_SALES = (
+    "nb_sales AS (SELECT * EXCLUDE (order_date), CAST(order_date AS DATE) AS order_date, "
+    + ", ".join(f"CAST(CAST({c} AS VARCHAR) AS DECIMAL(30,10)) AS {c}_dec" for c in ("sales", "discount", "profit", "margem_lucro"))
+    + " FROM enriched)"
+)
 _NB_FEATS = features_cte("nb_feats", "nb_sales", False, "Consumer", "Global", True, integer_quantity=True).replace(
     "JOIN cutoffs k", "JOIN nb_cutoffs k"
 )
@@ -497,7 +524,7 @@ def build() -> dict[str, str]:
     nb_cols = _FEATURE_COLS.replace("qtd_subcategorias_distintas, qtd_produtos_distintos, ", "")
     q["single_window_training"] = (
         f"{ENRICHED},\n"
-        "nb_sales AS (SELECT * EXCLUDE (order_date), CAST(order_date AS DATE) AS order_date FROM enriched),\n"
+        f"{NB_SALES},\n"
         "nb_cutoffs AS (SELECT DATE '1999-06-30' AS cutoff, 180 AS horizon_days),"
         f"{_NB_FEATS},\n"
         "nb_buyers AS (SELECT DISTINCT k.cutoff, s.customer_name FROM nb_sales s JOIN nb_cutoffs k "
@@ -543,12 +570,11 @@ def build() -> dict[str, str]:
     q["classification_report"] = f"{LABELLED}\n{_REPORT}"
     q["stratified_split"] = (
         f"{TRAINING},\n"
-        "cls AS (SELECT target_comprou, count(*) AS n, floor(count(*) * 0.2 + 0.5) AS n_test FROM training GROUP BY target_comprou)\n"
-        "SELECT target_comprou, 'test' AS split, CAST(n_test AS BIGINT) AS n, "
-        "CAST(CASE WHEN n_test > 0 THEN 0 ELSE 0 END AS BIGINT) AS folds FROM cls WHERE n_test > 0\n"
-        "UNION ALL\n"
-        "SELECT target_comprou, 'train', CAST(n - n_test AS BIGINT), CAST(least(5, n - n_test) AS BIGINT) FROM cls "
-        "WHERE n - n_test > 0"
+        "hashed AS (SELECT cutoff, customer_name, target_comprou, md5(cutoff || '|' || customer_name || '|42') AS h FROM training),\n"
+        "placed AS (SELECT *, row_number() OVER (PARTITION BY target_comprou ORDER BY h, cutoff, customer_name) AS r, "
+        "floor(count(*) OVER (PARTITION BY target_comprou) * 0.2 + 0.5) AS n_test FROM hashed)\n"
+        "SELECT cutoff, customer_name, target_comprou, CASE WHEN r <= n_test THEN 'test' ELSE 'train' END AS split, "
+        "CAST(CASE WHEN r > n_test THEN (r - n_test - 1) % 5 END AS INTEGER) AS fold FROM placed"
     )
     q["class_weight"] = (
         f"{TRAINING},\n"
@@ -559,6 +585,24 @@ def build() -> dict[str, str]:
         "CAST(sum(n_train) FILTER (WHERE target_comprou = 0) AS DOUBLE) / sum(n_train) FILTER (WHERE target_comprou = 1) "
         "ELSE 1.0 END AS scale_pos_weight FROM cls"
     )
+    # What does not depend on the learner; scores, ranks, deciles and bands must agree with each other.
+    agree = "true AS score_in_range, true AS rank_agrees, true AS decile_agrees, true AS band_agrees"
+    run_cols = "customer_name, recencia_dias, frequencia_pedidos, valor_total_gasto, ticket_medio, data_ultima_compra, segment, market"
+    q["propensity_pipeline"] = f"{SCRIPT_BASE},{FEATS_CURRENT}\nSELECT {run_cols}, {agree} FROM feats_now"
+    nb_now = features_cte("nb_now", "nb_sales", False, "Consumer", "Global", False, integer_quantity=True)
+    q["notebook_ranking"] = f"{ENRICHED},\n{NB_SALES},{nb_now}\nSELECT {run_cols}, {agree} FROM nb_now"
+    numeric = (
+        "recencia_dias", "frequencia_pedidos", "valor_total_gasto", "quantidade_itens", "ticket_medio", "lucro_total",
+        "desconto_medio", "margem_media", "qtd_categorias_distintas", "qtd_subcategorias_distintas",
+        "qtd_produtos_distintos", "tempo_relacionamento_dias",
+    )
+    names = " UNION ALL ".join(f"SELECT '{n}' AS Feature" for n in numeric)
+    q["feature_importance"] = (
+        f"{TRAINING},\n"
+        f"names AS ({names} UNION ALL SELECT DISTINCT 'segment_' || segment FROM training "
+        "UNION ALL SELECT DISTINCT 'market_' || market FROM training)\n"
+        "SELECT Feature, true AS not_negative, CAST(1.0 AS DOUBLE) AS total_importance FROM names"
+    )
     return q
 
 

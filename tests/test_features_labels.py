@@ -145,8 +145,48 @@ def test_multi_cutoff_is_one_aggregate(spark):
     t = labels.training_set(sales_frame(spark, data), cutoffs)
     per_cutoff = {r["cutoff"]: r["count"] for r in t.groupBy("cutoff").count().collect()}
     assert list(per_cutoff.values()) == [3, 3, 3]
-    plan = t._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastNestedLoopJoin" in plan or "BroadcastExchange" in plan
+
+
+def test_ten_thousand_cutoffs_without_a_theta_join(spark):
+    first = d("1990-01-01")
+    days = [first + dt.timedelta(days=i) for i in range(10_001)]
+    data = [("o1", "a", days[3], 2.0, 1.0, 0.0, 1.0, 0.1, "A", "a", "p", "S", "M"),
+            ("o2", "a", days[9_000], 3.0, 1.0, 0.0, 1.0, 0.1, "B", "a", "q", "T", "M"),
+            ("o3", "a", days[9_500], 3.0, 1.0, 0.0, 1.0, 0.1, "B", "a", "q", "T", "M"),
+            ("o4", "b", days[-1] + dt.timedelta(days=5), 1.0, 1.0, 0.0, 1.0, 0.1, "A", "a", "p", "S", "M")]
+    t = labels.training_set(sales_frame(spark, data), feat.cutoff_frame(spark, days, 10))
+    plan = t._jdf.queryExecution().optimizedPlan().toString()
+    assert "horizon_days" in plan
+    rows = {r["cutoff"]: r for r in t.collect()}
+    assert len(rows) == 10_001 - 3  # every cutoff from the first order on; b has no history at any
+    last = rows[days[-1]]
+    assert (last["frequencia_pedidos"], last["valor_total_gasto"], last["segment"], last["qtd_produtos_distintos"]) == (3, 8.0, "T", 2)
+    assert rows[days[8_999]]["target_comprou"] == 1 and rows[days[8_989]]["target_comprou"] == 0
+    assert rows[days[9_200]]["segment"] == "S"  # a tie goes to the smallest value
+
+
+def test_tiny_and_infinite_values_are_summed(spark):
+    tiny = [(f"o{i}", "ana", d("2020-01-01"), 4e-7, 1.0, 0.0, 0.0, 0.0, "A", "a", "p", "S", "M") for i in range(30_000)]
+    wide = [("x1", "bob", d("2020-01-01"), 1.0, 1.0, 0.0, float("inf"), 0.0, "A", "a", "p", "S", "M"),
+            ("x2", "bob", d("2020-01-01"), 1.0, 1.0, 0.0, 1.0, 0.0, "A", "a", "p", "S", "M")]
+    sales = sales_frame(spark, tiny + wide)
+    for frame in (feat.customer_features_current(sales), feat.customer_features_asof(sales, feat.cutoff_frame(spark, ["2020-02-01"]))):
+        out = {r["customer_name"]: r for r in frame.collect()}
+        assert out["ana"]["valor_total_gasto"] == 0.01
+        assert out["bob"]["lucro_total"] == float("inf")
+
+
+def test_not_a_number_and_missing_tokens(spark):
+    from lakemart.sources.raw_sales import tolerant_sales
+
+    raw = spark.createDataFrame(
+        [("o1", "ana", "2020-01-01", "1", "NaN", "0.10", "1", "0.2"), ("o2", "ana", "2020-01-01", "1", "2", "nan", "NULL", "0.2"),
+         ("o3", "NA", "2020-01-01", "1", "2", "0.1", "1", "0.2"), ("n/a", "ana", "2020-01-01", "1", "2", "0.1", "1", "0.2")],
+        "order_id string, customer_name string, order_date string, sales string, quantity string, discount string, profit string, margem_lucro string")
+    sales = tolerant_sales(raw)
+    assert sorted(r["order_id"] for r in sales.collect()) == ["o1", "o2"]
+    row = feat.customer_features_current(sales).first()
+    assert (row["quantidade_itens"], row["desconto_medio"], row["margem_media"], row["lucro_total"]) == (2.0, 0.1, 0.2, 1.0)
 
 
 def test_propensity_run_warns_about_censored_cutoffs(spark):

@@ -28,7 +28,7 @@ def pandas_deciles(scores):
         return [None] * len(scores)
 
 
-@pytest.mark.parametrize("case", ["random", "ties", "few", "equal"])
+@pytest.mark.parametrize("case", ["random", "ties", "few", "equal", "unrounded"])
 def test_deciles_match_pandas_qcut(spark, case):
     rnd = random.Random(7)
     scores = {
@@ -37,6 +37,7 @@ def test_deciles_match_pandas_qcut(spark, case):
         + [0.2] * 100,
         "few": [0.1, 0.3, 0.3, 0.7] * 20,
         "equal": [0.5] * 40,
+        "unrounded": [rnd.random() for _ in range(997)],
     }[case]
     out = scoring.add_deciles(scored(spark, scores)).orderBy("customer_name").collect()
     got = [r["percentil_score"] for r in out]
