@@ -188,6 +188,11 @@ def dec_sum(c: str) -> str:
     return f"CAST(sum({c}_dec) AS DOUBLE)"
 
 
+def written_sum(c: str) -> str:
+    """Sum of doubles by their shortest decimal form."""
+    return f"CAST(sum(CAST(CAST({c} AS VARCHAR) AS DECIMAL(30,10))) AS DOUBLE)"
+
+
 # Standalone-script input: tolerant numeric typing, required fields present.
 SCRIPT_SALES = f"""
 script_sales AS (
@@ -552,8 +557,9 @@ def build() -> dict[str, str]:
         "FROM banded WHERE ranking <= 10"
     )
     q["band_summary"] = (
-        f"{SCORED}\nSELECT faixa_propensao, count(*) AS total_clientes, avg(ticket_medio) AS ticket_medio_medio, "
-        "sum(valor_total_gasto) AS valor_acumulado, "
+        f"{SCORED}\nSELECT faixa_propensao, count(*) AS total_clientes, "
+        f"{written_sum('ticket_medio')} / count(ticket_medio) AS ticket_medio_medio, "
+        f"{written_sum('valor_total_gasto')} AS valor_acumulado, "
         f"{np_round('count(*) * 100.0 / sum(count(*)) OVER ()', 1)} AS pct_base "
         "FROM banded GROUP BY faixa_propensao"
     )
