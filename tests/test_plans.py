@@ -20,7 +20,7 @@ def plan_of(df) -> str:
 
 
 @needs_data
-def test_scan_prunes_columns_and_joins_orders_by_shuffle(spark):
+def test_scan_prunes_columns(spark):
     plan = plan_of(tq.raw_lines(spark, SF_SMALL))
     lineitem_scans = [ln for ln in plan.splitlines() if "FileScan parquet" in ln and "lineitem" in ln]
     assert lineitem_scans
