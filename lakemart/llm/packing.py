@@ -44,8 +44,8 @@ CLASSES = 256
 ROUNDS = 2000
 EPSILON = 0.2
 #: Entries of a worker's caches: pieces as they stand, and words without punctuation.
-CACHE_PIECES = 250_000
-CACHE_WORDS = 500_000
+CACHE_PIECES = 120_000
+CACHE_WORDS = 250_000
 RUN_WORDS = 1000
 _TAIL = ".,;:!?*#$%&|)]}\""
 
@@ -129,7 +129,7 @@ def tokenize_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = word_tokenizer(path)
-        for batch in slices(batches, text_col):
+        for batch in slices(batches, text_col, 1_500_000):
             row, piece, start, length, ids = [], [], [], [], []
             for i, data in enumerate(tokenizer.encode(texts_of(batch, text_col))):
                 data += end
