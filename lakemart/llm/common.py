@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import ensure_checkpoint_dir
+from ..session import store
+
+__all__ = ["BATCH_ROWS", "BROADCAST_KEYS", "documents", "fresh", "prepare", "slices", "store", "texts_of"]
 
 #: Rows that Spark hands to Python at once. Texts can be long, so batches are kept small.
 BATCH_ROWS = 512
@@ -27,18 +28,6 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def store(df: DataFrame) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared checkpoint folder and read it back.
-
-    The files outlive the executors that wrote them, so later stages neither
-    recompute ``df`` nor depend on any one executor, and readers prune columns.
-    """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def fresh(name: str, taken: Iterable[str]) -> str:
     """``name``, lengthened until no column in ``taken`` has it (names ignore case)."""
     used = {t.lower() for t in taken}
