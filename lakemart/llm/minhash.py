@@ -7,17 +7,21 @@ four. A pair of similarity s meets in a table unless all halves of one side
 differ: the chance to miss it is below ``2 * (1 - s**PER_HALF) ** HALVES``,
 5e-6 at 0.85.
 
-How the work stays in proportion to the input:
-
-* Documents with the same shingle set become one node before anything else.
-* Half keys that occur once are dropped before they are joined to table keys.
-* A bucket never gives all its pairs. Its nodes fall into classes of about
-  ``BLOCK`` by a fixed hash of the node; a round pairs the nodes of a few
-  classes with the bucket's other components. Buckets whose nodes are one
-  component are finished, which after the first round most large ones are;
-  the rounds go on until every pair across components has been tried.
-* Candidates pass a comparison of sizes (exact) and of the 40 minhashes (less
-  than 18 equal: below 1e-8 at 0.85) before their sets are read and compared.
+1. Documents with the same shingle set become one node.
+2. Half keys that occur once are dropped before they are joined to table keys;
+   tables that hold the same nodes are looked at once.
+3. Within a bucket, nodes are compared by one byte of each of their 40
+   minhashes; 22 equal ones (a chance of 1e-6 to miss a pair at 0.85) put two
+   nodes into one cluster. What is passed on is a spanning forest, not pairs.
+4. Within a cluster, full sets are compared, all pairs of them; again a
+   spanning forest of the links is passed on, whose connected components are
+   the result.
+
+Buckets and clusters are compared in units of two blocks of bounded size, each
+unit in its own group of rows, so that a very large group is spread over tasks
+and no task holds more than two blocks. Rows grow with a group's size times
+its number of blocks; only the comparison itself, which different variants of
+one text near the limit can't do without, grows with the square.
 
 Defined cases: null and empty texts have no shingles and are linked with
 nothing; fewer than five words form one shingle; null ids have no component
@@ -27,6 +31,7 @@ gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,10 +48,12 @@ WORDS = 5
 HALVES = 10
 PER_HALF = 2
 HASHES = 2 * HALVES * PER_HALF
-#: Equal minhashes, of 40, that a candidate needs before its sets are compared.
-LEAST_EQUAL = 18
-BLOCK = 16
-MOST_CLASSES = 8
+#: Equal minhashes, of 40, that put two nodes of a bucket into one cluster.
+LEAST_EQUAL = 22
+#: Most nodes of a block when sketches, and when sets are compared; most shingles of the latter.
+SKETCH_BLOCK = 512
+SET_BLOCK = 256
+SET_BLOCK_SHINGLES = 1_000_000
 CACHE_WORDS = 300_000
 
 _rng = np.random.default_rng(20240611)
@@ -123,105 +130,183 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def shingle_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``node, shingles`` of each row."""
+    """``node, data, size`` of each row: its set as the bytes of sorted 64-bit hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in slices(batches, text_col):
-            sets = [shingler.shingles(t or "") for t in batch.column(text_col).to_pylist()]
-            ends = np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64)))
-            yield pa.RecordBatch.from_pydict({"node": batch.column(id_col), "shingles": lists})
+            sets = [np.sort(shingler.shingles(t or "").view(np.int64)) for t in batch.column(text_col).to_pylist()]
+            yield pa.RecordBatch.from_pydict(
+                {"node": batch.column(id_col), "data": pa.array([s.tobytes() for s in sets], pa.binary()), "size": pa.array([len(s) for s in sets], pa.int32())}
+            )
 
-    out = T.StructType([T.StructField("node", docs.schema[id_col].dataType), T.StructField("shingles", T.ArrayType(T.LongType()))])
+    out = T.StructType([T.StructField("node", docs.schema[id_col].dataType), T.StructField("data", T.BinaryType()), T.StructField("size", T.IntegerType())])
     return docs.select(id_col, text_col).mapInArrow(run, out)
 
 
-def _buckets(nodes: DataFrame) -> DataFrame:
-    """``node, key, n, part, parts``: nodes in tables that more than one node has a key of."""
+def _table_keys(nodes: DataFrame) -> DataFrame:
+    """``node, key, early``: table keys made of half keys that more than one node has.
+
+    ``early`` marks the tables (i, i): a tenth of all, which find most clusters.
+    """
     halves = [F.xxhash64(F.lit(i), *(F.col("signature")[PER_HALF * i + k] for k in range(PER_HALF))) for i in range(2 * HALVES)]
     rows = nodes.select("node", F.posexplode(F.array(*halves)).alias("half", "value"))
     shared = rows.groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("value")
     live = rows.join(shared, "value").groupBy("node").agg(F.collect_list(F.struct("half", "value")).alias("own"))  # at most 20 to a node
     first = F.filter("own", lambda h: h["half"] < HALVES)
     second = F.filter("own", lambda h: h["half"] >= HALVES)
-    keys = (
-        live.select("node", F.explode(first).alias("x"), second.alias("ys"))
-        .select("node", "x", F.explode("ys").alias("y"))
-        .select("node", F.xxhash64("x.value", "y.value").alias("key"))
-    )
-    keys = store(keys)
-    counted = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    parts = F.ceil(F.col("n") / BLOCK)
-    place = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return keys.join(counted, "key").select("node", "key", parts.alias("parts"), F.floor(place * parts).alias("part"))
-
-
-def _candidates(rows: DataFrame, start: int, stop: int) -> DataFrame:
-    """Distinct pairs ``a < b`` across components with one side in classes ``start`` to ``stop``."""
-    centres = rows.filter(F.col("part").between(start, stop - 1)).select("key", F.col("node").alias("centre"), F.col("part").alias("centre_part"), F.col("component").alias("centre_component"))
-    met = rows.join(centres, "key").filter(
-        (F.col("component") != F.col("centre_component"))
-        & ((F.col("part") > F.col("centre_part")) | ((F.col("part") == F.col("centre_part")) & (F.col("node") > F.col("centre"))))
-    )
-    return met.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-
+    pairs = live.select("node", F.explode(first).alias("x"), second.alias("ys")).select("node", "x", F.explode("ys").alias("y"))
+    return pairs.select("node", F.xxhash64("x.value", "y.value").alias("key"), (F.col("x.half") + HALVES == F.col("y.half")).alias("early"))
+
+
+def _buckets(keys: DataFrame) -> DataFrame:
+    """``grp, node, known, blocks``: buckets whose nodes are not known to be one component."""
+    # tables that hold the same nodes (by number, ends and a hash of all) need one look
+    kinds = keys.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("node").alias("low"), F.max("node").alias("high"), F.bit_xor(F.xxhash64("node")).alias("all"),
+        F.min("known").alias("least"), F.max("known").alias("most"),
+    )
+    one = kinds.filter("least <> most").groupBy("n", "low", "high", "all").agg(F.min("key").alias("key")).select("key", "n")
+    return keys.join(one, "key").select(F.col("key").alias("grp"), "node", "known", F.ceil(F.col("n") / SKETCH_BLOCK).cast("int").alias("blocks"))
+
+
+def _in_units(rows: DataFrame) -> DataFrame:
+    """Rows ``grp, node, known, blocks, data, size`` given to each unit ``(grp, one, two)`` that compares the node's block with another."""
+    own = F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int")
+    spread = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    units = spread.withColumn("one", F.least("own", "other")).withColumn("two", F.greatest("own", "other")).drop("other", "blocks")
+    units = units.select("grp", "one", "two", "known", "own", "data", "size")
+    return units.repartition("grp", "one", "two").sortWithinPartitions("grp", "one", "two", "own")
+
+
+def _forest(known: list[int], near: np.ndarray) -> list[tuple[int, int]]:
+    """Edges that join the components ``known`` before within each component of the matrix ``near``."""
+    left, out = np.ones(len(known), bool), []
+    for i in range(len(known)):
+        if not left[i]:
+            continue
+        found = np.zeros(len(known), bool)
+        found[i] = True
+        edge = found
+        while edge.any():
+            edge = near[edge].any(axis=0) & ~found
+            found |= edge
+        left &= ~found
+        low, *others = sorted({known[k] for k in np.flatnonzero(found)})
+        out += [(low, n) for n in others]
+    return out
 
-def _similar_sketches(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    left = nodes.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("signature").alias("s_a"))
-    right = nodes.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("signature").alias("s_b"))
-    equal = sum(((F.col("s_a")[k] == F.col("s_b")[k]).cast("int") for k in range(HASHES)), F.lit(0))
-    joined = pairs.join(left, "a").filter(F.col("n_a") > 0).join(right, "b")
-    near = joined.filter((100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (equal >= LEAST_EQUAL))
-    return near.select("a", "b")
 
+def _equal_bytes(sketches: list[bytes], _: list[int]) -> np.ndarray:
+    """Which sketches share ``LEAST_EQUAL`` bytes."""
+    table = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), HASHES)
+    equal = np.zeros((len(table), len(table)), np.uint8)
+    for k in range(HASHES):
+        equal += table[:, k][:, None] == table[:, k][None, :]
+    return equal >= LEAST_EQUAL
+
+
+def _similar_sets(percent: int):
+    def similar(sets: list[bytes], sizes: list[int]) -> np.ndarray:
+        """Which sets (bytes of sorted 64-bit hashes) are similar enough, by exact intersections."""
+        flat = np.frombuffer(b"".join(sets), np.int64)
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        _, number, often = np.unique(flat, return_inverse=True, return_counts=True)
+        shared = often > 1  # what one set alone has adds to no intersection
+        column = np.cumsum(shared) - 1
+        keep = shared[number]
+        rows, columns = owner[keep], column[number[keep]]
+        order = np.argsort(columns, kind="stable")
+        rows, columns = rows[order], columns[order]
+        both = np.zeros((len(sets), len(sets)), np.float32)  # counts below 2^24 are exact
+        for start in range(0, int(shared.sum()), 4096):
+            a, b = np.searchsorted(columns, [start, start + 4096])
+            part = np.zeros((len(sets), 4096), np.float32)
+            part[rows[a:b], columns[a:b] - start] = 1
+            both += part @ part.T
+        n = np.array(sizes, np.float64)
+        return 100 * both.astype(np.float64) >= percent * (n[:, None] + n[None, :] - both)
+
+    return similar
+
+
+def _unit_edges(near):
+    """Edges ``a, b`` of a spanning forest of each unit; in units of two blocks only pairs across them count."""
+
+    def unit(key: tuple, rows: list[tuple]) -> list[tuple[int, int]]:
+        known, blocks, data, sizes = zip(*rows)
+        matrix = near(list(data), list(sizes))
+        if key[1] != key[2]:
+            side = np.array(blocks)
+            matrix &= side[:, None] != side[None, :]
+        return _forest(list(known), matrix)
 
-def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
-    """The pairs whose full sets are similar enough; ``pairs`` is stored."""
-    wanted = store(pairs.select(F.explode(F.array("a", "b")).alias(id_col)).distinct())
-    if wanted.count() <= BROADCAST_KEYS:
-        wanted = F.broadcast(wanted)
-    sets = store(shingle_sets(docs.select(id_col, text_col).join(wanted, id_col, "left_semi"), id_col, text_col))
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
-    shared = both.select("a", "b", (F.size("x") + F.size("y")).alias("total"), F.size(F.array_intersect("x", "y")).alias("shared"))
-    return shared.filter(100 * F.col("shared") >= percent * (F.col("total") - F.col("shared"))).select("a", "b").distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def stream():
+            for batch in batches:
+                yield from zip(*(batch.column(c).to_pylist() for c in ("grp", "one", "two", "known", "own", "data", "size")))
+
+        edges: list[tuple[int, int]] = []
+        for key, rows in itertools.groupby(stream(), key=lambda r: r[:3]):
+            edges += unit(key, [r[3:] for r in rows])
+            if len(edges) > 10_000:
+                yield pa.RecordBatch.from_pydict(dict(zip("ab", (pa.array(c, pa.int64()) for c in zip(*edges)))))
+                edges = []
+        if edges:
+            yield pa.RecordBatch.from_pydict(dict(zip("ab", (pa.array(c, pa.int64()) for c in zip(*edges)))))
+
+    return run
+
+
+def _clusters(nodes: DataFrame) -> DataFrame:
+    """``node, component`` of the nodes that share a bucket and most of a sketch with another.
+
+    The early tables come first; of the others, only buckets that hold several
+    of the components found then are looked at, and only edges between these
+    are passed on.
+    """
+    # one byte of each minhash: enough to count equal ones
+    sketches = nodes.select("node", F.col("sketch").alias("data"), F.lit(HASHES).alias("size"))
+    keys = store(_table_keys(nodes))
+
+    def edges(own: DataFrame) -> DataFrame:
+        return _in_units(_buckets(own).join(sketches, "node")).mapInArrow(_unit_edges(_equal_bytes), "a long, b long")
+
+    early = store(connected_components(edges(keys.filter("early").withColumn("known", F.col("node")))))
+    late = keys.filter(~F.col("early")).join(early, "node", "left").withColumn("known", F.coalesce("component", "node"))
+    found = edges(late.select("node", "key", "known"))
+    moved = store(connected_components(found.unionByName(early.select(F.col("node").alias("a"), F.col("component").alias("b")))))
+    return moved.unionByName(moved.select(F.col("component").alias("node"), "component").distinct())
+
+
+def _links(clusters: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """``a, b``: links between full sets, a spanning forest of each unit."""
+    wanted = store(clusters.join(nodes.select("node", "n_shingles"), "node"))
+    ids = wanted.select(F.col("node").alias(id_col)).distinct()
+    if ids.count() <= BROADCAST_KEYS:
+        ids = F.broadcast(ids)
+    sets = shingle_sets(docs.select(id_col, text_col).join(ids, id_col, "left_semi"), id_col, text_col).dropDuplicates(["node", "size"])
+    totals = wanted.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("total"))
+    blocks = F.greatest(F.ceil(F.col("n") / SET_BLOCK), F.ceil(F.col("total") / SET_BLOCK_SHINGLES)).cast("int")
+    placed = wanted.select("node", "component").join(totals.select("component", blocks.alias("blocks")), "component")
+    units = _in_units(placed.withColumnRenamed("component", "grp").withColumn("known", F.col("node")).join(sets, "node"))
+    return units.mapInArrow(_unit_edges(_similar_sets(percent)), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
     """``id_col, n_shingles, component_id, kept`` of each row, links at ``percent`` similarity or more."""
     signed = store(signatures(docs, id_col, text_col))
-    classes = (
+    low_bytes = F.unhex(F.concat(*(F.lpad(F.hex(F.col("signature")[k].bitwiseAND(255)), 2, "0") for k in range(HASHES))))
+    classes = store(
         signed.filter(f"`{id_col}` is not null and n_shingles > 0")
         .groupBy("set_hash")
         .agg(F.min(id_col).alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
+        .withColumn("sketch", low_bytes)
     )
-    classes = store(classes)
     nodes = classes.drop("set_hash")
-    buckets = store(_buckets(nodes))
-    open_rows = buckets.withColumn("component", F.col("node"))
-    links, start, width = None, 0, 1
-    while True:
-        pairs = store(_similar_sketches(_candidates(open_rows, start, start + width), nodes, percent))
-        if not pairs.isEmpty():
-            found = _verified(pairs, docs, id_col, text_col, percent)
-            links = connected_components(found if links is None else found.unionByName(links.select(F.col("node").alias("a"), F.col("component").alias("b"))))
-        start, width = start + width, min(2 * width, MOST_CLASSES)
-        rest = buckets.filter(F.col("parts") > start)
-        if rest.isEmpty():
-            break
-        if links is not None:
-            rest = rest.join(links, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        else:
-            rest = rest.withColumn("component", F.col("node"))
-        mixed = rest.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
-        open_rows = store(rest.join(mixed, "key"))
-        if open_rows.isEmpty():
-            break
+    links = connected_components(_links(_clusters(nodes), nodes, docs, id_col, text_col, percent))
     ids = signed.select(id_col, "n_shingles", "set_hash").join(classes.select("set_hash", "node"), "set_hash", "left")
-    if links is not None:
-        ids = ids.join(links, "node", "left")
-    else:
-        ids = ids.withColumn("component", F.col("node"))
+    ids = ids.join(links, "node", "left")
     component = F.when(F.col(id_col).isNotNull(), F.coalesce("component", "node", id_col))
     return ids.select(id_col, "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
 

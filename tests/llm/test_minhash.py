@@ -72,6 +72,21 @@ def test_shingles():
     assert s.shingles("a b") != s.shingles("a  b c")
 
 
+def test_exact_similarity_of_sets():
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 60, 40)) for _ in range(30)]
+    got = mh._similar_sets(60)([s.astype(np.int64).tobytes() for s in sets], [len(s) for s in sets])
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            assert got[i, j] == (100 * len(np.intersect1d(a, b)) >= 60 * len(np.union1d(a, b)))
+
+
+def test_forest():
+    near = np.eye(5, dtype=bool)
+    near[0, 3] = near[3, 0] = near[3, 4] = near[4, 3] = True
+    assert sorted(mh._forest([9, 2, 7, 5, 6], near)) == [(5, 6), (5, 9)]
+
+
 def test_minhash_estimates():
     rng = np.random.default_rng(0)
     base = rng.integers(1 << 62, size=4000, dtype=np.uint64)
@@ -98,9 +113,10 @@ def test_components(spark):
     assert found == {i: root(i) for i in parent if root(i) != i}
 
 
-@pytest.mark.parametrize("block", [16, 2])
+@pytest.mark.parametrize("block", [512, 7])
 def test_groups_equal_brute_force(spark, monkeypatch, block):
-    monkeypatch.setattr(mh, "BLOCK", block)  # small classes: several rounds
+    monkeypatch.setattr(mh, "SKETCH_BLOCK", block)  # small blocks: units across blocks
+    monkeypatch.setattr(mh, "SET_BLOCK", block)
     rows = []
     for seed, size in ((1, 40), (2, 2), (3, 25), (4, 6)):
         rows += variants(seed, size)
