@@ -9,6 +9,8 @@ are longer than t.
 
 from __future__ import annotations
 
+from array import array
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -89,34 +91,45 @@ class Chain:
         on = ahead * behind
         return on / (on + (1 - ahead) * (1 - behind))
 
-    def pair_marginals(self, scores: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Marginals, and for each token that follows another the 2x2 probabilities of both states."""
+    def expectations(self, scores: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Marginals, and the expected number of each of the 2x2 transitions."""
         ahead, behind = self.passes(scores, starts, sizes)
         on = ahead * behind
         follows = np.ones(len(scores), bool)
         follows[starts] = False
-        now = np.flatnonzero(follows)
-        e = np.exp(np.clip(scores[now], -30, 30))
-        left = np.stack([1 - ahead[now - 1], ahead[now - 1]], 1)
-        right = np.stack([1 - behind[now], behind[now] * e], 1)
-        joint = left[:, :, None] * self.factors * right[:, None, :]
-        return on / (on + (1 - ahead) * (1 - behind)), joint / joint.sum(axis=(1, 2), keepdims=True)
-
-
-def train(tokens: list[str], ids: np.ndarray, states: np.ndarray, starts: np.ndarray, sizes: np.ndarray, rounds: int = 60, rate: float = 0.3, decay: float = 2e-3) -> tuple[dict[str, float], float, Chain]:
+        all_, moves = np.flatnonzero(follows), np.zeros((2, 2))
+        for part in range(0, len(all_), 100_000):
+            now = all_[part : part + 100_000]
+            e = np.exp(np.clip(scores[now], -30, 30))
+            left = np.stack([1 - ahead[now - 1], ahead[now - 1]], 1)
+            right = np.stack([1 - behind[now], behind[now] * e], 1)
+            joint = left[:, :, None] * self.factors * right[:, None, :]
+            moves += (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+        return on / (on + (1 - ahead) * (1 - behind)), moves
+
+
+class Features:
+    """Numbers of the features of each different token, in two flat arrays."""
+
+    def __init__(self, tokens: Iterable[str]):
+        self.names: dict[str, int] = {}
+        owner, feature = array("i"), array("i")
+        for i, token in enumerate(tokens):
+            for f in token_features(token):
+                owner.append(i)
+                feature.append(self.names.setdefault(f, len(self.names)))
+        self.owner, self.feature = np.array(owner, np.int32), np.array(feature, np.int32)
+
+
+def train(features: Features, ids: np.ndarray, states: np.ndarray, starts: np.ndarray, sizes: np.ndarray, rounds: int = 60, rate: float = 0.3, decay: float = 2e-3) -> tuple[dict[str, float], float, Chain]:
     """Feature weights, bias and chain that maximise the likelihood of ``states`` (0 or 1 to a token).
 
-    ``tokens`` are the different tokens and ``ids`` their numbers in order of
+    ``ids`` are the numbers of the tokens of ``features`` in order of
     appearance. Gradients are the difference of observed and expected counts
     (Adagrad on the whole sample).
     """
-    names: dict[str, int] = {}
-    owner, feature = [], []
-    for i, token in enumerate(tokens):
-        for f in token_features(token):
-            owner.append(i)
-            feature.append(names.setdefault(f, len(names)))
-    owner_, feature_ = np.array(owner), np.array(feature)
+    names, owner_, feature_ = features.names, features.owner, features.feature
+    different = int(owner_.max()) + 1
     w, bias, moves, start = np.zeros(len(names)), np.log((states.mean() + 1e-6) / (1 - states.mean() + 1e-6)), np.zeros((2, 2)), np.zeros(2)
     total = [np.full(x.shape, 1e-8) for x in (w, np.zeros(1), moves, start)]
     follows = np.ones(len(ids), bool)
@@ -125,17 +138,17 @@ def train(tokens: list[str], ids: np.ndarray, states: np.ndarray, starts: np.nda
     seen_moves = np.zeros((2, 2))
     np.add.at(seen_moves, (states[now - 1], states[now]), 1)
     seen_start = np.bincount(states[starts], minlength=2)
-    observed = np.bincount(ids, weights=states, minlength=len(tokens))
+    observed = np.bincount(ids, weights=states, minlength=different)
     n = max(1.0, float(states.sum()))
     for _ in range(rounds):
-        token_score = np.bincount(owner_, weights=w[feature_], minlength=len(tokens)) + bias
+        token_score = np.bincount(owner_, weights=w[feature_], minlength=different) + bias
         chain = Chain(np.exp(moves), np.exp(start))
-        p, joint = chain.pair_marginals(token_score[ids], starts, sizes)
-        missing = observed - np.bincount(ids, weights=p, minlength=len(tokens))
+        p, expected_moves = chain.expectations(token_score[ids], starts, sizes)
+        missing = observed - np.bincount(ids, weights=p, minlength=different)
         grads = (
             np.bincount(feature_, weights=missing[owner_], minlength=len(w)) / n - decay * w,
             np.array([missing.sum() / n]),
-            (seen_moves - joint.sum(axis=0)) / n - decay * moves,
+            (seen_moves - expected_moves) / n - decay * moves,
             (seen_start - np.array([(1 - p[starts]).sum(), p[starts].sum()])) / n - decay * start,
         )
         steps = []
@@ -143,4 +156,4 @@ def train(tokens: list[str], ids: np.ndarray, states: np.ndarray, starts: np.nda
             t += g * g
             steps.append(rate * g / np.sqrt(t))
         w, bias, moves, start = w + steps[0], bias + steps[1][0], moves + steps[2], start + steps[3]
-    return {f: float(w[i]) for f, i in names.items() if abs(w[i]) > 1e-3}, float(bias), Chain(np.exp(moves), np.exp(start))
+    return {f: float(w[i]) for f, i in names.items() if abs(w[i]) > 1e-2}, float(bias), Chain(np.exp(moves), np.exp(start))

@@ -21,9 +21,7 @@ than id and text are ignored.
 
 from __future__ import annotations
 
-import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -34,12 +32,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import slices
-from .crf import Chain, ends_sentence, sequences, token_features, train
+from .crf import Chain, Features, ends_sentence, sequences, token_features, train
 from .quality_rules import labelled_sample
 
-SAMPLE_ROWS = 4_000
-SAMPLE_CHARS = 50_000
-CACHE_TOKENS = 300_000
+SAMPLE_ROWS = 2_500
+SAMPLE_CHARS = 10_000
+CACHE_TOKENS = 200_000
 _WORD = re.compile(r"\S+")
 
 
@@ -94,30 +92,32 @@ class Tagger:
         return cut, [p[a:b] for a, b in zip(bounds, bounds[1:])]
 
 
-def marks(token: str) -> list[str]:
-    """The word and those beginnings of it that are long enough to mean something."""
-    return [f for f in token_features(token) if f[:2] == "w=" or f[:2] == "b=" and len(f) >= 6]
+def offending_marks(features: Features, docs: list[np.ndarray], toxic: np.ndarray, chance: float = 1.0) -> np.ndarray:
+    """Which features are words, or beginnings of some length, in more toxic texts than chance allows.
 
-
-def offending_marks(tokens: list[set[str]], toxic: np.ndarray, chance: float = 1.0) -> set[str]:
-    """Marks in more toxic texts than chance allows: about ``chance`` of all marks tried would be one by luck."""
-    n, positive = len(toxic), int(toxic.sum())
-    all_, bad = Counter(), Counter()
-    for words, y in zip(tokens, toxic):
-        all_.update(words)
-        if y:
-            bad.update(words)
-    rate, found = positive / n, set()
-    for word, k in bad.items():
-        m = all_[word]
-        if k < 3 or k / m < 3 * rate or k / m < 0.4:
+    ``docs`` are the token numbers of each text. About ``chance`` of all marks
+    tried would be one by luck.
+    """
+    mark = np.array([f[:2] == "w=" or f[:2] == "b=" and len(f) >= 6 for f in features.names], bool)
+    first = np.searchsorted(features.owner, np.arange(features.owner[-1] + 2))
+    everywhere, bad = np.zeros(len(mark), np.int32), np.zeros(len(mark), np.int32)
+    for ids, y in zip(docs, toxic):
+        if not len(ids):
             continue
-        # P(at least k of m) by the Chernoff bound
-        share = k / m
-        divergence = share * math.log(share / rate) + (0 if share == 1 else (1 - share) * math.log((1 - share) / (1 - rate)))
-        if -m * divergence < math.log(chance / len(all_)):
-            found.add(word)
-    return found
+        own = np.unique(ids)
+        sizes = first[own + 1] - first[own]
+        at = np.repeat(first[own] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        found = np.unique(features.feature[at])
+        everywhere[found] += 1
+        if y:
+            bad[found] += 1
+    rate = toxic.sum() / len(toxic)
+    share = bad / np.maximum(everywhere, 1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        # P(at least this share of that many texts) by the Chernoff bound
+        divergence = share * np.log(share / rate) + np.where(share < 1, (1 - share) * np.log((1 - share) / (1 - rate)), 0)
+    likely = (bad >= 3) & (share >= 3 * rate) & (share >= 0.4)
+    return mark & likely & (-everywhere * divergence < np.log(chance / max(1, int(mark.sum()))))
 
 
 def calibrate(x: np.ndarray, y: np.ndarray, rounds: int = 60, ridge: float = 1e-2) -> tuple[float, float, float]:
@@ -142,22 +142,25 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model:
     flat = Model(calibration=(float(np.log(share / (1 - share))), 0.0, 0.0))
     if not toxic.any() or toxic.all():
         return flat
-    cut = [t.split() for t in texts]
-    own = {t: marks(t) for t in set().union(*cut)}
-    found = offending_marks([{m for t in set(tokens) for m in own[t]} for tokens in cut], toxic)
-    if not found:
-        return flat
     ids: dict[str, int] = {}
-    numbers = np.array([ids.setdefault(t, len(ids)) for tokens in cut for t in tokens], np.int64)
-    different = list(ids)
-    marked = np.array([not found.isdisjoint(own[t]) for t in different])
-    bounds = np.cumsum([0] + [len(tokens) for tokens in cut])
-    starts, sizes = sequences(np.array([ends_sentence(t) for t in different])[numbers], np.unique(bounds[:-1][np.diff(bounds) > 0]))
+    docs = [np.array([ids.setdefault(t, len(ids)) for t in text.split()], np.int32) for text in texts]
+    if not ids:
+        return flat
+    features = Features(ids)
+    found = offending_marks(features, docs, toxic)
+    if not found.any():
+        return flat
+    marked = np.zeros(len(ids), bool)
+    marked[features.owner[found[features.feature]]] = True
+    numbers = np.concatenate(docs)
+    bounds = np.cumsum([0] + [len(d) for d in docs])
+    starts, sizes = sequences(np.array([ends_sentence(t) for t in ids])[numbers], np.unique(bounds[:-1][np.diff(bounds) > 0]))
     states = (marked[numbers] & np.repeat(toxic, np.diff(bounds))).astype(np.int64)
-    weights, bias, chain = train(different, numbers, states, starts, sizes)
+    weights, bias, chain = train(features, numbers, states, starts, sizes)
+    del features, ids
     model = Model(weights, bias, chain)
     tagger = Tagger(model)
-    most, total = summaries(tagger.tag(texts)[1])
+    most, total = (np.concatenate(c) for c in zip(*(summaries(tagger.tag(texts[i : i + 200])[1]) for i in range(0, len(texts), 200))))
     model.calibration = calibrate(evidence(most, total), toxic.astype(float))
     return model
 
