@@ -22,6 +22,9 @@ from lakemart.llm.minhash import keep_one_of_each
 from lakemart.llm.pii import mask_pii
 from lakemart.llm.queries import packed_documents
 
+#: Similarity, in percent, from which the near-copy stage links two documents; 85 is that of the op5 query only.
+NEAR_PERCENT = 80
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier rejects go."""
@@ -36,9 +39,9 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked near copies the document with the smallest id goes on."""
+    """Of near copies linked at a similarity of 0.8 or more the document with the smallest id goes on."""
     prepare(spark)
-    return keep_one_of_each(docs)
+    return keep_one_of_each(docs, percent=NEAR_PERCENT)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

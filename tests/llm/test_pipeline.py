@@ -63,6 +63,28 @@ def test_near(stages):
     assert after == {k: before[k] for k, (_, c) in components.items() if c == k}
 
 
+def test_near_links_from_80_percent(spark):
+    rows = []
+    for g in range(12):
+        base = [f"g{g}w{k}" for k in range(200)]
+        for edits in (0, 3, 4, 5):  # similarity to the first: 0.858, 0.815, 0.774
+            own = list(base)
+            for e in range(edits):
+                own[10 + 20 * e + 7 * edits] = f"x{g}e{edits}k{e}"
+            rows.append((len(rows), " ".join(own), "en", "s", 1))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    components = near_components([(r[0], r[1]) for r in rows], 80)
+    kept = set(by_id(cp.near_stage(spark, docs, "")))
+    assert kept == {k for k, (_, c) in components.items() if c == k}
+    assert kept != {k for k, (_, c) in near_components([(r[0], r[1]) for r in rows], 85).items() if c == k}
+
+
+def test_near_at_80_on_the_tables(stages):
+    before, after = by_id(stages["exact_dedup"]), by_id(stages["minhash_near_dedup"])
+    components = near_components([(k, r.text) for k, r in before.items()], 80)
+    assert after == {k: before[k] for k, (_, c) in components.items() if c == k}
+
+
 def test_pii(stages):
     before, after = by_id(stages["minhash_near_dedup"]), by_id(stages["pii"])
     assert before.keys() == after.keys()
