@@ -1,18 +1,21 @@
 """Near duplicates by MinHash with tensored banding, verified on full shingle sets.
 
-Two collections of ``HALVES`` half keys, each made of ``PER_HALF`` minhashes,
-give ``HALVES ** 2`` tables: the key of table (i, j) joins half i of the first
-collection with half j of the second. 40 minhashes thus serve 100 tables of
-four. A pair of similarity s meets in a table unless all halves of one side
-differ: the chance to miss it is below ``2 * (1 - s**PER_HALF) ** HALVES``,
-5e-6 at 0.85.
+Two collections of half keys, each half made of ``PER_HALF`` minhashes, give a
+table for each pair of them: the key of table (i, j) joins half i of the first
+collection with half j of the second. At 0.85, 40 minhashes thus serve 100
+tables of four. A pair of similarity s meets in a table unless all halves of one
+side differ: the chance to miss it is below ``2 * (1 - s**PER_HALF) ** halves``.
+``banding`` derives the number of halves from the limit so that this stays
+below ``MISS_TABLES`` (10 halves at 0.85, 12 at 0.8, 43 at 0.5); limits below
+``LEAST_PERCENT`` are refused.
 
 1. Documents with the same shingle set become one node.
 2. Half keys that occur once are dropped before they are joined to table keys;
    tables that hold the same nodes are looked at once.
-3. Within a bucket, nodes are compared by one byte of each of their 40
-   minhashes; 22 equal ones (a chance of 1e-6 to miss a pair at 0.85) put two
-   nodes into one cluster. What is passed on is a spanning forest, not pairs.
+3. Within a bucket, nodes are compared by one byte of each of their minhashes;
+   enough equal ones (22 of 40 at 0.85; as many as miss a pair at the limit with
+   a chance below ``MISS_SKETCH``) put two nodes into one cluster. What is passed
+   on is a spanning forest, not pairs.
 4. Within a cluster, full sets are compared, all pairs of them; again a
    spanning forest of the links is passed on, whose connected components are
    the result.
@@ -32,7 +35,9 @@ gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -45,20 +50,48 @@ from .common import BROADCAST_KEYS, slices, store
 from .components import connected_components
 
 WORDS = 5
-HALVES = 10
 PER_HALF = 2
-HASHES = 2 * HALVES * PER_HALF
-#: Equal minhashes, of 40, that put two nodes of a bucket into one cluster.
-LEAST_EQUAL = 22
+#: Most allowed chance that a pair at the limit meets in no table, and that it has too few equal minhashes.
+MISS_TABLES = 1e-5
+MISS_SKETCH = 2e-6
+#: Lowest similarity limit that is served, in percent; tables grow fast below it.
+LEAST_PERCENT = 50
 #: Most nodes of a block when sketches, and when sets are compared; most shingles of the latter.
 SKETCH_BLOCK = 512
 SET_BLOCK = 256
 SET_BLOCK_SHINGLES = 1_000_000
 CACHE_WORDS = 300_000
 
+
+@dataclass(frozen=True)
+class Banding:
+    """Half keys of each collection, and equal minhashes that put two nodes of a bucket into one cluster."""
+
+    halves: int
+    least_equal: int
+
+    @property
+    def hashes(self) -> int:
+        return 2 * self.halves * PER_HALF
+
+
+def banding(percent: int) -> Banding:
+    """The fewest halves, and the most equal minhashes asked for, that keep both miss chances at ``percent`` similarity."""
+    if not LEAST_PERCENT <= percent <= 100:
+        raise ValueError(f"percent must be from {LEAST_PERCENT} to 100, not {percent}")
+    s = percent / 100
+    halves = next(h for h in itertools.count(1) if 2 * (1 - s**PER_HALF) ** h <= MISS_TABLES)
+    n, fewer, least = 2 * halves * PER_HALF, 0.0, 0  # fewer: P(at most ``least`` of n minhashes are equal)
+    while least < n and (fewer := fewer + math.comb(n, least) * s**least * (1 - s) ** (n - least)) <= MISS_SKETCH:
+        least += 1
+    return Banding(halves, least)
+
+
+HASHES = banding(85).hashes
+_MOST_HASHES = banding(LEAST_PERCENT).hashes
 _rng = np.random.default_rng(20240611)
-_FACTORS = _rng.integers(1 << 62, size=HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_SHIFTS = _rng.integers(1 << 62, size=HASHES, dtype=np.uint64)
+_FACTORS = _rng.integers(1 << 62, size=_MOST_HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SHIFTS = _rng.integers(1 << 62, size=_MOST_HASHES, dtype=np.uint64)
 _PLACES = _rng.integers(1 << 62, size=WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -92,11 +125,11 @@ class Shingler:
         return np.unique(_mixed(total))
 
 
-def minhashes(sets: list[np.ndarray]) -> np.ndarray:
+def minhashes(sets: list[np.ndarray], hashes: int = HASHES) -> np.ndarray:
     """One row of 32-bit minhashes for each non-empty set."""
     flat, starts = np.concatenate(sets), np.cumsum([0] + [len(s) for s in sets[:-1]])
-    out = np.empty((len(sets), HASHES), np.int32)
-    for k in range(HASHES):
+    out = np.empty((len(sets), hashes), np.int32)
+    for k in range(hashes):
         values = (flat * _FACTORS[k] + _SHIFTS[k]) >> np.uint64(32)
         out[:, k] = np.minimum.reduceat(values, starts).astype(np.uint32).view(np.int32)
     return out
@@ -107,7 +140,7 @@ def _matrix(rows: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, n * width + 1, width, dtype=np.int32)), pa.array(rows.reshape(-1), kind))
 
 
-def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hashes: int = HASHES) -> DataFrame:
     """``id_col, n_shingles, set_hash, signature``; the last two are null without shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,7 +148,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         for batch in slices(batches, text_col):
             sets = [shingler.shingles(t or "") for t in batch.column(text_col).to_pylist()]
             full = [s for s in sets if len(s)]
-            made = iter(_matrix(minhashes(full), pa.int32()) if full else [])
+            made = iter(_matrix(minhashes(full, hashes), pa.int32()) if full else [])
             yield pa.RecordBatch.from_pydict(
                 {
                     id_col: batch.column(id_col),
@@ -144,19 +177,19 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(id_col, text_col).mapInArrow(run, out)
 
 
-def _table_keys(nodes: DataFrame) -> DataFrame:
+def _table_keys(nodes: DataFrame, count: int) -> DataFrame:
     """``node, key, early``: table keys made of half keys that more than one node has.
 
-    ``early`` marks the tables (i, i): a tenth of all, which find most clusters.
+    ``early`` marks the tables (i, i): one in ``count`` of all, which find most clusters.
     """
-    halves = [F.xxhash64(F.lit(i), *(F.col("signature")[PER_HALF * i + k] for k in range(PER_HALF))) for i in range(2 * HALVES)]
+    halves = [F.xxhash64(F.lit(i), *(F.col("signature")[PER_HALF * i + k] for k in range(PER_HALF))) for i in range(2 * count)]
     rows = nodes.select("node", F.posexplode(F.array(*halves)).alias("half", "value"))
     shared = rows.groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("value")
-    live = rows.join(shared, "value").groupBy("node").agg(F.collect_list(F.struct("half", "value")).alias("own"))  # at most 20 to a node
-    first = F.filter("own", lambda h: h["half"] < HALVES)
-    second = F.filter("own", lambda h: h["half"] >= HALVES)
+    live = rows.join(shared, "value").groupBy("node").agg(F.collect_list(F.struct("half", "value")).alias("own"))  # at most 2 * count to a node
+    first = F.filter("own", lambda h: h["half"] < count)
+    second = F.filter("own", lambda h: h["half"] >= count)
     pairs = live.select("node", F.explode(first).alias("x"), second.alias("ys")).select("node", "x", F.explode("ys").alias("y"))
-    return pairs.select("node", F.xxhash64("x.value", "y.value").alias("key"), (F.col("x.half") + HALVES == F.col("y.half")).alias("early"))
+    return pairs.select("node", F.xxhash64("x.value", "y.value").alias("key"), (F.col("x.half") + count == F.col("y.half")).alias("early"))
 
 
 def _buckets(keys: DataFrame) -> DataFrame:
@@ -197,13 +230,16 @@ def _forest(known: list[int], near: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _equal_bytes(sketches: list[bytes], _: list[int]) -> np.ndarray:
-    """Which sketches share ``LEAST_EQUAL`` bytes."""
-    table = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), HASHES)
-    equal = np.zeros((len(table), len(table)), np.uint8)
-    for k in range(HASHES):
-        equal += table[:, k][:, None] == table[:, k][None, :]
-    return equal >= LEAST_EQUAL
+def _equal_bytes(bands: Banding):
+    def equal_bytes(sketches: list[bytes], _: list[int]) -> np.ndarray:
+        """Which sketches share enough bytes."""
+        table = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), bands.hashes)
+        equal = np.zeros((len(table), len(table)), np.uint8)  # at most 172 minhashes
+        for k in range(bands.hashes):
+            equal += table[:, k][:, None] == table[:, k][None, :]
+        return equal >= bands.least_equal
+
+    return equal_bytes
 
 
 def _similar_sets(percent: int):
@@ -258,7 +294,7 @@ def _unit_edges(near):
     return run
 
 
-def _clusters(nodes: DataFrame) -> DataFrame:
+def _clusters(nodes: DataFrame, bands: Banding) -> DataFrame:
     """``node, component`` of the nodes that share a bucket and most of a sketch with another.
 
     The early tables come first; of the others, only buckets that hold several
@@ -266,11 +302,11 @@ def _clusters(nodes: DataFrame) -> DataFrame:
     are passed on.
     """
     # one byte of each minhash: enough to count equal ones
-    sketches = nodes.select("node", F.col("sketch").alias("data"), F.lit(HASHES).alias("size"))
-    keys = store(_table_keys(nodes))
+    sketches = nodes.select("node", F.col("sketch").alias("data"), F.lit(bands.hashes).alias("size"))
+    keys = store(_table_keys(nodes, bands.halves))
 
     def edges(own: DataFrame) -> DataFrame:
-        return _in_units(_buckets(own).join(sketches, "node")).mapInArrow(_unit_edges(_equal_bytes), "a long, b long")
+        return _in_units(_buckets(own).join(sketches, "node")).mapInArrow(_unit_edges(_equal_bytes(bands)), "a long, b long")
 
     early = store(connected_components(edges(keys.filter("early").withColumn("known", F.col("node")))))
     late = keys.filter(~F.col("early")).join(early, "node", "left").withColumn("known", F.coalesce("component", "node"))
@@ -295,8 +331,9 @@ def _links(clusters: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str,
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
     """``id_col, n_shingles, component_id, kept`` of each row, links at ``percent`` similarity or more."""
-    signed = store(signatures(docs, id_col, text_col))
-    low_bytes = F.unhex(F.concat(*(F.lpad(F.hex(F.col("signature")[k].bitwiseAND(255)), 2, "0") for k in range(HASHES))))
+    bands = banding(percent)
+    signed = store(signatures(docs, id_col, text_col, bands.hashes))
+    low_bytes = F.unhex(F.concat(*(F.lpad(F.hex(F.col("signature")[k].bitwiseAND(255)), 2, "0") for k in range(bands.hashes))))
     classes = store(
         signed.filter(f"`{id_col}` is not null and n_shingles > 0")
         .groupBy("set_hash")
@@ -304,7 +341,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .withColumn("sketch", low_bytes)
     )
     nodes = classes.drop("set_hash")
-    links = connected_components(_links(_clusters(nodes), nodes, docs, id_col, text_col, percent))
+    links = connected_components(_links(_clusters(nodes, bands), nodes, docs, id_col, text_col, percent))
     ids = signed.select(id_col, "n_shingles", "set_hash").join(classes.select("set_hash", "node"), "set_hash", "left")
     ids = ids.join(links, "node", "left")
     component = F.when(F.col(id_col).isNotNull(), F.coalesce("component", "node", id_col))

@@ -127,6 +127,35 @@ def test_groups_equal_brute_force(spark, monkeypatch, block):
     assert got(mh.near_duplicates(docs)) == brute(data)
 
 
+def test_banding_keeps_the_miss_chance():
+    assert mh.banding(85) == mh.Banding(10, 22)
+    for percent in range(mh.LEAST_PERCENT, 100):
+        b, s = mh.banding(percent), percent / 100
+        assert 2 * (1 - s**mh.PER_HALF) ** b.halves <= mh.MISS_TABLES
+        equal = np.random.default_rng(percent).binomial(b.hashes, s, 100_000)
+        assert (equal < b.least_equal).mean() <= 1e-4  # at the former constants 0.2 at 60
+        assert b.hashes < 256
+    for percent in (0, 49, 101):
+        with pytest.raises(ValueError):
+            mh.banding(percent)
+
+
+@pytest.mark.parametrize("percent", [60, 80])
+def test_low_limits_equal_brute_force(spark, percent):
+    rng, rows = random.Random(percent), []
+    for g in range(60):  # pairs just above the limit: one run of words differs
+        words = [f"g{g}w{k}" for k in range(204)]
+        shared = -(-2 * 200 * percent // (100 + percent))
+        other = [w if k < shared + 4 else f"y{g}k{k}" for k, w in enumerate(words)]
+        rows += [" ".join(words), " ".join(other)]
+    rng.shuffle(rows)
+    data = list(enumerate(rows))
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    want = brute(data, percent)
+    assert len({c for _, c in want.values()}) == 60
+    assert got(mh.near_duplicates(docs, percent=percent)) == want
+
+
 def test_edge_rows(spark):
     docs = spark.createDataFrame([(None, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f"), (2, None)], "doc_id long, text string")
     rows = sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.kept) for r in mh.near_duplicates(docs).collect())
