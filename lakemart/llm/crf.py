@@ -91,8 +91,8 @@ class Chain:
         on = ahead * behind
         return on / (on + (1 - ahead) * (1 - behind))
 
-    def expectations(self, scores: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Marginals, and the expected number of each of the 2x2 transitions."""
+    def expectations(self, scores: np.ndarray, starts: np.ndarray, sizes: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Marginals, and the expected number of each of the 2x2 transitions; a token stands for ``counts`` of its kind."""
         ahead, behind = self.passes(scores, starts, sizes)
         on = ahead * behind
         follows = np.ones(len(scores), bool)
@@ -104,7 +104,8 @@ class Chain:
             left = np.stack([1 - ahead[now - 1], ahead[now - 1]], 1)
             right = np.stack([1 - behind[now], behind[now] * e], 1)
             joint = left[:, :, None] * self.factors * right[:, None, :]
-            moves += (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+            each = 1.0 if counts is None else counts[now][:, None, None]
+            moves += (each * joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
         return on / (on + (1 - ahead) * (1 - behind)), moves
 
 
@@ -121,35 +122,38 @@ class Features:
         self.owner, self.feature = np.array(owner, np.int32), np.array(feature, np.int32)
 
 
-def train(features: Features, ids: np.ndarray, states: np.ndarray, starts: np.ndarray, sizes: np.ndarray, rounds: int = 60, rate: float = 0.3, decay: float = 2e-3) -> tuple[dict[str, float], float, Chain]:
+def train(features: Features, ids: np.ndarray, states: np.ndarray, starts: np.ndarray, sizes: np.ndarray, rounds: int = 60, rate: float = 0.3, decay: float = 2e-3, weights: np.ndarray | None = None) -> tuple[dict[str, float], float, Chain]:
     """Feature weights, bias and chain that maximise the likelihood of ``states`` (0 or 1 to a token).
 
     ``ids`` are the numbers of the tokens of ``features`` in order of
     appearance. Gradients are the difference of observed and expected counts
-    (Adagrad on the whole sample).
+    (Adagrad on the whole sample). A sequence (in order of its start) counts
+    ``weights`` times.
     """
     names, owner_, feature_ = features.names, features.owner, features.feature
     different = int(owner_.max()) + 1
-    w, bias, moves, start = np.zeros(len(names)), np.log((states.mean() + 1e-6) / (1 - states.mean() + 1e-6)), np.zeros((2, 2)), np.zeros(2)
+    each = np.ones(len(ids)) if weights is None else np.repeat(weights, sizes)  # to a token
+    share = np.average(states, weights=each)
+    w, bias, moves, start = np.zeros(len(names)), np.log((share + 1e-6) / (1 - share + 1e-6)), np.zeros((2, 2)), np.zeros(2)
     total = [np.full(x.shape, 1e-8) for x in (w, np.zeros(1), moves, start)]
     follows = np.ones(len(ids), bool)
     follows[starts] = False
     now = np.flatnonzero(follows)
     seen_moves = np.zeros((2, 2))
-    np.add.at(seen_moves, (states[now - 1], states[now]), 1)
-    seen_start = np.bincount(states[starts], minlength=2)
-    observed = np.bincount(ids, weights=states, minlength=different)
-    n = max(1.0, float(states.sum()))
+    np.add.at(seen_moves, (states[now - 1], states[now]), each[now])
+    seen_start = np.bincount(states[starts], weights=each[starts], minlength=2)
+    observed = np.bincount(ids, weights=states * each, minlength=different)
+    n = max(1.0, float((states * each).sum()))
     for _ in range(rounds):
         token_score = np.bincount(owner_, weights=w[feature_], minlength=different) + bias
         chain = Chain(np.exp(moves), np.exp(start))
-        p, expected_moves = chain.expectations(token_score[ids], starts, sizes)
-        missing = observed - np.bincount(ids, weights=p, minlength=different)
+        p, expected_moves = chain.expectations(token_score[ids], starts, sizes, each)
+        missing = observed - np.bincount(ids, weights=p * each, minlength=different)
         grads = (
             np.bincount(feature_, weights=missing[owner_], minlength=len(w)) / n - decay * w,
             np.array([missing.sum() / n]),
             (seen_moves - expected_moves) / n - decay * moves,
-            (seen_start - np.array([(1 - p[starts]).sum(), p[starts].sum()])) / n - decay * start,
+            (seen_start - np.array([((1 - p[starts]) * each[starts]).sum(), (p[starts] * each[starts]).sum()])) / n - decay * start,
         )
         steps = []
         for g, t in zip(grads, total):

@@ -8,10 +8,15 @@ sentence of every text: the marginals give offending spans, and their largest
 value and their sum, calibrated by logistic regression, give the document's
 score.
 
-Training reads at most ``SAMPLE_ROWS`` labelled texts of at most
-``SAMPLE_CHARS`` characters, those with the lowest hash of their id; a caller
-can exclude rows (the query leaves out those held out). Only the text is ever
-an input of a score.
+Document frequencies and calibration read all labelled texts, whole, as Spark
+jobs; a caller can exclude rows (the query leaves out those held out). The field
+itself learns from a sample of their sequences (of at most ``MOST_TOKENS``
+tokens, from anywhere in a text): sequences are divided by the label of their
+text and the rarest mark they hold, each such stratum gives those of lowest
+hash, about ``MARKED_SEQUENCES`` shared by all strata with a mark (at least
+``LEAST_SEQUENCES`` from each, so that no mark goes unseen) and
+``PLAIN_SEQUENCES`` from each without, and a sequence counts as many times as it
+stands for. Only the text is ever an input of a score.
 
 Defined cases: null and empty texts get the score of a text without evidence;
 without labels of both classes every score is the share of toxic labels;
@@ -22,22 +27,26 @@ than id and text are ignored.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices
+from .common import BROADCAST_KEYS, slices, store
 from .crf import Chain, Features, ends_sentence, sequences, token_features, train
-from .quality_rules import labelled_sample
 
-SAMPLE_ROWS = 2_500
-SAMPLE_CHARS = 10_000
+MARKED_SEQUENCES = 16_000
+LEAST_SEQUENCES = 8
+PLAIN_SEQUENCES = 6_000
 CACHE_TOKENS = 200_000
+#: Cells of evidence to a unit, in which labelled texts are counted for calibration.
+CELLS = 64
 _WORD = re.compile(r"\S+")
 
 
@@ -92,42 +101,103 @@ class Tagger:
         return cut, [p[a:b] for a, b in zip(bounds, bounds[1:])]
 
 
-def offending_marks(features: Features, docs: list[np.ndarray], toxic: np.ndarray, chance: float = 1.0) -> np.ndarray:
-    """Which features are words, or beginnings of some length, in more toxic texts than chance allows.
+def marks_of(token: str) -> list[str]:
+    """The features of a token that can mark it: the word, and beginnings of four letters or more."""
+    return [f for f in token_features(token) if f[:2] == "w=" or f[:2] == "b=" and len(f) >= 6]
 
-    ``docs`` are the token numbers of each text. About ``chance`` of all marks
-    tried would be one by luck.
+
+def beyond_chance(everywhere: np.ndarray, bad: np.ndarray, rate: float, tried: int, chance: float = 1.0) -> np.ndarray:
+    """Which marks are in more toxic texts than chance allows.
+
+    A mark is in ``everywhere`` texts, ``bad`` of them toxic, where ``rate`` of
+    all texts are. About ``chance`` of all marks ``tried`` would be one by luck.
     """
-    mark = np.array([f[:2] == "w=" or f[:2] == "b=" and len(f) >= 6 for f in features.names], bool)
-    first = np.searchsorted(features.owner, np.arange(features.owner[-1] + 2))
-    everywhere, bad = np.zeros(len(mark), np.int32), np.zeros(len(mark), np.int32)
-    for ids, y in zip(docs, toxic):
-        if not len(ids):
-            continue
-        own = np.unique(ids)
-        sizes = first[own + 1] - first[own]
-        at = np.repeat(first[own] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-        found = np.unique(features.feature[at])
-        everywhere[found] += 1
-        if y:
-            bad[found] += 1
-    rate = toxic.sum() / len(toxic)
     share = bad / np.maximum(everywhere, 1)
     with np.errstate(divide="ignore", invalid="ignore"):
         # P(at least this share of that many texts) by the Chernoff bound
         divergence = share * np.log(share / rate) + np.where(share < 1, (1 - share) * np.log((1 - share) / (1 - rate)), 0)
     likely = (bad >= 3) & (share >= 3 * rate) & (share >= 0.4)
-    return mark & likely & (-everywhere * divergence < np.log(chance / max(1, int(mark.sum()))))
+    return likely & (-everywhere * divergence < np.log(chance / max(1, tried)))
+
+
+class MarkCounts:
+    """Texts, and toxic texts, that hold each mark; the mark "" is in every text."""
+
+    def __init__(self) -> None:
+        self.known: dict[str, list[str]] = {}
+        self.texts: Counter[str] = Counter()
+        self.toxic: Counter[str] = Counter()
+
+    def add(self, text: str, toxic: bool) -> None:
+        if len(self.known) > CACHE_TOKENS:
+            self.known = {}
+        tokens, known = set(text.split()), self.known
+        for t in tokens.difference(known):
+            known[t] = marks_of(t)
+        own = {"", *(m for t in tokens for m in known[t])}
+        self.texts.update(own)
+        if toxic:
+            self.toxic.update(own)
+
+
+class Strata:
+    """Sequences of labelled texts, and the stratum of each: the label of its text and the rarest mark in it."""
+
+    def __init__(self, marks: dict[str, int]):
+        self.marks = marks  # texts that hold each
+        self.known: dict[str, tuple[int, str] | None] = {}
+
+    def split(self, text: str, toxic: bool) -> Iterator[tuple[str, list[str]]]:
+        if len(self.known) > CACHE_TOKENS:
+            self.known = {}
+        tokens, known, marks = text.split(), self.known, self.marks
+        if not tokens:
+            return
+        for t in set(tokens).difference(known):
+            known[t] = min(((marks[m], m) for m in marks_of(t) if m in marks), default=None)
+        ends = np.array([ends_sentence(t) for t in tokens], bool)
+        for a, n in zip(*(x.tolist() for x in sequences(ends, np.array([0])))):
+            own = tokens[a : a + n]
+            rarest = min((k for k in map(known.__getitem__, own) if k), default=(0, ""))
+            yield ("+" if toxic else "-") + rarest[1], own
+
+
+def shares(sizes: dict[str, int]) -> dict[str, float]:
+    """The part of each stratum's sequences that the field learns from."""
+    each = max(LEAST_SEQUENCES, MARKED_SEQUENCES // max(1, sum(len(s) > 1 for s in sizes)))
+    return {s: (each if len(s) > 1 else PLAIN_SEQUENCES) / n for s, n in sizes.items()}
+
 
+def chosen(key: str, number: int, share: float) -> bool:
+    return xxhash.xxh3_64_intdigest(f"{key}:{number}") < share * 2.0**64
 
-def calibrate(x: np.ndarray, y: np.ndarray, rounds: int = 60, ridge: float = 1e-2) -> tuple[float, float, float]:
-    """Logistic regression by Newton's method."""
+
+def fit_field(sample: Iterable[tuple[str, list[str]]], marks: dict[str, int], sizes: dict[str, int]) -> Model:
+    """The field (not calibrated) from sequences with their strata, of which there are ``sizes``."""
+    ids: dict[str, int] = {}
+    strata, docs = [], []
+    for stratum, tokens in sample:
+        strata.append(stratum)
+        docs.append(np.array([ids.setdefault(t, len(ids)) for t in tokens], np.int32))
+    marked = np.array([any(m in marks for m in marks_of(t)) for t in ids], bool)
+    features, often = Features(ids), Counter(strata)
+    numbers, lengths = np.concatenate(docs), np.array([len(d) for d in docs])
+    toxic = np.array([s[0] == "+" for s in strata], bool)
+    states = (marked[numbers] & np.repeat(toxic, lengths)).astype(np.int64)
+    stand_for = np.array([sizes[s] / often[s] for s in strata])
+    del ids, docs
+    weights, bias, chain = train(features, numbers, states, np.cumsum(lengths) - lengths, lengths, weights=stand_for)
+    return Model(weights, bias, chain)
+
+
+def calibrate(x: np.ndarray, toxic: np.ndarray, texts: np.ndarray, rounds: int = 60, ridge: float = 1e-2) -> tuple[float, float, float]:
+    """Logistic regression by Newton's method; a row stands for ``texts`` texts, ``toxic`` of them toxic."""
     a = np.hstack([np.ones((len(x), 1)), x])
     w = np.zeros(a.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        g = a.T @ (y - p) - ridge * w
-        h = (a * (p * (1 - p))[:, None]).T @ a + ridge * np.eye(len(w))
+        g = a.T @ (toxic - texts * p) - ridge * w
+        h = (a * (texts * p * (1 - p))[:, None]).T @ a + ridge * np.eye(len(w))
         step = np.linalg.solve(h, g)
         w = w + step / max(1.0, float(np.abs(step).max()) / 2)
         if np.abs(step).max() < 1e-8:
@@ -135,33 +205,31 @@ def calibrate(x: np.ndarray, y: np.ndarray, rounds: int = 60, ridge: float = 1e-
     return tuple(float(v) for v in w)  # type: ignore[return-value]
 
 
+def flat_model(texts: int, toxic: int) -> Model:
+    share = (toxic + 0.5) / (texts + 1)
+    return Model(calibration=(float(np.log(share / (1 - share))), 0.0, 0.0))
+
+
 def fit(texts: list[str], toxic: np.ndarray) -> Model:
-    """The model from labelled texts."""
+    """The model from labelled texts at hand, as ``learn`` has it from a table."""
     toxic = np.asarray(toxic, bool)
-    share = (toxic.sum() + 0.5) / (len(toxic) + 1)
-    flat = Model(calibration=(float(np.log(share / (1 - share))), 0.0, 0.0))
+    flat = flat_model(len(texts), int(toxic.sum()))
     if not toxic.any() or toxic.all():
         return flat
-    ids: dict[str, int] = {}
-    docs = [np.array([ids.setdefault(t, len(ids)) for t in text.split()], np.int32) for text in texts]
-    if not ids:
-        return flat
-    features = Features(ids)
-    found = offending_marks(features, docs, toxic)
-    if not found.any():
+    counts = MarkCounts()
+    for t, y in zip(texts, toxic):
+        counts.add(t, y)
+    names = [m for m in counts.texts if m]
+    found = beyond_chance(np.array([counts.texts[m] for m in names]), np.array([counts.toxic[m] for m in names]), toxic.mean(), len(names))
+    marks = {m: counts.texts[m] for m, f in zip(names, found) if f}
+    if not marks:
         return flat
-    marked = np.zeros(len(ids), bool)
-    marked[features.owner[found[features.feature]]] = True
-    numbers = np.concatenate(docs)
-    bounds = np.cumsum([0] + [len(d) for d in docs])
-    starts, sizes = sequences(np.array([ends_sentence(t) for t in ids])[numbers], np.unique(bounds[:-1][np.diff(bounds) > 0]))
-    states = (marked[numbers] & np.repeat(toxic, np.diff(bounds))).astype(np.int64)
-    weights, bias, chain = train(features, numbers, states, starts, sizes)
-    del features, ids
-    model = Model(weights, bias, chain)
-    tagger = Tagger(model)
-    most, total = (np.concatenate(c) for c in zip(*(summaries(tagger.tag(texts[i : i + 200])[1]) for i in range(0, len(texts), 200))))
-    model.calibration = calibrate(evidence(most, total), toxic.astype(float))
+    strata = Strata(marks)
+    sizes = Counter(s for t, y in zip(texts, toxic) for s, _ in strata.split(t, y))
+    part = shares(sizes)
+    model = fit_field([(s, own) for i, (t, y) in enumerate(zip(texts, toxic)) for k, (s, own) in enumerate(strata.split(t, y)) if chosen(str(i), k, part[s])], marks, sizes)
+    most, total = summaries(Tagger(model).tag(texts)[1])
+    model.calibration = calibrate(evidence(most, total), toxic.astype(float), np.ones(len(texts)))
     return model
 
 
@@ -170,13 +238,105 @@ def summaries(marginals: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.array([p.max() if len(p) else 0.0 for p in marginals]), np.array([p.sum() for p in marginals])
 
 
-def learn(docs: DataFrame, labels: DataFrame, usable: Column | None = None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS) -> Model:
-    """The model from the labelled rows that ``usable`` (over the id) admits."""
-    admitted = labels if usable is None else labels.filter(usable)
-    sample = labelled_sample(admitted, label_col, id_col, sample_rows)
-    texts = docs.select(id_col, F.coalesce(text_col, F.lit("")).alias("said")).join(F.broadcast(sample), id_col)  # at most sample_rows ids
-    rows = sorted(texts.filter(F.length("said") <= sample_chars).select("said", "label_mean").collect())
-    return fit([r.said for r in rows], np.array([r.label_mean >= 0.5 for r in rows], bool))
+def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
+    """``key, said, toxic`` of all rows with a label; contradicting labels count by their mean."""
+    known = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
+    truth = store(known.groupBy(id_col).agg((F.avg(label_col) >= 0.5).alias("toxic")))
+    if truth.count() <= BROADCAST_KEYS:
+        truth = F.broadcast(truth)
+    return docs.select(id_col, F.coalesce(text_col, F.lit("")).alias("said")).join(truth, id_col).select(F.col(id_col).cast("string").alias("key"), "said", "toxic")
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str, bool]]:
+    for batch in slices(batches, "said"):
+        yield from zip(*(batch.column(c).to_pylist() for c in ("key", "said", "toxic")))
+
+
+def mark_counts(texts: DataFrame) -> DataFrame:
+    """``mark, n, bad``: labelled texts, and toxic ones, that hold each mark."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = MarkCounts()
+
+        def made() -> pa.RecordBatch:
+            names = list(counts.texts)
+            out = {"mark": pa.array(names, pa.string()), "n": pa.array([counts.texts[m] for m in names], pa.int64()), "bad": pa.array([counts.toxic[m] for m in names], pa.int64())}
+            counts.texts, counts.toxic = Counter(), Counter()
+            return pa.RecordBatch.from_pydict(out)
+
+        for _, said, toxic in _rows(batches):
+            counts.add(said, toxic)
+            if len(counts.texts) > CACHE_TOKENS:
+                yield made()
+        yield made()
+
+    return texts.mapInArrow(run, "mark string, n long, bad long").groupBy("mark").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+
+
+def learnt_marks(counts: DataFrame, rate: float, tried: int) -> dict[str, int]:
+    """Marks that toxic texts hold more often than chance allows, with the number of texts that hold them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(beyond_chance(batch.column("n").to_numpy(), batch.column("bad").to_numpy(), rate, tried)))
+
+    return {r.mark: r.n for r in counts.filter("bad >= 3 and mark <> ''").mapInArrow(run, counts.schema).collect()}
+
+
+def strata_sizes(texts: DataFrame, marks: dict[str, int]) -> dict[str, int]:
+    """Sequences in each stratum."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        strata, sizes = Strata(marks), Counter()
+        for _, said, toxic in _rows(batches):
+            sizes.update(s for s, _ in strata.split(said, toxic))
+        yield pa.RecordBatch.from_pydict({"stratum": pa.array(list(sizes), pa.string()), "n": pa.array(list(sizes.values()), pa.int64())})
+
+    return {r.stratum: r.n for r in texts.mapInArrow(run, "stratum string, n long").groupBy("stratum").agg(F.sum("n").alias("n")).collect()}
+
+
+def sampled_sequences(texts: DataFrame, marks: dict[str, int], part: dict[str, float]) -> list[tuple[str, list[str]]]:
+    """The strata and tokens of the sequences that the field learns from."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        strata = Strata(marks)
+        for key, said, toxic in _rows(batches):
+            if found := [(s, " ".join(own)) for k, (s, own) in enumerate(strata.split(said, toxic)) if chosen(key, k, part[s])]:
+                yield pa.RecordBatch.from_pydict(dict(zip(("stratum", "tokens"), (pa.array(c, pa.string()) for c in zip(*found)))))
+
+    rows = texts.mapInArrow(run, "stratum string, tokens string").collect()
+    return [(s, tokens.split()) for s, tokens in sorted((r.stratum, r.tokens) for r in rows)]
+
+
+def evidence_cells(texts: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Evidence, and the number of toxic and of all labelled texts that have it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tagger = Tagger(model)
+        for batch in slices(batches, "said"):
+            cells = np.rint(evidence(*summaries(tagger.tag(batch.column("said").to_pylist())[1])) * CELLS).astype(np.int64)
+            yield pa.RecordBatch.from_pydict({"a": pa.array(cells[:, 0]), "b": pa.array(cells[:, 1]), "bad": batch.column("toxic").cast(pa.int64())})
+
+    rows = texts.mapInArrow(run, "a long, b long, bad long").groupBy("a", "b").agg(F.sum("bad").alias("bad"), F.count(F.lit(1)).alias("n")).collect()
+    x = np.array(sorted((r.a, r.b, r.bad, r.n) for r in rows), float)
+    return x[:, :2] / CELLS, x[:, 2], x[:, 3]
+
+
+def learn(docs: DataFrame, labels: DataFrame, usable: Column | None = None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
+    """The model from all labelled rows that ``usable`` (over the id) admits."""
+    texts = labelled_texts(docs, labels if usable is None else labels.filter(usable), id_col, text_col, label_col)
+    counts = store(mark_counts(texts))
+    n, bad = next(((r.n, r.bad) for r in counts.filter("mark = ''").collect()), (0, 0))
+    flat = flat_model(n, bad)
+    if bad in (0, n):
+        return flat
+    marks = learnt_marks(counts, bad / n, counts.count() - 1)
+    if not marks:
+        return flat
+    sizes = strata_sizes(texts, marks)
+    model = fit_field(sampled_sequences(texts, marks, shares(sizes)), marks, sizes)
+    model.calibration = calibrate(*evidence_cells(texts, model))
+    return model
 
 
 SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))

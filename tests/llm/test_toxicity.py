@@ -86,6 +86,50 @@ def test_held_out_accuracy():
     assert ((scores >= 0) & (scores <= 1)).all()
 
 
+def test_weights_count_like_repeated_sequences():
+    rng = np.random.default_rng(4)
+    words = ["good", "bad", "day"]
+    parts = [rng.integers(0, 3, n) for n in (5, 3, 8)]
+    often = [1, 4, 2]
+    twice = [p for p, k in zip(parts, often) for _ in range(k)]
+
+    def learnt(parts, weights):
+        ids, sizes = np.concatenate(parts), np.array([len(p) for p in parts])
+        return train(Features(words), ids, (ids == 1).astype(int), np.cumsum(sizes) - sizes, sizes, weights=weights)
+
+    one, two = learnt(parts, np.array(often, float)), learnt(twice, None)
+    assert one[0].keys() == two[0].keys() and all(np.isclose(one[0][k], two[0][k]) for k in one[0])
+    assert np.allclose(one[2].factors, two[2].factors) and np.allclose(one[2].first, two[2].first)
+
+
+def test_long_texts_and_every_label_teach(spark):
+    # the offending word stands only in texts of more than 10,000 characters, and near their ends
+    rng = random.Random(3)
+    common = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(240):
+        n = 4000 if i % 6 == 0 else 60
+        tokens = [rng.choice(common) for _ in range(n)]
+        if i % 12 == 0:
+            tokens[-5] = "blarg"
+        rows.append((i, " ".join(tokens) + ".", int(i % 12 == 0)))
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(3).cache()
+    model = tx.learn(table.select("doc_id", "text"), table.select("doc_id", "toxic"))
+    scores = {r.doc_id: r.score for r in tx.score_texts(table, model).collect()}
+    assert all((scores[i] >= 0.3) == bool(y) for i, _, y in rows)
+
+
+def test_counts_over_the_table_equal_plain_counts(spark):
+    texts, toxic = corpus(400, 2)
+    rows = [(str(i), t, bool(y)) for i, (t, y) in enumerate(zip(texts, toxic))]
+    table = spark.createDataFrame(rows, "key string, said string, toxic boolean").repartition(3)
+    plain = tx.MarkCounts()
+    for t, y in zip(texts, toxic):
+        plain.add(t, y)
+    assert {r.mark: (r.n, r.bad) for r in tx.mark_counts(table).collect()} == {m: (n, plain.toxic[m]) for m, n in plain.texts.items()}
+    assert plain.texts[""] == 400 and plain.toxic[""] == toxic.sum()
+
+
 def test_spans():
     assert tx.spans_of("a bad  bad, b", np.array([0, 1, 1, 0], bool)) == [{"start": 2, "end": 11}]
 
