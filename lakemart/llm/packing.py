@@ -7,7 +7,9 @@ often as it occurs. It is solved over the histogram of lengths (at most
 round prices the lengths by their weights, a knapsack dynamic program finds the
 configuration of the highest price, it is used as far as its scarcest length
 allows, and weights of what it covers shrink. The fractional solution is
-rounded down; best fit over the histogram of what remains packs the rest.
+rounded down; best fit over the histogram of what remains packs the rest. This
+is done with all configurations and with those alone that come out full, and
+the plan of fewer sequences holds (also against best fit alone).
 
 The plan says, for the r-th piece of length l, which sequence and offset it
 gets. Pieces are numbered within their length without bringing a length
@@ -262,13 +264,30 @@ def _exact(hist: Histogram, config: dict[int, int], unit: int) -> dict[int, int]
     return exact
 
 
+def _rounded(demand: np.ndarray, capacity: int, unit: int, solution: list[tuple[dict[int, int], float]], only_full: bool) -> list[tuple[dict[int, int], int]]:
+    """``solution`` rounded down to whole sequences of real lengths, and best fit for what is left."""
+    hist, out = Histogram(demand), []
+    for config, x in solution:
+        times = int(x + 1e-9)
+        while times > 0:
+            exact = _exact(hist, config, unit)
+            if only_full and sum(n * k for n, k in exact.items()) < capacity:
+                break  # room would stay empty: best fit decides about these pieces at the end
+            if not exact or not (done := hist.take(exact, times)):
+                break
+            out.append((exact, done))
+            times -= done
+    return out + best_fit(hist)
+
+
 def plan_configurations(demand: np.ndarray, capacity: int, rounds: int = ROUNDS) -> list[tuple[dict[int, int], int]]:
     """Whole numbers of configurations that hold each length exactly as often as it occurs.
 
     The program sees lengths in classes of ``capacity / 256`` tokens, rounded
     up; when a configuration is rounded to whole sequences, classes get real
-    lengths again and best fit uses the room that rounding up had left. Only
-    sequences that come out full are settled here.
+    lengths again and best fit uses the room that rounding up had left. Of the
+    rounding of all configurations, that of those that come out full, and best
+    fit alone, the one of the fewest sequences is taken.
     """
     hist, out = Histogram(demand), []
     if full := hist.left[capacity]:
@@ -279,15 +298,10 @@ def plan_configurations(demand: np.ndarray, capacity: int, rounds: int = ROUNDS)
     for n, count in enumerate(hist.left):
         if 0 < (size := -(-n // unit)) < len(classes):
             classes[size] += count
-    for config, x in sorted(solve(classes, len(classes) - 1, rounds), key=lambda c: -c[1]):
-        times = int(x + 1e-9)
-        while times > 0:
-            exact = _exact(hist, config, unit)
-            if sum(n * k for n, k in exact.items()) < capacity or not (done := hist.take(exact, times)):
-                break  # room would stay empty: best fit decides about these pieces at the end
-            out.append((exact, done))
-            times -= done
-    return out + best_fit(hist)
+    solution = sorted(solve(classes, len(classes) - 1, rounds), key=lambda c: -c[1])
+    rest = np.array(hist.left)
+    plans = [_rounded(rest, capacity, unit, solution, True), _rounded(rest, capacity, unit, solution, False), best_fit(hist)]
+    return out + min(plans, key=lambda plan: sum(times for _, times in plan))
 
 
 @dataclass(frozen=True)

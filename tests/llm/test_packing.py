@@ -75,6 +75,14 @@ def test_the_program_beats_best_fit_alone():
         assert total(pk.plan_configurations(demand, 10)) <= total(pk.best_fit(pk.Histogram(demand)))
 
 
+def test_configurations_that_leave_room():
+    # 2000 + 1300 + 700 leaves 96; best fit alone takes 2000 + 2000, then three of 1300, then five of 700
+    demand = np.bincount([2000] * 30_000 + [1300] * 30_000 + [700] * 30_000, minlength=4097)
+    alone = sum(t for _, t in pk.best_fit(pk.Histogram(demand)))
+    assert alone == 31_000
+    assert pk.make_plan(demand, 4096, 400).sequences < 30_300
+
+
 def gapless(rows, capacity):
     by = {}
     for length, seq, offset in rows:
