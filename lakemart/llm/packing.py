@@ -62,14 +62,19 @@ class WordTokenizer:
     a line end, so a text's ids are those of its pieces in order. Nor does a
     token span letters and punctuation: a word is encoded once for all the
     punctuation marks that may follow it.
+
+    With ``added_tokens``, the library's default, a literal added token such as
+    <|endoftext|> becomes its own id; texts that hold one go to the library whole.
+    Without, it is ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_tokens: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()] if added_tokens else []
         self.ends = np.zeros(self.library.get_vocab_size(), bool)  # tokens that end a word
         for token, i in self.library.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
@@ -95,6 +100,16 @@ class WordTokenizer:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids (little-endian 32-bit) of each text."""
+        whole = {i for i, t in enumerate(texts) if any(a in t for a in self.added)}
+        if not whole:
+            return self._by_pieces(texts)
+        self.library.encode_special_tokens = False
+        own = {i: np.array(self.library.encode(texts[i], add_special_tokens=False).ids, "<u4").tobytes() for i in whole}
+        self.library.encode_special_tokens = True
+        rest = iter(self._by_pieces([t for i, t in enumerate(texts) if i not in whole]))
+        return [own[i] if i in whole else next(rest) for i in range(len(texts))]
+
+    def _by_pieces(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > CACHE_PIECES:
             self.known = {}
         if len(self.words) > CACHE_WORDS:
@@ -118,19 +133,20 @@ class WordTokenizer:
 
 
 @functools.lru_cache(maxsize=2)
-def word_tokenizer(path: str) -> WordTokenizer:
-    return WordTokenizer(path)
+def word_tokenizer(path: str, added_tokens: bool = False) -> WordTokenizer:
+    return WordTokenizer(path, added_tokens)
 
 
 def tokenize_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, piece, start, length, ids``: each text's ids and ``end_id``, cut at ``capacity``.
 
-    ``ids`` are little-endian unsigned 32-bit numbers in one binary value.
+    ``ids`` are little-endian unsigned 32-bit numbers in one binary value, those
+    of the library with its defaults: added tokens in a text become their ids.
     """
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = word_tokenizer(path)
+        tokenizer = word_tokenizer(path, added_tokens=True)
         for batch in slices(batches, text_col, 1_500_000):
             row, piece, start, length, ids = [], [], [], [], []
             for i, data in enumerate(tokenizer.encode(texts_of(batch, text_col))):

@@ -122,6 +122,15 @@ def test_pieces_of_edge_texts(spark, library):
         assert [(r.start, r.length) for r in got[k]] == [(4096 * i, len(p)) for i, p in enumerate(parts)]
 
 
+def test_added_tokens_in_texts_have_their_ids(spark):
+    plain = Tokenizer.from_file(PATH)  # with the library's defaults
+    texts = ["one <|endoftext|> two", "a b", "<|startoftext|><|endoftext|>", "x<|endoftext|>Y.\n", "<|ENDOFTEXT|> <|endoftext", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: np.frombuffer(bytes(r.ids), "<u4").tolist() for r in pk.tokenize_pieces(docs, PATH).collect()}
+    assert got == {i: plain.encode(t, add_special_tokens=False).ids + [1] for i, t in enumerate(texts)}
+    assert 49407 in got[0] and 49406 in got[2]
+
+
 def test_query(spark, sf_small, library):
     from lakemart.llm.queries import op4_packing
 
