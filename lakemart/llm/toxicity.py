@@ -12,9 +12,10 @@ Document frequencies and calibration read all labelled texts, whole, as Spark
 jobs; a caller can exclude rows (the query leaves out those held out). The field
 itself learns from a sample of their sequences (of at most ``MOST_TOKENS``
 tokens, from anywhere in a text): sequences are divided by the label of their
-text and the rarest mark they hold, each such stratum gives those of lowest
-hash, about ``MARKED_SEQUENCES`` shared by all strata with a mark (at least
-``LEAST_SEQUENCES`` from each, so that no mark goes unseen) and
+text and the rarest mark they hold, each such stratum gives those whose hash is
+below a limit: about ``MARKED_SEQUENCES`` shared by all strata with a mark (all
+of a stratum of up to ``LEAST_SEQUENCES``, at least as many to be expected from
+a larger one, which then goes unseen with a chance of 3e-4 at most) and about
 ``PLAIN_SEQUENCES`` from each without, and a sequence counts as many times as it
 stands for. Only the text is ever an input of a score.
 
