@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, cotraining, minhash, packing, pii, quality_rules, suffix_dedup, toxicity
+from . import bpe, chat, conversation_repair, cotraining, minhash, packing, pii, quality_rules, suffix_dedup, toxicity
 from .common import documents, prepare
 from .exact_dedup import exact_dedup
 
@@ -106,6 +106,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations, mended at the least cost."""
+    spoilt = conversation_repair.damage(prepare(spark).read.parquet(f"{sf_dir}/conversations.parquet"))
+    return conversation_repair.audit(conversation_repair.repair_conversations(spoilt, present=~F.col("dropped")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality_rules": op2_quality_rules,
@@ -117,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8_chat_format,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_pii": op10_pii,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -149,4 +156,99 @@ ORACLE_SQL: dict[str, str] = {
         FROM documents
         WINDOW w AS (PARTITION BY coalesce(text, ''))
     """,
+    "op13_conversation_repair": r"""
+        WITH RECURSIVE keyed AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+            FROM conversations
+        ), kinds AS (
+            SELECT *, xor(4294967295, list_reduce(
+                       list_transform(string_split(key, ''), lambda c: CAST(ascii(c) AS BIGINT)),
+                       lambda s, b: list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+                           lambda x, z: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END, xor(s, b)),
+                       CAST(4294967295 AS BIGINT))) % 20 AS kind
+            FROM keyed
+        ), spoilt AS (
+            SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                   CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                   unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy
+            FROM kinds WHERE kind <> 0
+        ), numbered AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+                   row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth,
+                   regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last
+            FROM spoilt
+        ), judged AS (
+            SELECT *, CASE WHEN last = '' THEN 1 WHEN nth > 1 THEN 2 WHEN last NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+                   left(role, 1) AS initial
+            FROM numbered
+        ), priced AS (
+            SELECT *, CASE WHEN fault IN (1, 2) THEN 1000000000 WHEN fault = 3 THEN 3 ELSE 0 END AS stay,
+                   CASE WHEN initial = 'u' THEN 0 ELSE 1000000000 END AS no_u,
+                   CASE WHEN initial = 'a' THEN 0 ELSE 1000000000 END AS no_a,
+                   CASE WHEN initial = 's' THEN 0 ELSE 1000000000 END AS no_s
+            FROM judged
+        ), ends AS (
+            SELECT conv_id, max(i) AS n FROM priced GROUP BY conv_id
+        ), togo AS (
+            SELECT conv_id, n AS i, CAST(0 AS BIGINT) AS f0, CAST(6 AS BIGINT) AS f1, CAST(3 AS BIGINT) AS f2, CAST(0 AS BIGINT) AS f3,
+                   CAST(0 AS BIGINT) AS g0, CAST(0 AS BIGINT) AS g1, CAST(0 AS BIGINT) AS g2, CAST(0 AS BIGINT) AS g3
+            FROM ends
+            UNION ALL
+            SELECT conv_id, i, least(g0, 3 + least(g2, 3 + g3)), least(g1, 3 + least(g2, 3 + g3)), least(g2, 3 + g3), least(g3, 3 + g2), g0, g1, g2, g3
+            FROM (
+                SELECT t.conv_id, t.i - 1 AS i,
+                       least(4 + f0, stay + least(no_s + f1, no_u + f2, 3 + f2)) AS g0,
+                       least(4 + f1, stay + least(no_u + f2, 3 + f2)) AS g1,
+                       least(4 + f2, stay + least(no_a + f3, 3 + f3)) AS g2,
+                       least(4 + f3, stay + least(no_u + f2, 3 + f2)) AS g3
+                FROM togo t JOIN priced p ON p.conv_id IS NOT DISTINCT FROM t.conv_id AND p.i = t.i
+            )
+        ), graph AS (  -- for each row, state and way to leave it: the cost and the cost-to-go after it
+            SELECT conv_id, i, unnest([
+                       {'q': 0, 'f': f0, 'insert': f2, 'then': 2}, {'q': 1, 'f': f1, 'insert': f2, 'then': 2},
+                       {'q': 2, 'f': f2, 'insert': f3, 'then': 3}, {'q': 3, 'f': f3, 'insert': f2, 'then': 2}]) AS s
+            FROM togo
+        ), moves AS (
+            SELECT g.conv_id, g.i, g.s.q AS q, g.s.then AS following,
+                   CASE WHEN p.conv_id IS NULL AND p.i IS NULL THEN CASE WHEN g.s.q IN (0, 3) THEN '' ELSE 'I' END
+                        WHEN g.s.f = 4 + h.s.f THEN 'D'
+                        WHEN g.s.f = 3 + g.s.insert THEN 'I'
+                        WHEN g.s.q = 0 AND g.s.f = stay + no_s + o.f1 THEN 'K'
+                        WHEN g.s.f = stay + (CASE WHEN g.s.q = 2 THEN no_a + o.f3 ELSE no_u + o.f2 END) THEN 'K'
+                        ELSE 'R' END AS edit,
+                   p.turn, p.role, p.text, p.initial, p.fault
+            FROM graph g
+            LEFT JOIN priced p ON p.conv_id IS NOT DISTINCT FROM g.conv_id AND p.i = g.i + 1
+            LEFT JOIN graph h ON h.conv_id IS NOT DISTINCT FROM g.conv_id AND h.i = g.i + 1 AND h.s.q = g.s.q
+            LEFT JOIN togo o ON o.conv_id IS NOT DISTINCT FROM g.conv_id AND o.i = g.i + 1
+        ), walk AS (
+            SELECT conv_id, CAST(0 AS BIGINT) AS i, 0 AS q, CAST(0 AS BIGINT) AS step, '' AS edit, CAST(NULL AS VARCHAR) AS line, CAST(0 AS BIGINT) AS price
+            FROM ends
+            UNION ALL
+            SELECT w.conv_id, CASE WHEN m.edit = 'I' THEN w.i ELSE w.i + 1 END,
+                   CASE WHEN m.edit = 'D' THEN w.q WHEN m.edit = 'K' AND m.initial = 's' THEN 1 ELSE m.following END,
+                   w.step + 1, m.edit,
+                   CASE m.edit WHEN 'D' THEN NULL WHEN 'K' THEN m.role || ':' || m.text
+                        ELSE CASE WHEN w.q = 2 THEN 'assistant:' ELSE 'user:' END || CASE WHEN m.edit = 'R' THEN m.text ELSE '' END END,
+                   CASE m.edit WHEN 'D' THEN 4 WHEN 'I' THEN 3 WHEN 'R' THEN 3 ELSE 0 END + CASE WHEN m.edit IN ('K', 'R') AND m.fault = 3 THEN 3 ELSE 0 END
+            FROM walk w JOIN moves m ON m.conv_id IS NOT DISTINCT FROM w.conv_id AND m.i = w.i AND m.q = w.q
+            WHERE m.edit <> ''
+        ), repaired AS (
+            SELECT conv_id, CAST(sum(price) AS BIGINT) AS cost, string_agg(edit, '' ORDER BY step) AS audit,
+                   sha256(coalesce(string_agg(line, chr(10) ORDER BY step), '')) AS repaired_sha256
+            FROM walk GROUP BY conv_id
+        ), counted AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                   count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+                   count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM (SELECT *, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair FROM judged) GROUP BY conv_id
+        )
+        SELECT a.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+               coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+               coalesce(audit, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) a
+        LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM a.conv_id
+        LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM a.conv_id
+    """,
 }
