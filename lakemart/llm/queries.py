@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, conversation_repair, cotraining, minhash, packing, pii, quality_rules, suffix_dedup, toxicity
+from . import bpe, chat, conversation_repair, cotraining, minhash, packing, periodic_runs, pii, quality_rules, suffix_dedup, toxicity
 from .common import documents, prepare
 from .exact_dedup import exact_dedup
 
@@ -106,6 +106,11 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every text, after some are planted in a tenth of them."""
+    return periodic_runs.digests(periodic_runs.periodic_runs(documents(spark, sf_dir), change=periodic_runs.planted))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Damaged conversations, mended at the least cost."""
     spoilt = conversation_repair.damage(prepare(spark).read.parquet(f"{sf_dir}/conversations.parquet"))
@@ -123,6 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8_chat_format,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_pii": op10_pii,
+    "op11_periodic_runs": op11_periodic_runs,
     "op13_conversation_repair": op13_conversation_repair,
 }
 

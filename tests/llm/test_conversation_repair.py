@@ -150,8 +150,8 @@ def test_clashing_columns_empty_table_and_real_outputs(spark):
     rows = [("c", 0, "user", "q?", 1, 2, "z"), ("c", 1, "user", "again?", 1, 2, "z"), ("c", 2, "assistant", "a", 1, 2, "z")]
     turns = spark.createDataFrame(rows, "conv_id string, turn int, role string, text string, seq int, fault int, conv string")
     edits = cr.repair_conversations(turns)
-    assert [(r.step, r.edit, r.fault) for r in edits.orderBy("step").collect()] == [(0, "K", ""), (1, "R", ""), (2, "D", "truncated")]
-    assert [tuple(r) for r in cr.mended(edits).orderBy("step").collect()] == [("c", 0, "user", "q?"), ("c", 1, "assistant", "again?")]
+    assert [(r.step, r.edit, r.fault) for r in edits.orderBy("step").collect()] == [(0, "K", ""), (1, "I", None), (2, "K", ""), (3, "K", "truncated")]
+    assert [tuple(r) for r in cr.mended(edits).orderBy("step").collect()] == [("c", 0, "user", "q?"), ("c", 1, "assistant", ""), ("c", 2, "user", "again?"), ("c", 3, "assistant", "a")]
     assert cr.audit(cr.repair_conversations(turns.limit(0))).count() == 0
 
 
