@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, conversation_repair, cotraining, minhash, packing, periodic_runs, pii, quality_rules, suffix_dedup, toxicity
+from . import bpe, chat, conversation_repair, cotraining, hmm_lm, minhash, packing, periodic_runs, pii, quality_rules, suffix_dedup, toxicity
 from .common import documents, prepare
 from .exact_dedup import exact_dedup
 
@@ -111,6 +111,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digests(periodic_runs.periodic_runs(documents(spark, sf_dir), change=periodic_runs.planted))
 
 
+def op12_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability of every text under a language model of six sevenths of them."""
+    return hmm_lm.model_scores(documents(spark, sf_dir), F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Damaged conversations, mended at the least cost."""
     spoilt = conversation_repair.damage(prepare(spark).read.parquet(f"{sf_dir}/conversations.parquet"))
@@ -129,6 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_pii": op10_pii,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_hmm_scores": op12_hmm_scores,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
