@@ -5,8 +5,9 @@ stay a table. The ``SYMBOLS`` words of highest count (of two or more) are symbol
 of their own; every other word stands for the class of its last three bytes,
 one of ``CLASSES``. A hidden state emits a symbol or a class; a class emits one
 of its words by absolute discounting, or, with the mass so saved, a word that no
-training text holds (all such words of a class are one event). Those two
-tables have a fixed bound; the vocabulary grows with the corpus and is joined.
+training text holds (all such words of a class are one event). The tables of
+symbols and classes have a fixed bound; the vocabulary grows with the corpus.
+Its ``FREQUENT`` words go to the tasks with their counts, all others are joined.
 
 Each round of Baum-Welch is one Spark job over all training texts: tasks add up
 expected counts of their texts by exact forward and backward recursion, Spark
@@ -14,9 +15,10 @@ adds the tasks' counts by symbol, and the driver gets ``SYMBOLS + CLASSES`` rows
 states start from the unigram distribution, tilted by seeded noise.
 
 The score is the scaled forward recursion over the whole text, end included,
-plus the logarithms of its rare words within their classes. Texts are turned
-into numbers once and stored; rare words are counted by text before they are
-joined with the vocabulary, in which none of them is frequent.
+plus the logarithms of the words that are no symbols, within their classes.
+Texts are turned into numbers once and stored; the words that are not frequent
+are counted by text before they are joined with the vocabulary, where none of
+them is a hot key.
 
 Defined cases: a null or empty text is an end alone; a null id is held out of
 nothing unless the caller says so; without training text every word is unknown
@@ -29,6 +31,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -41,6 +44,8 @@ from . import hmm
 from .common import slices, store, texts_of
 
 SYMBOLS = 1 << 15
+#: Words whose counts are broadcast, the symbols among them.
+FREQUENT = 1 << 18
 CLASSES = 1 << 10
 STATES = 8
 ROUNDS = 3
@@ -88,21 +93,32 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """The vocabulary's table, its totals, and what is bounded of it: the symbols and the classes of all other words."""
+    """The vocabulary's table, its totals, and what is bounded of it: frequent words, symbols first, and the classes."""
 
     table: DataFrame
     tokens: int
     words: int
-    least: int  # count of a symbol at least
-    symbols: tuple[bytes, ...]
-    counts: np.ndarray  # of each symbol
-    class_counts: np.ndarray
+    least: int  # count of a frequent word at least
+    frequent: tuple[bytes, ...]
+    counts: np.ndarray  # of each frequent word
+    symbols: int
+    class_counts: np.ndarray  # of words that are no symbols
     class_words: np.ndarray
 
     @property
     def masses(self) -> np.ndarray:
         """How often each symbol, then each class, is emitted."""
-        return np.concatenate([self.counts, self.class_counts]).astype(float)
+        return np.concatenate([self.counts[: self.symbols], self.class_counts]).astype(float)
+
+
+def _least(sizes: list[tuple[int, int]], most: int) -> int:
+    """The smallest count, two at least, that no more than ``most`` words reach; ``sizes``: words of each count, highest first."""
+    least, held = 1 << 62, 0
+    for count, words in sizes:
+        if count < 2 or held + words > most:
+            break
+        least, held = count, held + words
+    return least
 
 
 def vocabulary(docs: DataFrame, text_col: str = "text") -> Vocabulary:
@@ -110,72 +126,73 @@ def vocabulary(docs: DataFrame, text_col: str = "text") -> Vocabulary:
     table = store(word_counts(docs, text_col))
     rounded = F.expr("c - c % cast(pow(2, greatest(0, floor(log2(c)) - 9)) as bigint)")  # ten leading bits: a bounded number of counts
     sizes = sorted(((r.q, r.n) for r in table.groupBy(rounded.alias("q")).agg(F.count("*").alias("n")).collect()), reverse=True)
-    least, held = 1 << 62, 0
-    for q, n in sizes:
-        if q < 2 or held + n > SYMBOLS:
-            break
-        least, held = q, held + n
-    symbols = sorted(((-r.c, bytes(r.word)) for r in table.filter(F.col("c") >= least).collect()))
+    least, of_symbol = _least(sizes, FREQUENT), _least(sizes, SYMBOLS)
+    frequent = sorted(((-r.c, bytes(r.word)) for r in table.filter(F.col("c") >= least).collect()))
+    counts = np.array([-c for c, _ in frequent], np.int64)
     total = table.agg(F.sum("c"), F.count("*")).first()
     of_class = (F.crc32(F.substring("word", -3, 3)) % CLASSES).cast("int")
-    classes = table.filter(F.col("c") < least).groupBy(of_class.alias("k")).agg(F.sum("c").alias("c"), F.count("*").alias("n")).collect()
+    classes = table.filter(F.col("c") < of_symbol).groupBy(of_class.alias("k")).agg(F.sum("c").alias("c"), F.count("*").alias("n")).collect()
     mass, many = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
     for r in classes:
         mass[r.k], many[r.k] = r.c, r.n
-    return Vocabulary(table, total[0] or 0, total[1], least, tuple(w for _, w in symbols), np.array([-c for c, _ in symbols], np.int64), mass, many)
+    return Vocabulary(table, total[0] or 0, total[1], least, tuple(w for _, w in frequent), counts, int((counts >= of_symbol).sum()), mass, many)
 
 
 class _Numbers(dict):
-    """Symbols by word; a word that is none counts as its class."""
+    """Frequent words by number; a word that is none counts as its class, after them."""
 
     def __missing__(self, word: bytes) -> int:
         return self.offset + class_of(word)
 
 
 def encode(docs: DataFrame, known: Vocabulary, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``key, id, held_out, symbols, known, base, rare``, stored.
+    """``key, id, held_out, symbols, known, base, within, rare``, stored.
 
-    ``known`` and ``base`` (sum of log10(count + 1)) are of the text's symbols;
-    ``rare`` holds its other words, their class and number.
+    ``known``, ``base`` (sum of log10(count + 1)) and ``within`` (of log10(count -
+    discount), symbols aside) are of the text's frequent words; ``rare`` holds
+    its other words, their class and number.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((known.symbols, np.log10(known.counts + 1.0)))
+    shared = spark.sparkContext.broadcast((known.frequent, known.counts, known.symbols))
     rare = T.ArrayType(T.StructType([T.StructField("word", T.BinaryType()), T.StructField("k", T.IntegerType()), T.StructField("n", T.LongType())]))
     schema = T.StructType([
         T.StructField("id", docs.schema[id_col].dataType), T.StructField("held_out", T.BooleanType()), T.StructField("symbols", T.ArrayType(T.IntegerType())),
-        T.StructField("known", T.LongType()), T.StructField("base", T.DoubleType()), T.StructField("rare", rare),
+        T.StructField("known", T.LongType()), T.StructField("base", T.DoubleType()), T.StructField("within", T.DoubleType()), T.StructField("rare", rare),
     ])
     out = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols, logs = shared.value
-        numbers = _Numbers(zip(symbols, range(len(symbols))))
-        numbers.offset = len(symbols)
+        frequent, counts, symbols = shared.value
+        numbers = _Numbers(zip(frequent, range(len(frequent))))
+        numbers.offset = len(frequent)
         number = numbers.__getitem__
+        classes = np.array([class_of(w) for w in frequent[symbols:]], np.int64)
+        symbol_of = np.concatenate([np.arange(symbols), symbols + classes, symbols + np.arange(CLASSES)]).astype(np.int32)
+        base_of = np.concatenate([np.log10(counts + 1.0), np.zeros(CLASSES)])
+        within_of = np.concatenate([np.zeros(symbols), np.log10(counts[symbols:] - DISCOUNT), np.zeros(CLASSES)])
         for batch in slices(batches, "text"):
             texts = [words_of(t) for t in texts_of(batch, "text")]
             sizes = np.array([len(t) for t in texts])
-            flat = np.fromiter((number(w) for t in texts for w in t), np.int32, int(sizes.sum()))
+            flat = np.fromiter(map(number, chain.from_iterable(texts)), np.int64, int(sizes.sum()))
             ends = np.cumsum(sizes)
-            own = flat < len(symbols)
             owner = np.repeat(np.arange(len(texts)), sizes)
-            known_here = np.bincount(owner[own], minlength=len(texts))
-            base = np.bincount(owner[own], logs[flat[own]], len(texts))
-            words, classes, times, found = [], [], [], [0]
+            own = flat < len(frequent)
+            words, times, found = [], [], [0]
             for t, end in zip(texts, ends.tolist()):
                 begin = end - len(t)
-                counted = Counter(t[i] for i in np.flatnonzero(~own[begin:end]).tolist())
+                counted = Counter(map(t.__getitem__, np.flatnonzero(~own[begin:end]).tolist()))
                 words += counted
                 times += counted.values()
                 found.append(len(words))
-            classes = [class_of(w) for w in words]
-            parts = pa.StructArray.from_arrays([pa.array(words, pa.binary()), pa.array(classes, pa.int32()), pa.array(times, pa.int64())], fields=list(out.field("rare").type.value_type))
+            columns = [pa.array(words, pa.binary()), pa.array(list(map(class_of, words)), pa.int32()), pa.array(times, pa.int64())]
+            parts = pa.StructArray.from_arrays(columns, fields=list(out.field("rare").type.value_type))
             yield pa.record_batch([
                 batch.column("id"), batch.column("held_out"),
-                pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(flat)).cast(out.field("symbols").type),
-                pa.array(known_here, pa.int64()), pa.array(base, pa.float64()),
+                pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(symbol_of[flat])).cast(out.field("symbols").type),
+                pa.array(np.bincount(owner[own], minlength=len(texts)), pa.int64()),
+                *(pa.array(np.bincount(owner, of[flat], len(texts)), pa.float64()) for of in (base_of, within_of)),
                 pa.ListArray.from_arrays(pa.array(found, pa.int32()), parts).cast(out.field("rare").type),
             ], schema=out)
 
@@ -255,22 +272,22 @@ def score(encoded: DataFrame, known: Vocabulary, chain: hmm.Chain, id_col: str =
     shared = spark.sparkContext.broadcast((chain, of_class))
     schema = T.StructType([
         T.StructField("key", T.LongType()), T.StructField("id", encoded.schema["id"].dataType), T.StructField("held_out", T.BooleanType()),
-        T.StructField("known", T.LongType()), T.StructField("base", T.DoubleType()), T.StructField("n_tokens", T.LongType()), T.StructField("likely", T.DoubleType()),
+        T.StructField("known", T.LongType()), T.StructField("base", T.DoubleType()), T.StructField("within", T.DoubleType()), T.StructField("n_tokens", T.LongType()), T.StructField("likely", T.DoubleType()),
     ])
     out = to_arrow_schema(schema)
-    many = len(known.symbols)
+    many = known.symbols
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain, of_class = shared.value
-        within = np.concatenate([np.zeros(many), of_class])
+        of_symbol = np.concatenate([np.zeros(many), of_class])
         for batch in _together(batches):
             flat, sizes = _sequences(batch.column("symbols"))
             likely = hmm.log_likelihoods(chain, flat, sizes) / np.log(10)
-            likely += np.bincount(np.repeat(np.arange(len(sizes)), sizes), within[flat], len(sizes))
-            kept = [batch.column(c) for c in ("key", "id", "held_out", "known", "base")]
+            likely += np.bincount(np.repeat(np.arange(len(sizes)), sizes), of_symbol[flat], len(sizes))
+            kept = [batch.column(c) for c in ("key", "id", "held_out", "known", "base", "within")]
             yield pa.record_batch([*kept, pa.array(sizes, pa.int64()), pa.array(likely)], schema=out)
 
-    scored = encoded.select("key", "id", "held_out", "known", "base", "symbols").mapInArrow(run, schema)
+    scored = encoded.select("key", "id", "held_out", "known", "base", "within", "symbols").mapInArrow(run, schema)
     classes = spark.createDataFrame([(k, float(u)) for k, u in enumerate(unseen)], "k int, unseen double")
     rare = encoded.select("key", F.explode("rare").alias("r")).select("key", "r.*")
     rest = (
@@ -292,7 +309,7 @@ def score(encoded: DataFrame, known: Vocabulary, chain: hmm.Chain, id_col: str =
         (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(known.tokens).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("rare_base", none) - F.col("n_tokens") * each).alias("base_score"),
-        (F.col("likely") + F.coalesce("rare_score", none)).alias("score"),
+        (F.col("likely") + F.col("within") + F.coalesce("rare_score", none)).alias("score"),
     )
 
 

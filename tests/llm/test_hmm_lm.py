@@ -80,7 +80,8 @@ def plain_base(rows):
 
 
 def test_query(spark, sf_small, monkeypatch):
-    monkeypatch.setattr(hmm_lm, "SYMBOLS", 2000)  # so that there are frequent words beside them
+    monkeypatch.setattr(hmm_lm, "SYMBOLS", 2000)  # so that there are frequent words beside them, and rare ones
+    monkeypatch.setattr(hmm_lm, "FREQUENT", 4000)
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text").collect()]
     want, _ = plain_base(rows)
     got = {r.doc_id: r for r in op12_hmm_scores(spark, sf_small).collect()}
@@ -96,6 +97,7 @@ def test_query(spark, sf_small, monkeypatch):
 def test_score_is_the_model_probability(spark, sf_small, monkeypatch):
     """The score read from the chain and the counts alone, word by word; and rounds that learn."""
     monkeypatch.setattr(hmm_lm, "SYMBOLS", 500)
+    monkeypatch.setattr(hmm_lm, "FREQUENT", 1500)
     docs = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text")
     rows = [tuple(r) for r in docs.collect()]
     own = docs.withColumn("held_out", F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
@@ -106,8 +108,10 @@ def test_score_is_the_model_probability(spark, sf_small, monkeypatch):
     chain, history = hmm_lm.train(encoded, known)
     assert history == sorted(history) and len(history) == hmm_lm.ROUNDS
     assert np.allclose(chain.emit.sum(0), 1) and np.allclose(chain.move.sum(1), 1)
-    number = {w: i for i, w in enumerate(known.symbols)}
-    assert min(c[w] for w in number) >= known.least and max(n for w, n in c.items() if w not in number) < known.least
+    number = {w: i for i, w in enumerate(known.frequent[: known.symbols])}
+    assert 0 < len(number) <= 500 < len(known.frequent) <= 1500
+    assert {w for w, n in c.items() if n >= known.least} == set(known.frequent)
+    assert min(c[w] for w in number) > max(n for w, n in c.items() if w not in number)
     mass, many = Counter(), Counter()
     for w, n in c.items():
         if w not in number:
