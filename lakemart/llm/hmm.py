@@ -164,7 +164,7 @@ class Counts:
         last = np.zeros((0, k))  # state at the end of the block before, if a sequence goes on
         for block in segments.blocks():
             packed = _Packed(segments.begin[block], segments.size[block])
-            own = symbols[packed.at]
+            own = symbols[packed.at].astype(np.intp)
             emit = chain.emit[own]
             alpha, scale = _forward(chain, emit, packed, ahead[block][packed.order].astype(emit.dtype))
             self.likely += float(np.log(scale).sum(dtype=float))
@@ -178,8 +178,8 @@ class Counts:
                 beta[:n] = u @ chain.move.T
             # alpha now holds filtered state times what follows: normalised, the posterior
             posterior = alpha / alpha.sum(1, keepdims=True)
-            for s in range(k):
-                self.emit[:, s] += np.bincount(own, posterior[:, s], len(chain.emit))
+            for s, column in enumerate(np.ascontiguousarray(posterior.T, np.float64)):
+                self.emit[:, s] += np.bincount(own, column, len(chain.emit))
             firsts = (np.cumsum(segments.size[block]) - segments.size[block])[segments.nth[block] == 0]
             posterior, weight = posterior[packed.to], weight[packed.to]
             self.start += posterior[firsts].sum(0)

@@ -179,14 +179,17 @@ def encode(docs: DataFrame, known: Vocabulary, held_out: Column, id_col: str = "
             ends = np.cumsum(sizes)
             owner = np.repeat(np.arange(len(texts)), sizes)
             own = flat < len(frequent)
-            words, times, found = [], [], [0]
+            words, of_words, times, found = [], [], [], [0]
             for t, end in zip(texts, ends.tolist()):
-                begin = end - len(t)
-                counted = Counter(map(t.__getitem__, np.flatnonzero(~own[begin:end]).tolist()))
+                numbers_here = flat[end - len(t) : end]
+                at = np.flatnonzero(numbers_here >= len(frequent))
+                rare_here = list(map(t.__getitem__, at.tolist()))
+                counted = Counter(rare_here)
                 words += counted
                 times += counted.values()
+                of_words += dict(zip(rare_here, (numbers_here[at] - len(frequent)).tolist())).values()  # in the same order
                 found.append(len(words))
-            columns = [pa.array(words, pa.binary()), pa.array(list(map(class_of, words)), pa.int32()), pa.array(times, pa.int64())]
+            columns = [pa.array(words, pa.binary()), pa.array(of_words, pa.int32()), pa.array(times, pa.int64())]
             parts = pa.StructArray.from_arrays(columns, fields=list(out.field("rare").type.value_type))
             yield pa.record_batch([
                 batch.column("id"), batch.column("held_out"),
