@@ -45,8 +45,8 @@ END_ID = 1
 CLASSES = 256
 ROUNDS = 2000
 EPSILON = 0.2
-#: Entries of a worker's caches: pieces as they stand, and words without punctuation.
-CACHE_PIECES = 120_000
+#: Entries of each of a cache's two generations: pieces as they stand, and words without punctuation.
+CACHE_PIECES = 250_000
 CACHE_WORDS = 250_000
 RUN_WORDS = 1000
 _TAIL = ".,;:!?*#$%&|)]}\""
@@ -55,6 +55,43 @@ _TAIL = ".,;:!?*#$%&|)]}\""
 # --- tokens ---------------------------------------------------------------------
 
 
+class Numbers(dict):
+    """Numbers of keys in the order in which they are first asked for; ``values[number]`` is for the caller to fill.
+
+    A full cache becomes the elder of two generations, whose values come back
+    when they are asked for: the words of every text stay, those met once go.
+    """
+
+    def __init__(self, most: int):
+        self.most = most
+        self.values_: list[bytes | None] = []
+        self.elder: dict[str, int] = {}
+        self.elder_values: list[bytes | None] = []
+        self.new: list[str] = []
+
+    def turn(self) -> None:
+        """Start a generation if this one is full."""
+        if len(self) > self.most:
+            self.elder, self.elder_values = dict(self), self.values_
+            self.clear()
+            self.values_ = []
+
+    def __missing__(self, key: str) -> int:
+        number = self[key] = len(self)
+        before = self.elder.get(key)
+        if before is None:
+            self.new.append(key)
+            self.values_.append(None)
+        else:
+            self.values_.append(self.elder_values[before])
+        return number
+
+    def taken(self) -> list[str]:
+        """Keys asked for that no generation knew, since the last call."""
+        new, self.new = self.new, []
+        return new
+
+
 class WordTokenizer:
     """Whole-text ids of a public tokenizer that drops white space, piece by piece from a cache.
 
@@ -78,11 +115,12 @@ class WordTokenizer:
         self.ends = np.zeros(self.library.get_vocab_size(), bool)  # tokens that end a word
         for token, i in self.library.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
-        self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.pieces = Numbers(CACHE_PIECES)
+        self.words = Numbers(CACHE_WORDS)
 
     def learn(self, words: list[str]) -> None:
-        """Remember ids of words; letters-only words are encoded many at a time and cut at word ends."""
+        """Fill in the ids of words; letters-only words are encoded many at a time and cut at word ends."""
+        values, number = self.words.values_, self.words.__getitem__
         single = [w for w in words if not w.isalpha()]
         letters = [w for w in words if w.isalpha()]
         runs = [letters[i : i + RUN_WORDS] for i in range(0, len(letters), RUN_WORDS)]
@@ -94,9 +132,9 @@ class WordTokenizer:
                 continue
             data = ids.tobytes()
             for word, a, b in zip(run, [0, *ends], ends):
-                self.words[word] = data[4 * a : 4 * b]
+                values[number(word)] = data[4 * a : 4 * b]
         for word, made in zip(single, self.library.encode_batch_fast(single, add_special_tokens=False)):
-            self.words[word] = np.array(made.ids, "<u4").tobytes()
+            values[number(word)] = np.array(made.ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids (little-endian 32-bit) of each text."""
@@ -110,26 +148,24 @@ class WordTokenizer:
         return [own[i] if i in whole else next(rest) for i in range(len(texts))]
 
     def _by_pieces(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > CACHE_PIECES:
-            self.known = {}
-        if len(self.words) > CACHE_WORDS:
-            self.words = {}
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        parts, new = [], set()
-        for piece in set().union(*cut).difference(self.known):
+        self.pieces.turn()
+        self.words.turn()
+        number = self.pieces.__getitem__
+        cut = [list(map(number, t.replace("\n", " ").split(" "))) for t in texts]
+        parts = []
+        for piece in self.pieces.taken():
             word = piece.rstrip(_TAIL)
-            if not word.isalpha():
+            if not word.isalpha() or "İ" in word:  # the one letter whose lower case ends in a mark
                 word = piece
             tail = piece[len(word) :]
             if word.isascii():
                 word = word.lower()
-            parts.append((piece, word, tail))
-            new.update((word, tail))
-        self.learn(list(new.difference(self.words)))
-        known, words = self.known, self.words
+            parts.append((number(piece), self.words[word], self.words[tail]))
+        self.learn(self.words.taken())
+        known, words = self.pieces.values_, self.words.values_
         for piece, word, tail in parts:
             known[piece] = words[word] + words[tail]
-        return [b"".join([known[p] for p in pieces]) for pieces in cut]
+        return [b"".join(map(known.__getitem__, numbers)) for numbers in cut]
 
 
 @functools.lru_cache(maxsize=2)

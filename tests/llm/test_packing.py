@@ -33,6 +33,20 @@ def test_ids_equal_the_library(library, text):
     assert got == library.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", ["İ!!", "aİ.", "İ İ, İstanbul)", "ß?!", "ﬁ..", "ǅ;"])
+def test_letters_that_change_in_lower_case(library, text):
+    assert np.frombuffer(pk.word_tokenizer(PATH).encode([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_words_come_back_from_the_elder_generation(library, monkeypatch):
+    monkeypatch.setattr(pk, "CACHE_PIECES", 3)
+    monkeypatch.setattr(pk, "CACHE_WORDS", 2)
+    tokenizer = pk.WordTokenizer(PATH)
+    for text in ("one two, three. four", "one five six. seven eight", "four! nine one", "one, two ten", "", "two two. one"):
+        assert np.frombuffer(tokenizer.encode([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert tokenizer.pieces.elder and len(tokenizer.pieces) < 9
+
+
 def test_knapsack_equals_brute_force():
     rng = np.random.default_rng(0)
     for _ in range(20):
