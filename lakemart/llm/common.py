@@ -12,15 +12,21 @@ from ..session import store
 
 __all__ = ["BATCH_ROWS", "BROADCAST_KEYS", "documents", "fresh", "prepare", "slices", "store", "texts_of"]
 
-#: Rows that Spark hands to Python at once. Texts can be long, so batches are kept small.
+#: Rows, and bytes, that Spark hands to Python at once. Texts can be long, so batches are kept small.
 BATCH_ROWS = 512
+BATCH_BYTES = "8m"
 #: Keys that may be broadcast; beyond this the same join shuffles.
 BROADCAST_KEYS = 1_000_000
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Set the Arrow batch size that the operators' memory bounds assume."""
+    """Set the Arrow batch sizes that the operators' memory bounds assume.
+
+    Spark reads them when a plan runs, after the query has been handed over, so
+    they stay set for the session.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, chat, conversation_repair, cotraining, hmm_lm, minhash, packing, periodic_runs, pii, quality_rules, suffix_dedup, toxicity
-from .common import documents, prepare
+from .common import documents, prepare, store
 from .exact_dedup import exact_dedup
 
 
@@ -70,8 +70,8 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document from its content and its metadata."""
-    docs = documents(spark, sf_dir)
-    return cotraining.score(docs, cotraining.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    features = store(cotraining.features_of(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    return cotraining.score_features(features, cotraining.learn_from(features))
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

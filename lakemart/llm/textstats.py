@@ -87,26 +87,44 @@ def text_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return docs.select(id_col, *keep, text_col).mapInArrow(run, T.StructType([*fields, T.StructField("counts", counts)]))
 
 
-def _share(over: str, under) -> F.Column:
-    """A ratio, 0 where there is nothing to divide by."""
-    below = F.col(f"counts.{under}") if isinstance(under, str) else under
-    return F.coalesce(F.try_divide(F.col(f"counts.{over}").cast("double"), below), F.lit(0.0))
+#: Interpretable features: what is counted, over what; ``n_letters`` is upper and lower case together.
+RATIOS = {
+    "words": ("n_words", None),
+    "chars_per_word": ("word_chars", "n_words"),
+    "symbols_per_word": ("n_symbols", "n_words"),
+    "bars_per_word": ("n_bars", "n_words"),
+    "bangs_per_word": ("n_bang", "n_words"),
+    "digits_per_word": ("n_digits", "n_words"),
+    "dup_line_share": ("n_dup_lines", "n_lines"),
+    "repeat_share": ("n_repeat_words", "n_words"),
+    "upper_share": ("n_upper", "n_letters"),
+    "distinct_share": ("n_distinct", "n_words"),
+    "ended_line_share": ("n_ended", "n_lines"),
+    "words_per_line": ("n_words", "n_lines"),
+}
 
 
 def ratios() -> dict[str, F.Column]:
-    """Interpretable features over ``counts``."""
-    letters = F.col("counts.n_upper") + F.col("counts.n_lower")
-    return {
-        "words": F.col("counts.n_words").cast("double"),
-        "chars_per_word": _share("word_chars", "n_words"),
-        "symbols_per_word": _share("n_symbols", "n_words"),
-        "bars_per_word": _share("n_bars", "n_words"),
-        "bangs_per_word": _share("n_bang", "n_words"),
-        "digits_per_word": _share("n_digits", "n_words"),
-        "dup_line_share": _share("n_dup_lines", "n_lines"),
-        "repeat_share": _share("n_repeat_words", "n_words"),
-        "upper_share": _share("n_upper", letters),
-        "distinct_share": _share("n_distinct", "n_words"),
-        "ended_line_share": _share("n_ended", "n_lines"),
-        "words_per_line": _share("n_words", "n_lines"),
-    }
+    """``RATIOS`` over a column ``counts``; 0 where there is nothing to divide by."""
+
+    def count(name: str) -> F.Column:
+        return F.col("counts.n_upper") + F.col("counts.n_lower") if name == "n_letters" else F.col(f"counts.{name}")
+
+    def share(over: str, under: str | None) -> F.Column:
+        above = count(over).cast("double")
+        return above if under is None else F.coalesce(F.try_divide(above, count(under)), F.lit(0.0))
+
+    return {name: share(*parts) for name, parts in RATIOS.items()}
+
+
+def ratio_arrays(rows: list[tuple[int, ...]]) -> dict[str, np.ndarray]:
+    """``RATIOS`` of texts from their ``counts``, as arrays."""
+    counts = dict(zip(COUNTS, np.array(rows, float).reshape(-1, len(COUNTS)).T))
+    counts["n_letters"] = counts["n_upper"] + counts["n_lower"]
+
+    def share(over: str, under: str | None) -> np.ndarray:
+        if under is None:
+            return counts[over]
+        return np.divide(counts[over], counts[under], out=np.zeros(len(rows)), where=counts[under] > 0)
+
+    return {name: share(*parts) for name, parts in RATIOS.items()}
