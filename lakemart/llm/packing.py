@@ -7,9 +7,11 @@ often as it occurs. It is solved over the histogram of lengths (at most
 round prices the lengths by their weights, a knapsack dynamic program finds the
 configuration of the highest price, it is used as far as its scarcest length
 allows, and weights of what it covers shrink. The fractional solution is
-rounded down; best fit over the histogram of what remains packs the rest. This
-is done with all configurations and with those alone that come out full, and
-the plan of fewer sequences holds (also against best fit alone).
+rounded down; best fit over the histogram of what remains packs the rest. How
+much room a rounded configuration may leave for it to be used is tried from
+none to all (``ROOM_LEFT``), and the plan of the fewest sequences holds. Using no
+configuration at all, which is best fit alone, is one of the trials, so rounding
+never does worse; ``Plan.tried`` tells what each trial came to.
 
 The plan says, for the r-th piece of length l, which sequence and offset it
 gets. Pieces are numbered within their length without bringing a length
@@ -45,9 +47,11 @@ END_ID = 1
 CLASSES = 256
 ROUNDS = 2000
 EPSILON = 0.2
+#: Room that a rounded configuration may leave, by trial; all and none are tried besides.
+ROOM_LEFT = (0, 4, 16, 64, 256)
 #: Entries of each of a cache's two generations: pieces as they stand, and words without punctuation.
-CACHE_PIECES = 250_000
-CACHE_WORDS = 250_000
+CACHE_PIECES = 400_000
+CACHE_WORDS = 100_000
 RUN_WORDS = 1000
 _TAIL = ".,;:!?*#$%&|)]}\""
 
@@ -55,41 +59,40 @@ _TAIL = ".,;:!?*#$%&|)]}\""
 # --- tokens ---------------------------------------------------------------------
 
 
-class Numbers(dict):
-    """Numbers of keys in the order in which they are first asked for; ``values[number]`` is for the caller to fill.
+class Slots(dict):
+    """Ids of keys; one not known gets an empty slot that stands in the lists made of it until it is filled.
 
-    A full cache becomes the elder of two generations, whose values come back
+    A full cache becomes the elder of two generations, whose entries come back
     when they are asked for: the words of every text stay, those met once go.
     """
 
     def __init__(self, most: int):
         self.most = most
-        self.values_: list[bytes | None] = []
-        self.elder: dict[str, int] = {}
-        self.elder_values: list[bytes | None] = []
-        self.new: list[str] = []
+        self.elder: dict[str | bytes, bytes] = {}
+        self.new: list[tuple[str | bytes, bytearray]] = []
+
+    def __missing__(self, key: str | bytes) -> bytes | bytearray:
+        found = self.elder.get(key)
+        if found is None:
+            found = bytearray()
+            self.new.append((key, found))
+        self[key] = found
+        return found
+
+    def taken(self) -> list[tuple[str | bytes, bytearray]]:
+        """The slots to fill, once each."""
+        new, self.new = self.new, []
+        return new
+
+    def fill(self, key: str | bytes, slot: bytearray, data: bytes) -> None:
+        slot += data
+        self[key] = data
 
     def turn(self) -> None:
         """Start a generation if this one is full."""
         if len(self) > self.most:
-            self.elder, self.elder_values = dict(self), self.values_
+            self.elder = dict(self)
             self.clear()
-            self.values_ = []
-
-    def __missing__(self, key: str) -> int:
-        number = self[key] = len(self)
-        before = self.elder.get(key)
-        if before is None:
-            self.new.append(key)
-            self.values_.append(None)
-        else:
-            self.values_.append(self.elder_values[before])
-        return number
-
-    def taken(self) -> list[str]:
-        """Keys asked for that no generation knew, since the last call."""
-        new, self.new = self.new, []
-        return new
 
 
 class WordTokenizer:
@@ -115,26 +118,29 @@ class WordTokenizer:
         self.ends = np.zeros(self.library.get_vocab_size(), bool)  # tokens that end a word
         for token, i in self.library.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
-        self.pieces = Numbers(CACHE_PIECES)
-        self.words = Numbers(CACHE_WORDS)
+        self.pieces = Slots(CACHE_PIECES)
+        self.words = Slots(CACHE_WORDS)
 
-    def learn(self, words: list[str]) -> None:
+    def learn(self, new: list[tuple[str, bytearray]]) -> None:
         """Fill in the ids of words; letters-only words are encoded many at a time and cut at word ends."""
-        values, number = self.words.values_, self.words.__getitem__
-        single = [w for w in words if not w.isalpha()]
-        letters = [w for w in words if w.isalpha()]
+        fill = self.words.fill
+        letters, single = [], []
+        for entry in new:
+            (letters if entry[0].isalpha() else single).append(entry)
         runs = [letters[i : i + RUN_WORDS] for i in range(0, len(letters), RUN_WORDS)]
-        for run, made in zip(runs, self.library.encode_batch_fast([" ".join(r) for r in runs], add_special_tokens=False)):
+        for run, made in zip(runs, self.library.encode_batch_fast([" ".join([w for w, _ in r]) for r in runs], add_special_tokens=False)):
             ids = np.array(made.ids, "<u4")
-            ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             if len(ends) != len(run):  # a letter was normalized to something else
                 single += run
                 continue
             data = ids.tobytes()
-            for word, a, b in zip(run, [0, *ends], ends):
-                values[number(word)] = data[4 * a : 4 * b]
-        for word, made in zip(single, self.library.encode_batch_fast(single, add_special_tokens=False)):
-            values[number(word)] = np.array(made.ids, "<u4").tobytes()
+            begin = 0
+            for (word, slot), end in zip(run, ends):
+                fill(word, slot, data[begin:end])
+                begin = end
+        for (word, slot), made in zip(single, self.library.encode_batch_fast([w for w, _ in single], add_special_tokens=False)):
+            fill(word, slot, np.array(made.ids, "<u4").tobytes())
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids (little-endian 32-bit) of each text."""
@@ -150,22 +156,22 @@ class WordTokenizer:
     def _by_pieces(self, texts: list[str]) -> list[bytes]:
         self.pieces.turn()
         self.words.turn()
-        number = self.pieces.__getitem__
-        cut = [list(map(number, t.replace("\n", " ").split(" "))) for t in texts]
+        piece, word = self.pieces.__getitem__, self.words.__getitem__
+        # the tokenizer ignores case: A-Z are made a-z at once, so that fewer pieces differ
+        cut = [list(map(piece, t.encode().lower().replace(b"\n", b" ").split(b" "))) for t in texts]
         parts = []
-        for piece in self.pieces.taken():
-            word = piece.rstrip(_TAIL)
-            if not word.isalpha() or "İ" in word:  # the one letter whose lower case ends in a mark
-                word = piece
-            tail = piece[len(word) :]
-            if word.isascii():
-                word = word.lower()
-            parts.append((number(piece), self.words[word], self.words[tail]))
+        for key, slot in self.pieces.taken():
+            own, tail = key.decode(), ""
+            if not own.isalpha():
+                bare = own.rstrip(_TAIL)
+                if bare.isalpha() and "İ" not in bare:  # the one letter whose lower case ends in a mark
+                    own, tail = bare, own[len(bare) :]
+            parts.append((key, slot, word(own), word(tail) if tail else b""))
         self.learn(self.words.taken())
-        known, words = self.pieces.values_, self.words.values_
-        for piece, word, tail in parts:
-            known[piece] = words[word] + words[tail]
-        return [b"".join(map(known.__getitem__, numbers)) for numbers in cut]
+        fill = self.pieces.fill
+        for key, slot, own, tail in parts:
+            fill(key, slot, bytes(own) + tail)
+        return [b"".join(ids) for ids in cut]
 
 
 @functools.lru_cache(maxsize=2)
@@ -316,15 +322,15 @@ def _exact(hist: Histogram, config: dict[int, int], unit: int) -> dict[int, int]
     return exact
 
 
-def _rounded(demand: np.ndarray, capacity: int, unit: int, solution: list[tuple[dict[int, int], float]], only_full: bool) -> list[tuple[dict[int, int], int]]:
-    """``solution`` rounded down to whole sequences of real lengths, and best fit for what is left."""
+def _rounded(demand: np.ndarray, capacity: int, unit: int, solution: list[tuple[dict[int, int], float]], most_room: int) -> list[tuple[dict[int, int], int]]:
+    """``solution`` rounded down to whole sequences of real lengths that leave little room, and best fit for the rest."""
     hist, out = Histogram(demand), []
-    for config, x in solution:
+    for config, x in solution if most_room >= 0 else ():
         times = int(x + 1e-9)
         while times > 0:
             exact = _exact(hist, config, unit)
-            if only_full and sum(n * k for n, k in exact.items()) < capacity:
-                break  # room would stay empty: best fit decides about these pieces at the end
+            if capacity - sum(n * k for n, k in exact.items()) > most_room:
+                break  # best fit decides about these pieces at the end
             if not exact or not (done := hist.take(exact, times)):
                 break
             out.append((exact, done))
@@ -332,14 +338,14 @@ def _rounded(demand: np.ndarray, capacity: int, unit: int, solution: list[tuple[
     return out + best_fit(hist)
 
 
-def plan_configurations(demand: np.ndarray, capacity: int, rounds: int = ROUNDS) -> list[tuple[dict[int, int], int]]:
-    """Whole numbers of configurations that hold each length exactly as often as it occurs.
+def plan_configurations(demand: np.ndarray, capacity: int, rounds: int = ROUNDS) -> tuple[list[tuple[dict[int, int], int]], dict[int, int]]:
+    """Whole numbers of configurations that hold each length exactly as often as it occurs; and what was tried.
 
     The program sees lengths in classes of ``capacity / 256`` tokens, rounded
     up; when a configuration is rounded to whole sequences, classes get real
-    lengths again and best fit uses the room that rounding up had left. Of the
-    rounding of all configurations, that of those that come out full, and best
-    fit alone, the one of the fewest sequences is taken.
+    lengths again and best fit uses the room that rounding up had left. The
+    second result is the number of sequences for each limit of room left (-1:
+    no configuration is used); the first limit with the fewest holds.
     """
     hist, out = Histogram(demand), []
     if full := hist.left[capacity]:
@@ -352,8 +358,9 @@ def plan_configurations(demand: np.ndarray, capacity: int, rounds: int = ROUNDS)
             classes[size] += count
     solution = sorted(solve(classes, len(classes) - 1, rounds), key=lambda c: -c[1])
     rest = np.array(hist.left)
-    plans = [_rounded(rest, capacity, unit, solution, True), _rounded(rest, capacity, unit, solution, False), best_fit(hist)]
-    return out + min(plans, key=lambda plan: sum(times for _, times in plan))
+    plans = {room: _rounded(rest, capacity, unit, solution, room) for room in (*(r for r in ROOM_LEFT if r < capacity), capacity, -1)}
+    tried = {room: full + sum(times for _, times in plan) for room, plan in plans.items()}
+    return out + plans[min(tried, key=tried.__getitem__)], tried
 
 
 @dataclass(frozen=True)
@@ -365,6 +372,8 @@ class Plan:
     each: np.ndarray  # pieces of this length in one sequence
     offset: np.ndarray
     sequences: int
+    #: sequences by the room that a rounded configuration might leave; -1: best fit alone
+    tried: dict[int, int]
 
     def place(self, length: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sequence and offset of the pieces of the given lengths and ranks."""
@@ -376,7 +385,8 @@ class Plan:
 
 def make_plan(demand: np.ndarray, capacity: int, rounds: int = ROUNDS) -> Plan:
     taken, rows, sequence = Counter(), [], 0
-    for config, times in plan_configurations(demand, capacity, rounds):
+    configurations, tried = plan_configurations(demand, capacity, rounds)
+    for config, times in configurations:
         offset = 0
         for size in sorted(config, reverse=True):
             rows.append((size << 40 | taken[size], sequence, config[size], offset))
@@ -384,7 +394,7 @@ def make_plan(demand: np.ndarray, capacity: int, rounds: int = ROUNDS) -> Plan:
             offset += size * config[size]
         sequence += times
     keys, seqs, each, offsets = (np.array(c, np.int64) for c in (zip(*sorted(rows)) if rows else ([],) * 4))
-    return Plan(keys, seqs, each, offsets, sequence)
+    return Plan(keys, seqs, each, offsets, sequence, tried)
 
 
 # --- pieces ---------------------------------------------------------------------

@@ -66,7 +66,9 @@ def test_configurations_hold_the_demand(counts):
     for s, n in counts.items():
         demand[s] = n
     held = np.zeros(65, np.int64)
-    for config, times in pk.plan_configurations(demand, 64, 50):
+    configurations, tried = pk.plan_configurations(demand, 64, 50)
+    assert sum(t for _, t in configurations) == min(tried.values()) <= tried[-1]
+    for config, times in configurations:
         assert times > 0 and sum(s * k for s, k in config.items()) <= 64
         for s, k in config.items():
             held[s] += k * times
@@ -86,7 +88,14 @@ def test_the_program_beats_best_fit_alone():
     total = lambda configs: sum(t for _, t in configs)
     for sizes in ([5] * 60 + [3] * 60 + [2] * 60, [6] * 60 + [4] * 60 + [3] * 60 + [1] * 60, [7] * 50 + [4] * 90 + [3] * 70):
         demand = np.bincount(sizes, minlength=11)
-        assert total(pk.plan_configurations(demand, 10)) <= total(pk.best_fit(pk.Histogram(demand)))
+        configurations, tried = pk.plan_configurations(demand, 10)
+        assert total(configurations) <= tried[-1] == total(pk.best_fit(pk.Histogram(demand)))
+    demand = np.bincount([5] * 60 + [3] * 60 + [2] * 60, minlength=11)
+    configurations, tried = pk.plan_configurations(demand, 10)
+    assert total(configurations) == 60 < tried[-1] == 62  # what the total length asks for
+    demand = np.bincount([7] * 50 + [4] * 90 + [3] * 70, minlength=11)
+    configurations, tried = pk.plan_configurations(demand, 10)
+    assert total(configurations) < tried[-1]
 
 
 def test_configurations_that_leave_room():
@@ -94,7 +103,8 @@ def test_configurations_that_leave_room():
     demand = np.bincount([2000] * 30_000 + [1300] * 30_000 + [700] * 30_000, minlength=4097)
     alone = sum(t for _, t in pk.best_fit(pk.Histogram(demand)))
     assert alone == 31_000
-    assert pk.make_plan(demand, 4096, 400).sequences < 30_300
+    plan = pk.make_plan(demand, 4096, 400)
+    assert plan.sequences < 30_300 and plan.tried[-1] == alone and plan.sequences == min(plan.tried.values())
 
 
 def gapless(rows, capacity):
