@@ -49,9 +49,8 @@ ROUNDS = 2000
 EPSILON = 0.2
 #: Room that a rounded configuration may leave, by trial; all and none are tried besides.
 ROOM_LEFT = (0, 4, 16, 64, 256)
-#: Entries of each of a cache's two generations: pieces as they stand, and words without punctuation.
+#: Entries of each of the cache's two generations.
 CACHE_PIECES = 400_000
-CACHE_WORDS = 100_000
 RUN_WORDS = 1000
 _TAIL = ".,;:!?*#$%&|)]}\""
 
@@ -68,10 +67,10 @@ class Slots(dict):
 
     def __init__(self, most: int):
         self.most = most
-        self.elder: dict[str | bytes, bytes] = {}
-        self.new: list[tuple[str | bytes, bytearray]] = []
+        self.elder: dict[bytes, bytes] = {}
+        self.new: list[tuple[bytes, bytearray]] = []
 
-    def __missing__(self, key: str | bytes) -> bytes | bytearray:
+    def __missing__(self, key: bytes) -> bytes | bytearray:
         found = self.elder.get(key)
         if found is None:
             found = bytearray()
@@ -79,12 +78,12 @@ class Slots(dict):
         self[key] = found
         return found
 
-    def taken(self) -> list[tuple[str | bytes, bytearray]]:
+    def taken(self) -> list[tuple[bytes, bytearray]]:
         """The slots to fill, once each."""
         new, self.new = self.new, []
         return new
 
-    def fill(self, key: str | bytes, slot: bytearray, data: bytes) -> None:
+    def fill(self, key: bytes, slot: bytearray, data: bytes) -> None:
         slot += data
         self[key] = data
 
@@ -119,16 +118,12 @@ class WordTokenizer:
         for token, i in self.library.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
         self.pieces = Slots(CACHE_PIECES)
-        self.words = Slots(CACHE_WORDS)
-
-    def learn(self, new: list[tuple[str, bytearray]]) -> None:
-        """Fill in the ids of words; letters-only words are encoded many at a time and cut at word ends."""
-        fill = self.words.fill
-        letters, single = [], []
-        for entry in new:
-            (letters if entry[0].isalpha() else single).append(entry)
+
+    def learn(self, letters: list[tuple[str, bytes, bytearray]], single: list[tuple[str, bytes, bytearray]]) -> None:
+        """Fill in the ids of pieces; words of letters are encoded many at a time and cut at word ends."""
+        fill = self.pieces.fill
         runs = [letters[i : i + RUN_WORDS] for i in range(0, len(letters), RUN_WORDS)]
-        for run, made in zip(runs, self.library.encode_batch_fast([" ".join([w for w, _ in r]) for r in runs], add_special_tokens=False)):
+        for run, made in zip(runs, self.library.encode_batch_fast([" ".join([w for w, _, _ in r]) for r in runs], add_special_tokens=False)):
             ids = np.array(made.ids, "<u4")
             ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             if len(ends) != len(run):  # a letter was normalized to something else
@@ -136,11 +131,11 @@ class WordTokenizer:
                 continue
             data = ids.tobytes()
             begin = 0
-            for (word, slot), end in zip(run, ends):
-                fill(word, slot, data[begin:end])
+            for (_, key, slot), end in zip(run, ends):
+                fill(key, slot, data[begin:end])
                 begin = end
-        for (word, slot), made in zip(single, self.library.encode_batch_fast([w for w, _ in single], add_special_tokens=False)):
-            fill(word, slot, np.array(made.ids, "<u4").tobytes())
+        for (_, key, slot), made in zip(single, self.library.encode_batch_fast([w for w, _, _ in single], add_special_tokens=False)):
+            fill(key, slot, np.array(made.ids, "<u4").tobytes())
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids (little-endian 32-bit) of each text."""
@@ -155,23 +150,26 @@ class WordTokenizer:
 
     def _by_pieces(self, texts: list[str]) -> list[bytes]:
         self.pieces.turn()
-        self.words.turn()
-        piece, word = self.pieces.__getitem__, self.words.__getitem__
+        ids = self.pieces.__getitem__
         # the tokenizer ignores case: A-Z are made a-z at once, so that fewer pieces differ
-        cut = [list(map(piece, t.encode().lower().replace(b"\n", b" ").split(b" "))) for t in texts]
-        parts = []
-        for key, slot in self.pieces.taken():
-            own, tail = key.decode(), ""
-            if not own.isalpha():
-                bare = own.rstrip(_TAIL)
-                if bare.isalpha() and "İ" not in bare:  # the one letter whose lower case ends in a mark
-                    own, tail = bare, own[len(bare) :]
-            parts.append((key, slot, word(own), word(tail) if tail else b""))
-        self.learn(self.words.taken())
-        fill = self.pieces.fill
-        for key, slot, own, tail in parts:
-            fill(key, slot, bytes(own) + tail)
-        return [b"".join(ids) for ids in cut]
+        cut = [list(map(ids, t.encode().lower().replace(b"\n", b" ").split(b" "))) for t in texts]
+        letters, single, joined = [], [], []
+        while new := self.pieces.taken():
+            for key, slot in new:
+                piece = key.decode()
+                if piece.isalpha():
+                    letters.append((piece, key, slot))
+                    continue
+                word = piece.rstrip(_TAIL)
+                if word.isalpha() and "İ" not in word:  # the one letter whose lower case ends in a mark
+                    size = len(key) - len(piece) + len(word)  # punctuation has one byte
+                    joined.append((key, slot, ids(key[:size]), ids(key[size:])))
+                else:
+                    single.append((piece, key, slot))
+        self.learn(letters, single)
+        for key, slot, word, tail in joined:
+            self.pieces.fill(key, slot, bytes(word) + tail)
+        return [b"".join(found) for found in cut]
 
 
 @functools.lru_cache(maxsize=2)

@@ -40,7 +40,6 @@ def test_letters_that_change_in_lower_case(library, text):
 
 def test_words_come_back_from_the_elder_generation(library, monkeypatch):
     monkeypatch.setattr(pk, "CACHE_PIECES", 3)
-    monkeypatch.setattr(pk, "CACHE_WORDS", 2)
     tokenizer = pk.WordTokenizer(PATH)
     for text in ("one two, three. four", "one five six. seven eight", "four! nine one", "one, two ten", "", "two two. one"):
         assert np.frombuffer(tokenizer.encode([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
