@@ -199,6 +199,25 @@ class Counts:
         self.move += self.chain.move * ((before / total).T @ after)
 
 
+def mixture_counts(chain: Chain, symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Expected counts of sequences and of (symbol, state) if each sequence kept one state from end to end."""
+    k = len(chain.start)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    logs = np.log(chain.emit)
+    likely = np.tile(np.log(chain.start, dtype=float), (len(sizes), 1))
+    parts = [slice(a, a + BLOCK) for a in range(0, len(symbols), BLOCK)]
+    for part in parts:
+        first = np.flatnonzero(np.diff(owner[part], prepend=-1))
+        likely[owner[part][first]] += np.add.reduceat(logs[symbols[part]], first, axis=0)
+    posterior = np.exp(likely - likely.max(1, keepdims=True))
+    posterior /= posterior.sum(1, keepdims=True)
+    emit = np.zeros(chain.emit.shape)
+    for part in parts:
+        for s in range(k):
+            emit[:, s] += np.bincount(symbols[part], posterior[owner[part], s], len(emit))
+    return posterior.sum(0), emit
+
+
 def refit(chain: Chain, start: np.ndarray, move: np.ndarray, emit: np.ndarray, prior: np.ndarray, strength: float) -> Chain:
     """The chain of given counts; emissions lean towards ``prior`` as ``strength`` more symbols of each state would."""
     moved = move + 1.0

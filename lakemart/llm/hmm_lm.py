@@ -11,8 +11,9 @@ Its ``FREQUENT`` words go to the tasks with their counts, all others are joined.
 
 Each round of Baum-Welch is one Spark job over all training texts: tasks add up
 expected counts of their texts by exact forward and backward recursion, Spark
-adds the tasks' counts by symbol, and the driver gets ``SYMBOLS + CLASSES`` rows. The
-states start from the unigram distribution, tilted by seeded noise.
+adds the tasks' counts by symbol, and the driver gets ``SYMBOLS + CLASSES`` rows.
+The states start from the unigram distribution, tilted by seeded noise; a few
+cheaper rounds, in which a text keeps one state, part them before they may move.
 
 The score is the scaled forward recursion over the whole text, end included,
 plus the logarithms of the words that are no symbols, within their classes.
@@ -48,7 +49,10 @@ SYMBOLS = 1 << 15
 FREQUENT = 1 << 18
 CLASSES = 1 << 10
 STATES = 8
-ROUNDS = 3
+#: Rounds with one state to a text, and rounds of Baum-Welch.
+STARTS, ROUNDS = 3, 2
+#: Chance at first that a state follows itself.
+STAY = 0.9
 #: Taken off each count of a class's word, for the words that no training text holds.
 DISCOUNT = 0.75
 #: Symbols' worth of the unigram distribution added to each state.
@@ -227,12 +231,12 @@ def first_chain(masses: np.ndarray, states: int = STATES) -> hmm.Chain:
     """States that stay, with the unigram distribution tilted by noise, so that they can part."""
     prior = (masses + 0.5) / (masses + 0.5).sum()
     emit = prior[:, None] * np.random.default_rng(SEED).gamma(2.0, 0.5, (len(masses), states)) + 1e-12
-    move = np.full((states, states), 0.01 / states) + 0.99 * np.eye(states)
+    move = np.full((states, states), (1 - STAY) / states) + STAY * np.eye(states)
     return hmm.Chain(np.full(states, 1 / states), move, emit / emit.sum(0))
 
 
-def train(encoded: DataFrame, known: Vocabulary, rounds: int = ROUNDS, states: int = STATES) -> tuple[hmm.Chain, list[float]]:
-    """Baum-Welch over all texts not held out; also the log-likelihood (base 10, by symbol) before each round."""
+def train(encoded: DataFrame, known: Vocabulary, rounds: int = ROUNDS, states: int = STATES, starts: int = STARTS) -> tuple[hmm.Chain, list[float]]:
+    """Baum-Welch over all texts not held out; also the log-likelihood (base 10, by symbol) before each of its rounds."""
     spark = encoded.sparkSession
     masses = known.masses
     prior = (masses + 0.5) / (masses + 0.5).sum()
@@ -241,14 +245,22 @@ def train(encoded: DataFrame, known: Vocabulary, rounds: int = ROUNDS, states: i
     columns = [f"e{s}" for s in range(states)]
     schema = ", ".join(["row int", *(f"{c} double" for c in columns)])
     history = []
-    for _ in range(rounds):
-        shared = spark.sparkContext.broadcast(chain.single())
+    for turn in range(starts + rounds):
+        shared, whole_texts = spark.sparkContext.broadcast(chain.single()), turn < starts
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, whole_texts=whole_texts) -> Iterator[pa.RecordBatch]:
             counts = hmm.Counts(shared.value)
+            seen = False
             for batch in _together(batches):
-                counts.add(*_sequences(batch.column("symbols")))
-            if counts.likely:
+                sequences = _sequences(batch.column("symbols"))
+                seen = True
+                if whole_texts:
+                    start, emit = hmm.mixture_counts(shared.value, *sequences)
+                    counts.start += start
+                    counts.emit += emit
+                else:
+                    counts.add(*sequences)
+            if seen:  # rows: symbols and classes, then moves, first states, and the log-likelihood
                 whole = np.concatenate([counts.emit, counts.move, counts.start[None], np.full((1, len(columns)), counts.likely)])
                 at = np.flatnonzero(whole.any(1))
                 yield pa.record_batch([pa.array(at, pa.int32()), *(pa.array(whole[at, s]) for s in range(len(columns)))], ["row", *columns])
@@ -257,8 +269,10 @@ def train(encoded: DataFrame, known: Vocabulary, rounds: int = ROUNDS, states: i
         summed = parts.groupBy("row").agg(*(F.sum(c).alias(c) for c in columns)).toArrow()
         whole = np.zeros((rows + states + 2, states))
         whole[summed.column("row").to_numpy()] = np.stack([summed.column(c).to_numpy() for c in columns], 1)
-        history.append(float(whole[-1, 0] / np.log(10) / max(1, known.tokens)))
-        chain = hmm.refit(chain, whole[-2], whole[rows : rows + states], whole[:rows], prior, STRENGTH)
+        made = hmm.refit(chain, whole[-2], whole[rows : rows + states], whole[:rows], prior, STRENGTH)
+        chain = hmm.Chain(made.start, chain.move, made.emit) if whole_texts else made
+        if not whole_texts:
+            history.append(float(whole[-1, 0] / np.log(10) / max(1, known.tokens)))
         shared.unpersist()
     return chain, history
 

@@ -54,6 +54,23 @@ def test_all_paths(monkeypatch, segment, block):
         assert np.allclose(got, sum(w[k] for w in want))
 
 
+@pytest.mark.parametrize("block", [400_000, 4])
+def test_one_state_to_a_sequence(monkeypatch, block):
+    monkeypatch.setattr(hmm, "BLOCK", block)
+    chain = some_chain()
+    rng = np.random.default_rng(4)
+    sequences = [rng.integers(0, 5, n) for n in (3, 1, 9, 2)]
+    start, emit = np.zeros(3), np.zeros((5, 3))
+    for own in sequences:
+        p = chain.start * chain.emit[own].prod(0)
+        p /= p.sum()
+        start += p
+        for x in own:
+            emit[x] += p
+    got = hmm.mixture_counts(chain, np.concatenate(sequences), np.array([len(s) for s in sequences]))
+    assert np.allclose(got[0], start) and np.allclose(got[1], emit)
+
+
 def test_long_sequences_do_not_vanish():
     chain = some_chain(4, 50)
     flat = np.random.default_rng(3).integers(0, 50, 60_000)
