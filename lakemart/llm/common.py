@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import store
 
-__all__ = ["BATCH_ROWS", "BROADCAST_KEYS", "documents", "fresh", "prepare", "slices", "store", "texts_of"]
+__all__ = ["BATCH_ROWS", "BROADCAST_KEYS", "Numbers", "documents", "fresh", "prepare", "slices", "store", "texts_of"]
 
 #: Rows, and bytes, that Spark hands to Python at once. Texts can be long, so batches are kept small.
 BATCH_ROWS = 512
@@ -60,3 +60,40 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = 4_000_000)
 def texts_of(batch: pa.RecordBatch, text: str) -> list[str]:
     """The texts of a batch; null counts as empty."""
     return [t or "" for t in batch.column(text).to_pylist()]
+
+
+class Numbers(dict):
+    """Numbers of keys in the order in which they are first asked for; ``values[number]`` is for the caller to fill.
+
+    A full cache becomes the elder of two generations, whose values come back
+    when they are asked for: the words of every text stay, those met once go.
+    """
+
+    def __init__(self, most: int):
+        self.most = most
+        self.values: list = []  # by number, in place of dict's method
+        self.elder: dict[str, int] = {}
+        self.elder_values: list = []
+        self.new: list[str] = []
+
+    def turn(self) -> None:
+        """Start a generation if this one is full."""
+        if len(self) > self.most:
+            self.elder, self.elder_values = dict(self), self.values
+            self.clear()
+            self.values = []
+
+    def __missing__(self, key: str) -> int:
+        number = self[key] = len(self)
+        before = self.elder.get(key)
+        if before is None:
+            self.new.append(key)
+            self.values.append(None)
+        else:
+            self.values.append(self.elder_values[before])
+        return number
+
+    def taken(self) -> list[str]:
+        """Keys asked for that no generation knew, since the last call."""
+        new, self.new = self.new, []
+        return new

@@ -22,10 +22,17 @@ BEGINNINGS = (3, 4, 5, 6, 7)
 _EDGES = "\"'()[]{}<>.,;:!?*#$%&|-_=+~`…«»„“”"
 
 
+def core_of(token: str) -> str:
+    return token.strip(_EDGES).lower()
+
+
+def shape_of(token: str) -> str:
+    return "upper" if token.isupper() else "title" if token[:1].isupper() else "lower"
+
+
 def token_features(token: str) -> list[str]:
-    core = token.strip(_EDGES).lower()
-    shape = "upper" if token.isupper() else "title" if token[:1].isupper() else "lower"
-    return [f"w={core}", *(f"b={core[:n]}" for n in BEGINNINGS if n < len(core)), f"e={core[-3:]}", f"l={min(len(core), 12)}", f"k={shape}"]
+    core = core_of(token)
+    return [f"w={core}", *(f"b={core[:n]}" for n in BEGINNINGS if n < len(core)), f"e={core[-3:]}", f"l={min(len(core), 12)}", f"k={shape_of(token)}"]
 
 
 def ends_sentence(token: str) -> bool:

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import itertools
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lakemart.llm import toxicity as tx
-from lakemart.llm.crf import MOST_TOKENS, Chain, Features, sequences, train
+from lakemart.llm.crf import MOST_TOKENS, Chain, Features, sequences, token_features, train
 
 
 def brute_marginals(chain, scores):
@@ -130,6 +132,62 @@ def test_counts_over_the_table_equal_plain_counts(spark):
     assert plain.texts[""] == 400 and plain.toxic[""] == toxic.sum()
 
 
+def test_emissions_add_the_weights_of_the_features():
+    rng = random.Random(5)
+    tokens = ["", "a", "Bad.", "BADLY", "«badness»", "É", "...", "abcdefghijklmnop", "l=3", "Bad", "bad"]
+    names = sorted({f for t in tokens for f in token_features(t)})
+    model = tx.Model({f: rng.uniform(-1, 1) for f in names if rng.random() < 0.8}, bias=0.3)
+    for t in tokens:
+        assert np.isclose(tx.Emissions(model).of(t), 0.3 + sum(model.weights.get(f, 0.0) for f in token_features(t)))
+        assert tx.marks_of(t) == [f for f in token_features(t) if f[:2] == "w=" or f[:2] == "b=" and len(f) >= 6]
+
+
+def test_tagger_forgets_in_generations(monkeypatch):
+    texts, toxic = corpus(400, 7)
+    model = tx.fit(texts, toxic)
+    whole = tx.Tagger(model).tag(texts)[1]
+    monkeypatch.setattr(tx, "CACHE_TOKENS", 20)
+    small = tx.Tagger(model)
+    parts = [p for i in range(0, 400, 7) for p in small.tag(texts[i : i + 7])[1]]
+    assert small.tokens.elder and all(np.allclose(a, b) for a, b in zip(whole, parts))
+
+
+def test_marks_are_handed_on_in_parts(spark, monkeypatch):
+    texts, toxic = corpus(200, 8)
+    monkeypatch.setattr(tx, "MARKS_HELD", 50)
+    table = spark.createDataFrame([(str(i), t, bool(y)) for i, (t, y) in enumerate(zip(texts, toxic))], "key string, said string, toxic boolean")
+    want = Counter(m for t in texts for m in {"", *(m for w in t.split() for m in tx.marks_of(w))})
+    assert {r.mark: r.n for r in tx.mark_counts(table).collect()} == want
+
+
+def test_sample_in_one_pass_equals_the_shares(spark, monkeypatch):
+    texts, toxic = corpus(600, 9)
+    rows = [(str(i), t, bool(y)) for i, (t, y) in enumerate(zip(texts, toxic))]
+    table = spark.createDataFrame(rows, "key string, said string, toxic boolean").repartition(3)
+    monkeypatch.setattr(tx, "MARKED_SEQUENCES", 40)
+    monkeypatch.setattr(tx, "PLAIN_SEQUENCES", 100)
+    marks = {"w=blarg": 30, "w=zounds": 25, "b=fieg": 60}
+    strata = tx.Strata(marks)
+    split = [(k, n, s, own) for k, t, y in rows for n, (s, own) in enumerate(strata.split(t, y))]
+    sizes = Counter(s for _, _, s, _ in split)
+    part = tx.shares(sizes)
+    sample, counted = tx.sampled_sequences(table, marks, 600, int(toxic.sum()))
+    assert counted == sizes
+    assert sorted(sample) == sorted((s, own) for k, n, s, own in split if tx.lot(k, n) < part[s])
+
+
+def test_scores_with_one_tagging_equal_those_in_two_steps(spark):
+    texts, toxic = corpus(500, 10)
+    docs = spark.createDataFrame([(i, t, 0.0) for i, t in enumerate([*texts, None, ""])], "doc_id long, text string, most double")
+    labels = spark.createDataFrame([(i, int(y)) for i, y in enumerate(toxic)], "doc_id long, toxic int")
+    usable = F.col("doc_id") % 4 != 2
+    model = tx.learn(docs, labels, usable)
+    two = {r.doc_id: (r.score, r.spans) for r in tx.score_texts(docs, model).collect()}
+    one = {r.doc_id: (r.score, r.spans) for r in tx.learn_and_score(docs, labels, usable).collect()}
+    assert one.keys() == two.keys() and all(np.isclose(one[k][0], two[k][0]) and one[k][1] == two[k][1] for k in one)
+    assert np.allclose([two[i][0] for i in range(500)], model.score(*tx.summaries(tx.Tagger(model).tag(texts)[1])))
+
+
 def test_spans():
     assert tx.spans_of("a bad  bad, b", np.array([0, 1, 1, 0], bool)) == [{"start": 2, "end": 11}]
 
