@@ -28,8 +28,10 @@ one text near the limit can't do without, grows with the square.
 
 Defined cases: null and empty texts have no shingles and are linked with
 nothing; fewer than five words form one shingle; null ids have no component
-and are kept; rows that share an id count as one document; an empty table
-gives no rows; other columns are ignored.
+and are kept; ids are whole numbers (others are refused); rows that share an id
+count as one document, whose set is that of the row with the smallest hash of
+its set (a row without shingles only if all are); an empty table gives no rows;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -46,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BROADCAST_KEYS, slices, store
+from .common import BROADCAST_KEYS, slices, store, texts_of
 from .components import connected_components
 
 WORDS = 5
@@ -57,8 +59,8 @@ MISS_SKETCH = 2e-6
 #: Lowest similarity limit that is served, in percent; tables grow fast below it.
 LEAST_PERCENT = 50
 #: Most nodes of a block when sketches, and when sets are compared; most shingles of the latter.
-SKETCH_BLOCK = 512
-SET_BLOCK = 256
+SKETCH_BLOCK = 2048
+SET_BLOCK = 512
 SET_BLOCK_SHINGLES = 1_000_000
 CACHE_WORDS = 300_000
 
@@ -135,6 +137,10 @@ def minhashes(sets: list[np.ndarray], hashes: int = HASHES) -> np.ndarray:
     return out
 
 
+def _set_hash(shingles: np.ndarray) -> bytes | None:
+    return xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None
+
+
 def _matrix(rows: np.ndarray, kind: pa.DataType) -> pa.Array:
     n, width = rows.shape
     return pa.ListArray.from_arrays(pa.array(np.arange(0, n * width + 1, width, dtype=np.int32)), pa.array(rows.reshape(-1), kind))
@@ -153,7 +159,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 {
                     id_col: batch.column(id_col),
                     "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
-                    "set_hash": pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
+                    "set_hash": pa.array([_set_hash(s) for s in sets], pa.binary()),
                     "signature": pa.array([next(made) if len(s) else None for s in sets], pa.list_(pa.int32())),
                 }
             )
@@ -163,17 +169,24 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def shingle_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``node, data, size`` of each row: its set as the bytes of sorted 64-bit hashes."""
+    """``node, set_hash, data, size`` of each row: its set as the bytes of sorted 64-bit hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in slices(batches, text_col):
-            sets = [np.sort(shingler.shingles(t or "").view(np.int64)) for t in batch.column(text_col).to_pylist()]
+            own = [shingler.shingles(t or "") for t in texts_of(batch, text_col)]
+            sets = [np.sort(s.view(np.int64)) for s in own]
             yield pa.RecordBatch.from_pydict(
-                {"node": batch.column(id_col), "data": pa.array([s.tobytes() for s in sets], pa.binary()), "size": pa.array([len(s) for s in sets], pa.int32())}
+                {
+                    "node": batch.column(id_col),
+                    "set_hash": pa.array([_set_hash(s) for s in own], pa.binary()),
+                    "data": pa.array([s.tobytes() for s in sets], pa.binary()),
+                    "size": pa.array([len(s) for s in sets], pa.int32()),
+                }
             )
 
-    out = T.StructType([T.StructField("node", docs.schema[id_col].dataType), T.StructField("data", T.BinaryType()), T.StructField("size", T.IntegerType())])
+    fields = [T.StructField("set_hash", T.BinaryType()), T.StructField("data", T.BinaryType()), T.StructField("size", T.IntegerType())]
+    out = T.StructType([T.StructField("node", docs.schema[id_col].dataType), *fields])
     return docs.select(id_col, text_col).mapInArrow(run, out)
 
 
@@ -317,11 +330,13 @@ def _clusters(nodes: DataFrame, bands: Banding) -> DataFrame:
 
 def _links(clusters: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
     """``a, b``: links between full sets, a spanning forest of each unit."""
-    wanted = store(clusters.join(nodes.select("node", "n_shingles"), "node"))
+    wanted = store(clusters.join(nodes.select("node", "n_shingles", "set_hash"), "node"))
     ids = wanted.select(F.col("node").alias(id_col)).distinct()
     if ids.count() <= BROADCAST_KEYS:
         ids = F.broadcast(ids)
-    sets = shingle_sets(docs.select(id_col, text_col).join(ids, id_col, "left_semi"), id_col, text_col).dropDuplicates(["node", "size"])
+    sets = shingle_sets(docs.select(id_col, text_col).join(ids, id_col, "left_semi"), id_col, text_col)
+    sets = sets.join(wanted.select("node", "set_hash").distinct(), ["node", "set_hash"], "left_semi").dropDuplicates(["node"])  # equal rows
+    sets = sets.drop("set_hash")
     totals = wanted.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("total"))
     blocks = F.greatest(F.ceil(F.col("n") / SET_BLOCK), F.ceil(F.col("total") / SET_BLOCK_SHINGLES)).cast("int")
     placed = wanted.select("node", "component").join(totals.select("component", blocks.alias("blocks")), "component")
@@ -329,21 +344,41 @@ def _links(clusters: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str,
     return units.mapInArrow(_unit_edges(_similar_sets(percent)), "a long, b long")
 
 
+def _one_set_each(signed: DataFrame, id_col: str) -> DataFrame | None:
+    """The row of each id that stands for it, if any id has several rows with different sets."""
+    several = signed.groupBy(id_col).agg(F.count_distinct("set_hash").alias("sets"), F.count(F.lit(1)).alias("rows"), F.count("set_hash").alias("full"))
+    if several.filter(f"`{id_col}` is not null and (sets > 1 or sets = 1 and full < rows)").isEmpty():
+        return None
+    order = F.struct(F.col("set_hash").isNull().alias("none"), "set_hash", "n_shingles", "signature")
+    return store(signed.groupBy(id_col).agg(F.min(order).alias("one")).select(id_col, "one.set_hash", "one.n_shingles", "one.signature"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
     """``id_col, n_shingles, component_id, kept`` of each row, links at ``percent`` similarity or more."""
     bands = banding(percent)
+    if not isinstance(docs.schema[id_col].dataType, T.IntegralType):
+        raise ValueError(f"{id_col} must be a column of whole numbers")
     signed = store(signatures(docs, id_col, text_col, bands.hashes))
+    chosen = _one_set_each(signed, id_col)
     low_bytes = F.unhex(F.concat(*(F.lpad(F.hex(F.col("signature")[k].bitwiseAND(255)), 2, "0") for k in range(bands.hashes))))
     classes = store(
-        signed.filter(f"`{id_col}` is not null and n_shingles > 0")
+        (signed if chosen is None else chosen)
+        .filter(f"`{id_col}` is not null and set_hash is not null")
         .groupBy("set_hash")
-        .agg(F.min(id_col).alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
+        .agg(F.min(F.col(id_col).cast("long")).alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
         .withColumn("sketch", low_bytes)
     )
-    nodes = classes.drop("set_hash")
-    links = connected_components(_links(_clusters(nodes, bands), nodes, docs, id_col, text_col, percent))
-    ids = signed.select(id_col, "n_shingles", "set_hash").join(classes.select("set_hash", "node"), "set_hash", "left")
-    ids = ids.join(links, "node", "left")
+    links = connected_components(_links(_clusters(classes, bands), classes, docs.withColumn(id_col, F.col(id_col).cast("long")), id_col, text_col, percent))
+
+    def placed(rows: DataFrame) -> DataFrame:
+        """``rows`` with the node of their set and its component."""
+        return rows.join(classes.select("set_hash", "node"), "set_hash", "left").join(links, "node", "left")
+
+    if chosen is None:
+        ids = placed(signed.select(id_col, "n_shingles", "set_hash"))
+    else:
+        own = placed(chosen.select(id_col, "set_hash")).select(F.col(id_col).alias("own_id"), "component", "node")
+        ids = signed.select(id_col, "n_shingles").join(own, F.col(id_col) == F.col("own_id"), "left")
     component = F.when(F.col(id_col).isNotNull(), F.coalesce("component", "node", id_col))
     return ids.select(id_col, "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
 

@@ -163,6 +163,29 @@ def test_edge_rows(spark):
     assert mh.near_duplicates(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 2, 3, 4])
+def test_rows_that_share_an_id_have_one_set(spark, parts):
+    """Whatever the partitions: the row of the least set hash stands for the id, in its links too."""
+    a, b, c = (" ".join(f"{k}{i}" for i in range(60)) for k in "xyz")
+    rows = [(1, a), (2, b), (2, a), (3, b), (4, c), (4, None), (5, c), (6, None), (6, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    hashes = {t: mh._set_hash(mh.Shingler().shingles(t)) for t in (a, b, c)}
+    with_two = 1 if hashes[a] < hashes[b] else 3
+    want = {1: 1, 2: min(2, with_two), 3: 3, 4: 4, 5: 4, 6: 6}
+    if with_two == 3:
+        want[3] = 2
+    got_ = {(r.doc_id, r.component_id) for r in mh.near_duplicates(docs).collect()}
+    assert got_ == set(want.items())
+    assert sorted(r.n_shingles for r in mh.near_duplicates(docs).collect()) == sorted(len(shingles(t)) for _, t in rows)
+
+
+def test_ids_are_whole_numbers(spark):
+    with pytest.raises(ValueError, match="whole numbers"):
+        mh.near_duplicates(spark.createDataFrame([("a", "b")], "doc_id string, text string"))
+    docs = spark.createDataFrame([(7, "a b c"), (3, "a b c")], "doc_id int, text string")
+    assert got(mh.near_duplicates(docs)) == {7: (1, 3), 3: (1, 3)}
+
+
 def test_query_equals_brute_force(spark, sf_small):
     from lakemart.llm.queries import op5_minhash
 
