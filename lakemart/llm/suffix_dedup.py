@@ -22,7 +22,8 @@ told apart together, as one suffix truncated behind the last of them.
    content, and its windows are counted by fingerprint in a shuffle of their own.
 
 Results go back by the hash and length of the text, so copies of a text are
-worked on once. Windows within a group are told apart by 64-bit fingerprints.
+worked on once. Windows within a task's group are told apart by 64-bit
+fingerprints, those counted in the shuffle by two of them.
 
 Defined cases: null and empty texts lose nothing; matches never cross texts;
 overlaps count, also within a text; every copy of a repeated string goes,
@@ -47,8 +48,9 @@ from .common import BROADCAST_KEYS, slices, store
 LENGTH = 200
 #: Occurrences beyond which an anchor's suffixes are dealt out by content.
 HOT = 4000
-#: Bytes of suffixes that a task sorts into one run.
+#: Bytes of suffixes that a task sorts into one run, and that one target merges, about.
 RUN_BYTES = 16_000_000
+TARGET_BYTES = 64_000_000
 
 _BITS = 20
 _BLOCK = 1 << _BITS
@@ -56,6 +58,10 @@ _INDEX = np.uint64(_BLOCK - 1)
 _BASE = 0x9E3779B97F4A7C15
 
 
+#: Base of the second fingerprint of windows that are counted in a shuffle.
+_OTHER = 0xD6E8FEB86659FD93
+
+
 def _powers(base: int, n: int) -> np.ndarray:
     out, filled, step = np.ones(n, np.uint64), 1, base
     while filled < n:
@@ -67,6 +73,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 _UP = _powers(_BASE, _BLOCK + 1)
 _DOWN = _powers(pow(_BASE, -1, 1 << 64), _BLOCK + 1)
+_TABLES = {_BASE: (_UP, _DOWN), _OTHER: (_powers(_OTHER, 1 << 16), _powers(pow(_OTHER, -1, 1 << 64), 1 << 16))}
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -75,14 +82,15 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(32)
 
 
-def window_hashes(data: np.ndarray, size: int) -> np.ndarray:
-    """Hash of every string of ``size`` bytes; at most ``2**20`` bytes at once."""
+def window_hashes(data: np.ndarray, size: int, base: int = _BASE) -> np.ndarray:
+    """Hash of every string of ``size`` bytes; at most ``2**20`` bytes at once (``2**16`` for another base)."""
     n = len(data) - size + 1
     if n <= 0:
         return np.empty(0, np.uint64)
+    up, down = _TABLES[base]
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(data.astype(np.uint64) * _UP[: len(data)], out=sums[1:])
-    return _mixed((sums[size:] - sums[:-size]) * _DOWN[:n])
+    np.cumsum(data.astype(np.uint64) * up[: len(data)], out=sums[1:])
+    return _mixed((sums[size:] - sums[:-size]) * down[:n])
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -234,7 +242,7 @@ def _ranges(flags: np.ndarray) -> list[tuple[int, int]]:
 class _Found:
     """Rows for the result: covered ranges, and windows still to be counted."""
 
-    NAMES = ("window", "weight", "key", "bytes", "start", "end")
+    NAMES = ("window", "other", "weight", "key", "bytes", "start", "end")
 
     def __init__(self, length: int):
         self.length, self.rows = length, []
@@ -242,19 +250,21 @@ class _Found:
         self.size = 0
 
     def covered(self, key: int, size: int, start: int, end: int) -> None:
-        self.rows.append((None, 0, key, size, start, end))
+        self.rows.append((None, None, 0, key, size, start, end))
 
     def whole(self, string: bytes, refs: np.ndarray) -> None:
         for key, size, start in refs.T.tolist():
             self.covered(key, size, start, start + len(string))
 
     def fingerprints(self, string: bytes, weight: int, refs: np.ndarray) -> None:
-        for i, h in enumerate(window_hashes(np.frombuffer(string, np.uint8), self.length).view(np.int64).tolist()):
+        data = np.frombuffer(string, np.uint8)
+        both = zip(*(window_hashes(data, self.length, base).view(np.int64).tolist() for base in (_BASE, _OTHER)))
+        for i, h in enumerate(both):
             if weight > 1:
-                self.rows.append((h, 2, None, None, None, None))
+                self.rows.append((*h, 2, None, None, None, None))
             else:
                 key, size, start = (int(v) for v in refs[:, 0])
-                self.rows.append((h, 1, key, size, start + i, start + i + self.length))
+                self.rows.append((*h, 1, key, size, start + i, start + i + self.length))
 
     def differing(self, group: int, string: bytes, weight: int, refs: np.ndarray) -> None:
         self.mixed.append((group, string, weight, tuple(refs[:, 0].tolist())))
@@ -421,21 +431,39 @@ def _texts_of(texts: DataFrame, keys: DataFrame) -> DataFrame:
     return texts.join(wanted, "key", "left_semi").groupBy("key", "bytes").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
 
 
+def _occurring(rows: DataFrame, counts: DataFrame, hot: int) -> DataFrame:
+    """``key, anchor, hot``: the rows of anchors that occur again.
+
+    The hot ones, at most one in ``hot`` of all occurrences, are known by a
+    broadcast as long as they number ``BROADCAST_KEYS`` or fewer. Their rows need
+    no partner, so they go through the shuffled join spread by key and anchor.
+    """
+    often = counts.filter(F.col("n") > hot).select(F.col("anchor").alias("often"))
+    if not 0 < often.count() <= BROADCAST_KEYS:
+        return rows.join(counts, "anchor").select("key", "anchor", (F.col("n") > hot).alias("hot"))
+    flagged = rows.join(F.broadcast(often), F.col("anchor") == F.col("often"), "left").withColumn("hot", F.col("often").isNotNull())
+    at = F.when(F.col("hot"), F.xxhash64("key", "anchor")).otherwise(F.col("anchor"))
+    few = counts.filter(F.col("n") <= hot).select(F.col("anchor").alias("few"))
+    joined = flagged.withColumn("at", at).join(few, F.col("at") == F.col("few"), "left")
+    return joined.filter("hot or few is not null").select("key", "anchor", "hot")
+
+
 def covered_ranges(texts: DataFrame, length: int, hot: int) -> DataFrame:
     """``key, bytes, ranges``: what repeats in each text that has anything to lose; ``ranges`` sorted by start."""
     lists = texts.select("key", "text").mapInArrow(_anchor_lists(length), "key long, anchors array<long>")
     rows = lists.select("key", F.explode("anchors").alias("anchor"))
-    counts = rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    again = rows.join(counts, "anchor").groupBy("key").agg(F.collect_set("anchor").alias("anchors"), F.collect_set(F.when(F.col("n") > hot, F.col("anchor"))).alias("hot"))
-    again = store(again)
-    targets = max(1, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    counts = store(rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    again = store(_occurring(rows, counts, hot).groupBy("key").agg(F.collect_set("anchor").alias("anchors"), F.collect_set(F.when(F.col("hot"), F.col("anchor"))).alias("hot")))
+    # a suffix is a window, its neighbours and what goes with it: about LENGTH and 200 bytes
+    suffixes = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    targets = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-suffixes * (length + 200) // TARGET_BYTES))
     work = _texts_of(texts, again).join(again, "key").select("key", "text", "copies", "anchors", "hot")
     runs = work.mapInArrow(_sorted_runs(length, targets), "target int, run binary")
-    schema = "window long, weight long, key long, bytes long, start long, end long"
+    schema = "window long, other long, weight long, key long, bytes long, start long, end long"
     found = store(runs.repartition(targets, "target").sortWithinPartitions("target").mapInArrow(_merge(length), schema))
     windows = found.filter("window is not null")
-    twice = windows.groupBy("window").agg(F.sum("weight").alias("n")).filter("n > 1").select("window")
-    late = windows.filter("key is not null").join(twice, "window")
+    twice = windows.groupBy("window", "other").agg(F.sum("weight").alias("n")).filter("n > 1").select("window", "other")
+    late = windows.filter("key is not null").join(twice, ["window", "other"])
     place = ("key", "bytes", F.struct("start", "end").alias("range"))
     ranges = found.filter("window is null").select(*place).unionByName(late.select(*place))
     return ranges.groupBy("key", "bytes").agg(F.array_sort(F.collect_list("range")).alias("ranges"))
