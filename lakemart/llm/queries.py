@@ -41,8 +41,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every text; a quarter of the ids teaches nothing."""
     docs = documents(spark, sf_dir)
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
-    model = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), ~held_out)
-    scored = toxicity.score_texts(docs, model)
+    scored = toxicity.learn_and_score(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), ~held_out)
     return scored.select(
         "doc_id",
         held_out.alias("held_out"),
@@ -60,6 +59,7 @@ def packed_documents(docs: DataFrame) -> DataFrame:
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text as token pieces, packed into as few sequences as can be found."""
     return packed_documents(documents(spark, sf_dir))
 
 

@@ -59,7 +59,7 @@ def test_exact(stages):
 
 def test_near(stages):
     before, after = by_id(stages["exact_dedup"]), by_id(stages["minhash_near_dedup"])
-    components = near_components([(k, r.text) for k, r in before.items()])
+    components = near_components([(k, r.text) for k, r in before.items()], cp.NEAR_PERCENT)
     assert after == {k: before[k] for k, (_, c) in components.items() if c == k}
 
 
@@ -79,12 +79,6 @@ def test_near_links_from_80_percent(spark):
     assert kept != {k for k, (_, c) in near_components([(r[0], r[1]) for r in rows], 85).items() if c == k}
 
 
-def test_near_at_80_on_the_tables(stages):
-    before, after = by_id(stages["exact_dedup"]), by_id(stages["minhash_near_dedup"])
-    components = near_components([(k, r.text) for k, r in before.items()], 80)
-    assert after == {k: before[k] for k, (_, c) in components.items() if c == k}
-
-
 def test_pii(stages):
     before, after = by_id(stages["minhash_near_dedup"]), by_id(stages["pii"])
     assert before.keys() == after.keys()
