@@ -102,6 +102,27 @@ SEED = 42
 TEST_FRACTION = 0.20
 CV_FOLDS = 5
 
+# Columns of the dimensions (and the keys they are joined on) and of the sales fact, as published.
+DIM_COLUMNS = {
+    "dim_produto": ("product_id", "product_name", "category", "sub_category"),
+    "dim_cliente": ("customer_name", "segment"),
+    "dim_localizacao": ("country", "state", "region", "market"),
+    "dim_modo_envio": ("ship_mode", "order_priority"),
+}
+
+DIM_KEYS = {
+    "dim_produto": ("product_id",),
+    "dim_cliente": ("customer_name",),
+    "dim_localizacao": ("country", "state"),
+    "dim_modo_envio": ("ship_mode",),
+}
+
+FACT_COLUMNS = (
+    "order_id", "order_date", "ship_date", "customer_name", "product_id", "country",
+    "state", "ship_mode", "sales", "quantity", "discount", "profit", "shipping_cost",
+    "margem_lucro", "_updated_at",
+)
+
 # Export columns of the scored ranking (script).
 RANKING_EXPORT_COLUMNS = (
     "ranking", "customer_name", "propensity_score", "faixa_propensao", "percentil_score",
@@ -162,6 +183,8 @@ class ModelSpec:
     test_fraction: float = TEST_FRACTION
     folds: int = CV_FOLDS
     balance_classes: bool = True
+    #: ``binned``: trees over quantile bins, all folds grown together; ``mllib``: GBTClassifier
+    learner: str = "binned"
 
 
 @dataclass(frozen=True)

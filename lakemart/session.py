@@ -72,6 +72,20 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def new_folder(spark: SparkSession, kind: str) -> str:
+    """Path of a new folder in the shared folder; it goes when the driver ends."""
+    path = f"{ensure_checkpoint_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+    jvm_path, fs = hadoop_path(spark, path)
+    fs.deleteOnExit(jvm_path)
+    return path
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """``path`` and its file system, as the JVM's objects."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path, jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def store(df: DataFrame) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
@@ -80,8 +94,21 @@ def store(df: DataFrame) -> DataFrame:
     executors that wrote them. They go when the driver ends.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/stored-{uuid.uuid4().hex}"
+    path = new_folder(spark, "stored")
     df.write.parquet(path)
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def store_for_rounds(df: DataFrame, partition_mb: int = 64) -> DataFrame:
+    """``store`` for a frame that an iterative job reads hundreds of times.
+
+    A scan of many small files makes a task of each, and an iterative job pays
+    for every task in every round. Here the number of partitions follows the
+    bytes written: one for each ``partition_mb``, one at least.
+    """
+    spark = df.sparkSession
+    path = new_folder(spark, "stored")
+    df.write.parquet(path)
+    jvm_path, fs = hadoop_path(spark, path)
+    size = fs.getContentSummary(jvm_path).getLength()
+    return spark.read.schema(df.schema).parquet(path).coalesce(max(1, -(-size // (partition_mb << 20))))
