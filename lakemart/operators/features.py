@@ -10,11 +10,12 @@ from the running count of each value. A row of running totals then stands for
 every cutoff up to the customer's next bucket. The number of cutoffs thus only
 affects the size of the result.
 
-All aggregates combine partially before the shuffle, and the windows see one
-row per customer, bucket and distinct value, so a customer holding a third of
-the lines does not put a third of the lines into one task. Sums and means are
-exact (``exact_sum``), so the rounded features do not depend on how the
-partitions were combined.
+All aggregates combine partially before the shuffle. The windows by customer
+see one row per bucket, and one per bucket and segment or market; order and
+product ids only meet hash aggregates, spread by customer and id. So a customer
+holding a third of the lines does not put a third of anything into one task.
+Sums and means are exact (``exact_sum``), so the rounded features do not depend
+on how the partitions were combined.
 
 ``customer_features_current`` uses the latest order date in the data as the
 reference date: a one-row aggregate, broadcast onto the per-customer rows.
@@ -185,11 +186,39 @@ def with_bucket(sales: DataFrame, cutoffs: DataFrame) -> DataFrame:
     )
 
 
-def _values(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``customer_name, _column, _value, _bucket, _n``: lines of each non-NULL value of each column."""
+def _pairs(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``customer_name, _bucket, _column, _value``: one row per line and non-NULL value of each column."""
     pairs = [F.struct(F.lit(c).alias("_column"), F.col(c).cast("string").alias("_value")) for c in columns]
     long = lines.select("customer_name", "_bucket", F.explode(F.array(*pairs)).alias("_pair")).select("customer_name", "_bucket", "_pair.*")
-    return long.filter(F.col("_value").isNotNull()).groupBy("customer_name", "_column", "_value", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    return long.filter(F.col("_value").isNotNull())
+
+
+def _new_values(lines: DataFrame, distinct: dict[str, str]) -> DataFrame:
+    """``customer_name, _bucket`` and, for each feature, how many values of its column the customer first has there.
+
+    The first bucket of a value is a minimum of numbers: a hash aggregate that
+    combines before the shuffle, over which no window has to sort.
+    """
+    columns = list(dict.fromkeys(distinct.values()))
+    first = _pairs(lines, columns).groupBy("customer_name", "_column", "_value").agg(F.min("_bucket").alias("_bucket"))
+    return first.groupBy("customer_name", "_bucket").agg(*(F.count_if(F.col("_column") == c).alias(f) for f, c in distinct.items()))
+
+
+def _leaders(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``customer_name, _bucket`` and the most frequent value so far of each column (ties: the smallest).
+
+    Lines are counted by customer, value and bucket first, so the windows see one
+    row for each: a customer has as many as it has buckets and segments or
+    markets, however many its lines.
+    """
+    counts = _pairs(lines, columns).groupBy("customer_name", "_column", "_value", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    of_value = Window.partitionBy("customer_name", "_column", "_value").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
+    seen = counts.withColumn("_seen", F.sum("_n").over(of_value))
+    # running counts only grow, so the best row up to a bucket names the leader
+    so_far = Window.partitionBy("customer_name").orderBy("_bucket").rangeBetween(Window.unboundedPreceding, 0)
+    best = [F.min(F.when(F.col("_column") == c, F.struct((-F.col("_seen")).alias("n"), F.col("_value").alias("v")))).over(so_far).alias(c) for c in columns]
+    ranked = seen.select("customer_name", "_bucket", *best)
+    return ranked.groupBy("customer_name", "_bucket").agg(*(F.min(f"{c}.v").alias(c) for c in columns))
 
 
 def bucket_totals(sales: DataFrame, cutoffs: DataFrame, spec: FeatureSpec = SCRIPT_FEATURES) -> DataFrame:
@@ -207,17 +236,9 @@ def bucket_totals(sales: DataFrame, cutoffs: DataFrame, spec: FeatureSpec = SCRI
         F.count("discount").alias("_n_discount"),
         F.count("margem_lucro").alias("_n_margin"),
     )
-    values = _values(lines, list(dict.fromkeys([*distinct.values(), *modes])))
-    of_value = Window.partitionBy("customer_name", "_column", "_value").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    seen = values.select(*keys, "_column", "_value", F.sum("_n").over(of_value).alias("_seen"), F.row_number().over(of_value).alias("_nth"))
-    new = seen.groupBy(*keys).agg(*(F.count_if((F.col("_column") == c) & (F.col("_nth") == 1)).alias(f) for f, c in distinct.items()))
-    out = sums.join(new, keys, "left")
-    # the most frequent value so far: running counts only grow, so the best row up to a bucket names it
-    so_far = Window.partitionBy("customer_name").orderBy("_bucket").rangeBetween(Window.unboundedPreceding, 0)
-    best = [F.min(F.when(F.col("_column") == c, F.struct((-F.col("_seen")).alias("n"), F.col("_value").alias("v")))).over(so_far).alias(c) for c in modes]
+    out = sums.join(_new_values(lines, distinct), keys, "left")
     if modes:
-        leaders = seen.select(*keys, *best).groupBy(*keys).agg(*(F.min(f"{c}.v").alias(c) for c in modes))
-        out = out.join(leaders, keys, "left")
+        out = out.join(_leaders(lines, modes), keys, "left")
     running = Window.partitionBy("customer_name").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     order = Window.partitionBy("customer_name").orderBy("_bucket")
     return out.select(
