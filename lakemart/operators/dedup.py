@@ -4,16 +4,22 @@
 is the smallest one in a fixed column order (ascending, NULLs first), so runs
 and engines agree.
 
-Plan: one aggregate ``min(struct(other columns))`` grouped by the key. The
-aggregate is combined map-side before the shuffle, so a key that holds a third
-of all rows (for example a NULL key) reaches the reducer as one row per map
-task instead of as one huge group to sort, which a ``row_number`` window would
-need.
+Plan: the rows of each key are counted by a hash aggregate that reads the key
+columns alone. Most keys have one row, and those rows pass through as they
+are: they are neither shuffled nor sorted when the list of repeated keys turns
+out small enough to be broadcast, which is measured at run time. Only rows of
+repeated keys go into ``min(struct(other columns))``. That aggregate combines
+before its shuffle, so a key that holds a third of all rows (for example a NULL
+key) reaches the reducer as one row per map task.
+
+The rows are read three times (keys, single rows, repeated rows), so ``df``
+should be a table or a stored frame rather than a costly plan.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +40,11 @@ def dedup_by_key(
     rest = [c for c in df.columns if c not in keys]
     order = list(order) if order is not None else rest
     carried = [c for c in rest if c not in order]
+    marks = {c: f"_repeated_{i}" for i, c in enumerate(keys)}
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > 1)
+    repeated = counts.select(*[F.col(c).alias(m) for c, m in marks.items()])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(m)) for c, m in marks.items()])
     packed = F.struct(*[F.col(c) for c in order + carried])
-    best = df.groupBy(*keys).agg(F.min(packed).alias("_row"))
-    return best.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+    best = df.join(repeated, same, "left_semi").groupBy(*keys).agg(F.min(packed).alias("_row"))
+    best = best.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+    return df.join(repeated, same, "left_anti").unionAll(best)

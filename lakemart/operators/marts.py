@@ -20,38 +20,67 @@ its measured runtime size is under ``spark.sql.autoBroadcastJoinThreshold``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import scaled_sum, units_to_double
 
 
+#: What each mart reads of the fact, and the fact's columns that its lines are first added up by.
+MART_READS = {
+    "vendas_por_categoria": ("product_id", "sales", "profit", "quantity", "margem_lucro"),
+    "desempenho_regional": ("country", "state", "order_id", "sales", "profit", "shipping_cost"),
+    "metrica_clientes": ("customer_name", "order_id", "sales", "profit"),
+}
+MART_GROUPS = {
+    "vendas_por_categoria": ("product_id",),
+    "desempenho_regional": ("country", "state", "order_id"),
+    "metrica_clientes": ("customer_name", "order_id"),
+}
+
+
+def totals(columns: Iterable[str]) -> list[Column]:
+    """Exact sums of the fact's measures, those among ``columns``."""
+    made = {
+        "sales": (F.sum("sales").alias("s_sales"),),
+        "profit": (scaled_sum(F.col("profit"), 2).alias("s_profit"),),
+        "shipping_cost": (scaled_sum(F.col("shipping_cost"), 2).alias("s_shipping"),),
+        "quantity": (F.sum("quantity").alias("s_quantity"),),
+        "margem_lucro": (scaled_sum(F.col("margem_lucro"), 4).alias("s_margin"), F.count("margem_lucro").alias("n_margin")),
+    }
+    return [c for name in columns for c in made.get(name, ())]
+
+
+def pre_aggregated(ft: DataFrame, mart: str) -> DataFrame:
+    """The fact's lines added up as far as the mart's join allows."""
+    return ft.groupBy(*MART_GROUPS[mart]).agg(*totals(MART_READS[mart]))
+
+
 def vendas_por_categoria(ft: DataFrame, dim_prod: DataFrame) -> DataFrame:
-    per_product = ft.groupBy("product_id").agg(
-        F.sum("sales").alias("s_sales"),
-        scaled_sum(F.col("profit"), 2).alias("s_profit"),
-        F.sum("quantity").alias("s_quantity"),
-        scaled_sum(F.col("margem_lucro"), 4).alias("s_margin"),
-        F.count("margem_lucro").alias("n_margin"),
-    )
-    joined = per_product.join(dim_prod, "product_id", "inner")
-    out = joined.groupBy("category", "sub_category").agg(
+    return category_kpis(pre_aggregated(ft, "vendas_por_categoria"), dim_prod)
+
+
+def desempenho_regional(ft: DataFrame, dim_loc: DataFrame) -> DataFrame:
+    return regional_kpis(pre_aggregated(ft, "desempenho_regional"), dim_loc)
+
+
+def metrica_clientes(ft: DataFrame, dim_cli: DataFrame) -> DataFrame:
+    return segment_kpis(pre_aggregated(ft, "metrica_clientes"), dim_cli)
+
+
+def category_kpis(per_product: DataFrame, dim_prod: DataFrame) -> DataFrame:
+    return per_product.join(dim_prod, "product_id", "inner").groupBy("category", "sub_category").agg(
         F.sum("s_sales").alias("faturamento_total"),
         units_to_double(F.sum("s_profit"), 2).alias("lucro_total"),
         F.sum("s_quantity").alias("qtd_itens_vendidos"),
         F.round(F.try_divide(units_to_double(F.sum("s_margin"), 4), F.sum("n_margin")), 4).alias("margem_media"),
     )
-    return out
 
 
-def desempenho_regional(ft: DataFrame, dim_loc: DataFrame) -> DataFrame:
-    per_order = ft.groupBy("country", "state", "order_id").agg(
-        F.sum("sales").alias("s_sales"),
-        scaled_sum(F.col("profit"), 2).alias("s_profit"),
-        scaled_sum(F.col("shipping_cost"), 2).alias("s_shipping"),
-    )
-    joined = per_order.join(dim_loc, ["country", "state"], "inner")
-    return joined.groupBy("market", "region", "country").agg(
+def regional_kpis(per_order: DataFrame, dim_loc: DataFrame) -> DataFrame:
+    return per_order.join(dim_loc, ["country", "state"], "inner").groupBy("market", "region", "country").agg(
         F.sum("s_sales").alias("faturamento_total"),
         units_to_double(F.sum("s_profit"), 2).alias("lucro_total"),
         units_to_double(F.sum("s_shipping"), 2).alias("custo_frete_total"),
@@ -59,13 +88,8 @@ def desempenho_regional(ft: DataFrame, dim_loc: DataFrame) -> DataFrame:
     )
 
 
-def metrica_clientes(ft: DataFrame, dim_cli: DataFrame) -> DataFrame:
-    per_order = ft.groupBy("customer_name", "order_id").agg(
-        F.sum("sales").alias("s_sales"),
-        scaled_sum(F.col("profit"), 2).alias("s_profit"),
-    )
-    joined = per_order.join(dim_cli, "customer_name", "inner")
-    return joined.groupBy("segment").agg(
+def segment_kpis(per_order: DataFrame, dim_cli: DataFrame) -> DataFrame:
+    return per_order.join(dim_cli, "customer_name", "inner").groupBy("segment").agg(
         F.count_distinct("customer_name").alias("total_clientes"),
         F.sum("s_sales").alias("faturamento_total"),
         units_to_double(F.sum("s_profit"), 2).alias("lucro_total"),
@@ -75,6 +99,8 @@ def metrica_clientes(ft: DataFrame, dim_cli: DataFrame) -> DataFrame:
     )
 
 
+KPIS = {"vendas_por_categoria": category_kpis, "desempenho_regional": regional_kpis, "metrica_clientes": segment_kpis}
+
 MART_KEYS = {
     "vendas_por_categoria": ("category", "sub_category"),
     "desempenho_regional": ("market", "region", "country"),

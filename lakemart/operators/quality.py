@@ -13,11 +13,12 @@ dataset through ``DataFrame.observe``.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import QUALITY_RULES
@@ -41,6 +42,12 @@ class Expectation:
         return F.coalesce(F.expr(self.predicate), F.lit(False))
 
 
+    def columns(self, available: Iterable[str]) -> set[str]:
+        """Which of the available columns the predicate reads."""
+        words = set(re.findall(r"\w+", self.predicate))
+        return {c for c in available if c in words}
+
+
 def rules_for(dataset: str) -> tuple[Expectation, ...]:
     return tuple(Expectation(n, p, a) for d, n, p, a in QUALITY_RULES if d == dataset)
 
@@ -91,6 +98,16 @@ def conformity(df: DataFrame, rules: Sequence[Expectation], dataset: str) -> Dat
         F.count(F.lit(1)).alias("input_rows"),
         F.count_if(kept_condition(rules)).alias("kept_rows"),
     )
+    return _rates(agg, dataset)
+
+
+def conformity_row(spark: SparkSession, dataset: str, values: dict) -> DataFrame:
+    """``conformity`` from counters that ``observe_rules`` took."""
+    counted = [(int(values.get("total_rows", 0)), int(values.get("kept_rows", 0)))]
+    return _rates(spark.createDataFrame(counted, "input_rows long, kept_rows long"), dataset)
+
+
+def _rates(agg: DataFrame, dataset: str) -> DataFrame:
     return agg.select(
         F.lit(dataset).alias("dataset"),
         "input_rows",
@@ -109,7 +126,7 @@ def observe_rules(df: DataFrame, rules: Sequence[Expectation], dataset: str) ->
     Read ``observation.get`` after the action that consumes the returned frame.
     """
     obs = Observation(f"quality_{dataset}")
-    exprs = [F.count(F.lit(1)).alias("total_rows")]
+    exprs = [F.count(F.lit(1)).alias("total_rows"), F.count_if(kept_condition(rules)).alias("kept_rows")]
     exprs += [F.count_if(r.passes()).alias(r.name) for r in rules]
     return df.observe(obs, *exprs), obs
 

@@ -9,34 +9,15 @@ it. ``dim_key_report`` makes that visible.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import SALES_ATTRIBUTES, SALES_KEY
+from ..config import DIM_COLUMNS, DIM_KEYS, FACT_COLUMNS, SALES_ATTRIBUTES, SALES_KEY
 from ..functions.cleaning import SALES_CLEANING, clean_columns
 from .dedup import dedup_by_key
 
-DIM_COLUMNS = {
-    "dim_produto": ("product_id", "product_name", "category", "sub_category"),
-    "dim_cliente": ("customer_name", "segment"),
-    "dim_localizacao": ("country", "state", "region", "market"),
-    "dim_modo_envio": ("ship_mode", "order_priority"),
-}
-
-DIM_KEYS = {
-    "dim_produto": ("product_id",),
-    "dim_cliente": ("customer_name",),
-    "dim_localizacao": ("country", "state"),
-    "dim_modo_envio": ("ship_mode",),
-}
-
-FACT_COLUMNS = (
-    "order_id", "order_date", "ship_date", "customer_name", "product_id", "country",
-    "state", "ship_mode", "sales", "quantity", "discount", "profit", "shipping_cost",
-    "margem_lucro", "_updated_at",
-)
-
-
 def sales_cleaned(bronze: DataFrame, specs=SALES_CLEANING) -> DataFrame:
     """De-duplicate on ``(order_id, product_id)``, type the numbers, stamp the time.
 
@@ -69,8 +50,8 @@ def dim_modo_envio(cleaned: DataFrame) -> DataFrame:
     return dimension(cleaned, "dim_modo_envio")
 
 
-def ft_vendas(cleaned: DataFrame) -> DataFrame:
-    return cleaned.select(*FACT_COLUMNS)
+def ft_vendas(cleaned: DataFrame, columns: Sequence[str] = FACT_COLUMNS) -> DataFrame:
+    return cleaned.select(*columns)
 
 
 def dim_key_report(dim: DataFrame, name: str) -> DataFrame:

@@ -8,23 +8,30 @@ rule counters through ``DataFrame.observe`` (no extra pass).
 Re-use across writes: five datasets read the cleaned view. ``run`` stores it
 once as Parquet in the shared folder, so the de-duplication shuffle runs once,
 and the gold marts read the silver tables that were just written rather than
-recomputing them.
+recomputing them. ``Datasets`` stores of the view what the wanted datasets read.
+
+The quality report reads the cleaned lines once: each line is counted against the
+fact's rules on its way, and stands for its tuple in each dimension and its
+group in each mart, all of which one grouping adds up (``grouped_lines``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from ..config import Layers
+from ..config import DIM_COLUMNS, FACT_COLUMNS, Layers
 from ..operators import marts, star
 from ..operators.quality import (
     Expectation,
     apply_expectations,
     conformity,
+    conformity_row,
+    kept_condition,
     observation_rows,
     observe_rules,
     rule_counts,
@@ -74,34 +81,75 @@ REPORT_SCHEMA = "dataset string, rule string, action string, predicate string, t
 BY_NAME = {d.name: d for d in DATASETS}
 
 
+def fact_columns(marts_wanted: Iterable[str]) -> set[str]:
+    """Columns of the fact that its rules and the given marts read."""
+    read = {c for m in marts_wanted for c in marts.MART_READS[m]}
+    return read.union(*(r.columns(FACT_COLUMNS) for r in rules_for("ft_vendas") if r.action == "drop"))
+
+
+def view_columns(wanted: Iterable[str]) -> set[str] | None:
+    """Columns of the cleaned view from which the wanted datasets can be built; None for all."""
+    wanted = set(wanted)
+    if "sales_cleaned_view" in wanted:
+        return None
+    out: set[str] = set()
+    for name in wanted:
+        if name in marts.MART_READS:
+            out |= fact_columns([name])
+            out.update(*(DIM_COLUMNS[i] for i in BY_NAME[name].inputs if i in DIM_COLUMNS))
+        elif name == "ft_vendas":
+            out |= set(FACT_COLUMNS)
+        else:
+            out |= set(DIM_COLUMNS.get(name, ()))
+    return out
+
+
 class Datasets:
     """Lazily built datasets of one refresh; each is built once, on first use.
 
     ``pre(name)`` is a dataset before its own drop rules (its inputs are
     already filtered); ``[name]`` is the dataset as published. With
-    ``store_view`` the cleaned view, which five datasets read, is stored once,
-    so the de-duplication shuffle runs once instead of once per reader; the
-    same pass counts the raw lines against their rules.
+    ``store_view`` the raw lines are stored once (the de-duplication reads them
+    three times), counted against their rules in that pass, and so are the
+    columns of the cleaned view that the ``wanted`` datasets read.
     """
 
-    def __init__(self, bronze: DataFrame, store_view: bool = False):
+    def __init__(self, bronze: DataFrame, store_view: bool = False, wanted: Iterable[str] | None = None):
         self._bronze = bronze
         self._store = store_view
+        self._wanted = None if wanted is None else set(wanted)
         self.observed: dict[str, Observation] = {}
         self._pre: dict[str, DataFrame] = {}
         self._post: dict[str, DataFrame] = {}
 
+    def _view(self, d: DatasetDef) -> DataFrame:
+        if not self._store:
+            return d.build(self._bronze)
+        view = d.build(self.stored_bronze())
+        columns = None if self._wanted is None else view_columns(self._wanted)
+        if columns is not None:
+            view = view.select(*[c for c in view.columns if c in columns])
+        return store(view)
+
+    def stored_bronze(self) -> DataFrame:
+        if "stored" not in self._pre:
+            raw, self.observed["sales_raw"] = observe_rules(self._bronze, rules_for("sales_raw"), "sales_raw")
+            self._pre["stored"] = store(raw)
+        return self._pre["stored"]
+
+    def _build(self, d: DatasetDef) -> DataFrame:
+        if d.build is None:
+            return self._bronze
+        if d.layer == "view":
+            return self._view(d)
+        inputs = [self[i] for i in d.inputs]
+        if d.name == "ft_vendas":
+            return star.ft_vendas(*inputs, [c for c in FACT_COLUMNS if c in inputs[0].columns])
+        return d.build(*inputs)
+
     def pre(self, name: str) -> DataFrame:
         if name not in self._pre:
-            d = BY_NAME[name]
-            if d.build is None:
-                frame = self._bronze
-            else:
-                frame = d.build(*[self[i] for i in d.inputs])
-                if d.layer == "view" and self._store:
-                    raw, self.observed["sales_raw"] = observe_rules(self._bronze, rules_for("sales_raw"), "sales_raw")
-                    frame = store(d.build(raw))
-            self._pre[name] = frame
+            self._pre[name] = self._build(BY_NAME[name])
         return self._pre[name]
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -119,40 +167,81 @@ class Datasets:
         return ((n, self[n]) for n in BY_NAME)
 
 
-def build_unfiltered(bronze: DataFrame, store_view: bool = False) -> dict[str, DataFrame]:
-    """Every dataset before its own drop rules (inputs are already filtered)."""
-    ds = Datasets(bronze, store_view)
-    return {d.name: ds.pre(d.name) for d in DATASETS}
+def build(bronze: DataFrame, store_view: bool = False, wanted: Iterable[str] | None = None) -> Datasets:
+    """Every dataset as published (after its drop rules), built on first access."""
+    return Datasets(bronze, store_view, wanted)
 
 
-def build(bronze: DataFrame, store_view: bool = False) -> Datasets:
-    """Every dataset as published (after its drop rules), built on first access."""
-    return Datasets(bronze, store_view)
+DIMS = tuple(DIM_COLUMNS)
+_WIDTH = max(len(c) for c in (*DIM_COLUMNS.values(), *marts.MART_GROUPS.values()))
 
 
-def quality_report(bronze: DataFrame, store_view: bool = False) -> DataFrame:
-    """All rules of all datasets: ``dataset, rule, action, predicate, total_rows, passed, failed``."""
+def grouped_lines(cleaned: DataFrame, names: Iterable[str]) -> DataFrame:
+    """Tuples of the named dimensions and pre-aggregated groups of the named marts, from one pass over the lines.
+
+    ``dataset, k0 ... k3`` and the sums of the fact's measures. A line stands in one
+    group of each dataset, and in a mart's only if the fact keeps it; the
+    grouping combines before its shuffle. ``dimension_of`` and ``groups_of`` pick a
+    dataset's rows.
+    """
+    kept = kept_condition(rules_for("ft_vendas"))
+    tags = []
+    for name in names:
+        columns = DIM_COLUMNS.get(name) or marts.MART_GROUPS[name]
+        keys = [F.col(columns[i]) if i < len(columns) else F.lit(None).cast("string") for i in range(_WIDTH)]
+        tag = F.struct(F.lit(name).alias("dataset"), *(k.alias(f"k{i}") for i, k in enumerate(keys)))
+        tags.append(tag if name in DIM_COLUMNS else F.when(kept, tag))
+    measures = sorted({c for n in names for c in marts.MART_READS.get(n, ())} - set().union(*marts.MART_GROUPS.values()))
+    tagged = cleaned.select(F.explode(F.array(*tags)).alias("_tag"), *measures).filter(F.col("_tag").isNotNull())
+    rows = tagged.select("_tag.*", *measures)
+    return rows.groupBy("dataset", *(f"k{i}" for i in range(_WIDTH))).agg(F.count(F.lit(1)).alias("n_lines"), *marts.totals(measures))
+
+
+def dimension_of(grouped: DataFrame, name: str) -> DataFrame:
+    rows = grouped.filter(F.col("dataset") == name)
+    return rows.select(*(F.col(f"k{i}").alias(c) for i, c in enumerate(DIM_COLUMNS[name])))
+
+
+def groups_of(grouped: DataFrame, name: str) -> DataFrame:
+    rows = grouped.filter(F.col("dataset") == name)
+    keys = (F.col(f"k{i}").alias(c) for i, c in enumerate(marts.MART_GROUPS[name]))
+    return rows.select(*keys, *(c for c in grouped.columns if c.startswith(("s_", "n_"))))
+
+
+def _read_once(bronze: DataFrame, names: Iterable[str], store_view: bool) -> tuple[DataFrame, dict[str, Observation]]:
+    """Stored groups of the named datasets, and the counters of the raw lines and the fact that the same passes took."""
     ds = Datasets(bronze, store_view)
-    ds.pre("sales_cleaned_view")  # with store_view this pass also counts the raw lines
-    parts = []
+    raw = ds.stored_bronze() if store_view else bronze
+    fact, seen = observe_rules(star.sales_cleaned(raw), rules_for("ft_vendas"), "ft_vendas")
+    grouped = store(grouped_lines(fact, names))
+    return grouped, ds.observed | {"ft_vendas": seen}
+
+
+def quality_report(bronze: DataFrame, store_view: bool = False) -> DataFrame:
+    """All rules of all datasets: ``dataset, rule, action, predicate, total_rows, passed, failed``.
+
+    ``store_view``: the raw lines are a plan rather than a table, so they are
+    stored first, and their rules are counted in that pass.
+    """
+    grouped, observed = _read_once(bronze, [*DIMS, *marts.KPIS], store_view)
+    frames = {"sales_raw": bronze} | {n: dimension_of(grouped, n) for n in DIMS}
+    for name, kpis in marts.KPIS.items():
+        (dim,) = (i for i in BY_NAME[name].inputs if i in DIM_COLUMNS)
+        frames[name] = kpis(groups_of(grouped, name), apply_expectations(frames[dim], rules_for(dim)))
+    rows, parts = [], []
     for d in DATASETS:
-        if d.name in ds.observed:
-            rows = observation_rows(d.name, d.rules, ds.observed[d.name].get)
-            parts.append(bronze.sparkSession.createDataFrame(rows, REPORT_SCHEMA))
+        if d.name in observed:
+            rows += observation_rows(d.name, d.rules, observed[d.name].get)
         elif d.rules:
-            parts.append(rule_counts(ds.pre(d.name), d.rules, d.name))
-    return reduce(DataFrame.unionByName, parts)
+            parts.append(rule_counts(frames[d.name], d.rules, d.name))
+    return reduce(DataFrame.unionByName, [bronze.sparkSession.createDataFrame(rows, REPORT_SCHEMA), *parts])
 
 
 def conformity_report(bronze: DataFrame, store_view: bool = False) -> DataFrame:
     """Kept and dropped rows of every dataset that has a drop rule."""
-    pre = build_unfiltered(bronze, store_view)
-    parts = [
-        conformity(pre[d.name], d.rules, d.name)
-        for d in DATASETS
-        if any(r.action == "drop" for r in d.rules)
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    grouped, observed = _read_once(bronze, DIMS, store_view)
+    fact = conformity_row(bronze.sparkSession, "ft_vendas", observed["ft_vendas"].get)
+    return reduce(DataFrame.unionByName, [conformity(dimension_of(grouped, n), rules_for(n), n) for n in DIMS], fact)
 
 
 def table_name(layers: Layers, d: DatasetDef) -> str:
