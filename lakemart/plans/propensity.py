@@ -17,7 +17,7 @@ from ..config import RANKING_EXPORT_COLUMNS, SCRIPT_BANDS, SCRIPT_FEATURES, Band
 from ..operators import labels, metrics, model, scoring
 from ..operators.features import customer_features_current
 from ..session import store
-from ..sinks import export_csv, write_table
+from ..sinks import export_csv, export_csv_file, write_table
 
 # What features and labels read of the sales lines.
 SALES_INPUTS = (
@@ -100,9 +100,19 @@ def run_propensity(
     )
 
 
-def publish(result: PropensityResult, table: str | None = None, csv_path: str | None = None, table_format: str = "parquet") -> None:
-    """Write the ranked customers to a table and/or a CSV export ordered by rank."""
+def publish(
+    result: PropensityResult,
+    table: str | None = None,
+    csv_path: str | None = None,
+    table_format: str = "parquet",
+    single_file: bool = False,
+) -> None:
+    """Write the ranked customers to a table and/or a CSV export ordered by rank.
+
+    ``single_file``: ``csv_path`` is one file under one header, as the script's
+    export is, instead of a folder of parts.
+    """
     if table:
         write_table(result.ranked, table, "Purchase propensity of every customer, ranked", table_format)
     if csv_path:
-        export_csv(result.ranking, csv_path, order_by=["ranking"])
+        (export_csv_file if single_file else export_csv)(result.ranking, csv_path, order_by=["ranking"])

@@ -8,6 +8,7 @@ out of the query results; the library functions keep them.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -23,6 +24,7 @@ from ..config import (
     SCRIPT_BANDS,
     SCRIPT_FEATURES,
     BandSpec,
+    Layers,
     ModelSpec,
 )
 from ..functions.cleaning import clean_columns
@@ -32,10 +34,12 @@ from ..operators.dedup import dedup_by_key
 from ..operators.enrich import enrich_sales
 from ..operators.ranking import global_row_number
 from ..sources import tpch_sales
-from ..sources.raw_sales import tolerant_sales
-from ..session import store
+from ..schemas import RANKING_SCHEMA, SALES_RAW_SCHEMA
+from ..session import new_folder, store
+from ..sinks import export_csv, export_csv_file, write_table
+from ..sources.raw_sales import bronze_sales, sales_from_silver, tolerant_sales
 from . import medallion
-from .propensity import SALES_INPUTS, fit_on_training, run_propensity
+from .propensity import SALES_INPUTS, evaluate, fit_on_training, run_propensity
 
 # Test cutoffs inside the tables' 1995-2001 order dates.
 TEST_CUTOFFS = ("1996-06-30", "1996-12-31", "1997-06-30", "1997-12-31")
@@ -62,13 +66,13 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def datasets(spark: SparkSession, sf_dir: str) -> medallion.Datasets:
-    """The refresh's datasets, all lazy: a query of one dataset reads only what that needs."""
-    return medallion.build(bronze(spark, sf_dir))
+    """The refresh's datasets over stored raw lines, for a query of one dataset of the cleaned view."""
+    return medallion.build(store(bronze(spark, sf_dir)))
 
 
-def shared_datasets(spark: SparkSession, sf_dir: str) -> medallion.Datasets:
-    """The same for queries of several datasets: the cleaned view is stored once."""
-    return medallion.build(bronze(spark, sf_dir), store_view=True)
+def shared_datasets(spark: SparkSession, sf_dir: str, *wanted: str) -> medallion.Datasets:
+    """The same for queries that need several datasets: what they read of the cleaned view is stored once."""
+    return medallion.build(bronze(spark, sf_dir), store_view=True, wanted=wanted)
 
 
 def script_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,7 +87,7 @@ def feature_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def notebook_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The notebook's input: the silver fact left-joined with three dimensions."""
-    d = shared_datasets(spark, sf_dir)
+    d = shared_datasets(spark, sf_dir, "ft_vendas", "dim_cliente", "dim_localizacao", "dim_produto")
     return enrich_sales(d["ft_vendas"], d["dim_cliente"], d["dim_localizacao"], d["dim_produto"])
 
 
@@ -127,7 +131,7 @@ def q_bronze_ingest(spark, sf_dir):
 
 
 def q_dedup_sales(spark, sf_dir):
-    b = _no_audit(bronze(spark, sf_dir))
+    b = store(_no_audit(bronze(spark, sf_dir)))
     return dedup_by_key(b, ["order_id", "product_id"], [c for c in b.columns if c not in ("order_id", "product_id")])
 
 
@@ -156,15 +160,15 @@ def _dataset_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def q_vendas_por_categoria(spark, sf_dir):
-    return marts.by_revenue(shared_datasets(spark, sf_dir)["vendas_por_categoria"], "category", "sub_category")
+    return marts.by_revenue(shared_datasets(spark, sf_dir, "vendas_por_categoria")["vendas_por_categoria"], "category", "sub_category")
 
 
 def q_desempenho_regional(spark, sf_dir):
-    return marts.by_revenue(shared_datasets(spark, sf_dir)["desempenho_regional"], "market", "region", "country")
+    return marts.by_revenue(shared_datasets(spark, sf_dir, "desempenho_regional")["desempenho_regional"], "market", "region", "country")
 
 
 def q_metrica_clientes(spark, sf_dir):
-    return marts.by_revenue(shared_datasets(spark, sf_dir)["metrica_clientes"], "segment")
+    return marts.by_revenue(shared_datasets(spark, sf_dir, "metrica_clientes")["metrica_clientes"], "segment")
 
 
 def q_quality_report(spark, sf_dir):
@@ -176,7 +180,7 @@ def q_conformity_rate(spark, sf_dir):
 
 
 def q_dim_key_uniqueness(spark, sf_dir):
-    d = shared_datasets(spark, sf_dir)
+    d = shared_datasets(spark, sf_dir, *star.DIM_COLUMNS)
     parts = [star.dim_key_report(d[n], n) for n in star.DIM_COLUMNS]
     return reduce(DataFrame.unionByName, parts)
 
@@ -329,6 +333,132 @@ def q_notebook_ranking(spark, sf_dir):
     return _run_checks(result, NOTEBOOK_BANDS)
 
 
+def q_holdout_evaluation(spark, sf_dir):
+    """Hold-out report and cross-validation of the script's run, with the default model (150 trees, 5 folds).
+
+    Which rows are held out does not depend on the fit, so their numbers by class
+    are exact; figures of the fit come as checks of their range and of each other.
+    """
+    trained = fit_on_training(store(training(spark, sf_dir)), ModelSpec(), cv=True)
+    evaluated = evaluate(trained.test_predictions, ModelSpec().label)
+    auc = evaluated["roc_auc"].first()["roc_auc"]
+    brier = evaluated["brier_score"].first()["brier_score"]
+    cells = evaluated["confusion_matrix"]
+    by_class = cells.groupBy("label").agg(F.sum("n").alias("in_matrix"))
+    report = evaluated["classification_report"].filter(F.col("classe").isin("0", "1"))
+    ratios = [F.col(c).between(0, 1) for c in ("precision", "recall", "f1_score")]
+    return report.join(by_class, F.col("classe") == F.col("label").cast("string")).select(
+        "classe",
+        "support",
+        F.col("in_matrix").cast("long").alias("in_matrix"),
+        reduce(lambda a, b: a & b, ratios).alias("ratios_in_range"),
+        F.lit(0.0 <= auc <= 1.0).alias("auc_in_range"),
+        F.lit(0.0 <= brier <= 1.0).alias("brier_in_range"),
+        F.lit(0.0 < trained.cv_auc_mean < 1.0 and trained.cv_auc_std < 0.2).alias("folds_agree"),
+    )
+
+
+#: Files that the raw lines are spread over for the CSV queries.
+CSV_FILES = 16
+
+
+def csv_files(spark: SparkSession, sf_dir: str) -> str:
+    """The raw lines as CSV files with a header in the shared folder."""
+    folder = new_folder(spark, "csv")
+    export_csv(raw_lines(spark, sf_dir).select(*SALES_COLUMNS).repartition(CSV_FILES), folder)
+    return folder
+
+
+def q_csv_bronze(spark, sf_dir):
+    """Bronze from CSV files: every text as it was written, the files it came from, one ingestion time."""
+    scanned = store(bronze_sales(spark, csv_files(spark, sf_dir), SALES_RAW_SCHEMA))
+    audit = scanned.agg(
+        F.count_distinct("_source_file").alias("n_files"),
+        F.count_distinct("_ingestion_time").alias("n_times"),
+        F.min(F.col("_source_file").endswith(".csv")).alias("files_named"),
+    )
+    return scanned.select(*SALES_COLUMNS).crossJoin(F.broadcast(audit))  # one row
+
+
+def q_csv_fallback(spark, sf_dir):
+    """The notebook's input where the silver tables are missing: the CSV files, typed tolerantly."""
+    missing = f"none_{uuid.uuid4().hex}"
+    sales = sales_from_silver(spark, missing, csv_files(spark, sf_dir))
+    return sales.withColumn("order_date", F.date_format("order_date", "yyyy-MM-dd"))
+
+
+def refreshed(spark: SparkSession, sf_dir: str) -> tuple[Layers, DataFrame]:
+    """A full refresh into a catalog of its own, in the shared folder; its layers and rule counts."""
+    own = uuid.uuid4().hex[:12]
+    layers = Layers(*(f"lakemart_{own}_{layer}" for layer in ("bronze", "silver", "gold")))
+    for name in (layers.bronze, layers.silver, layers.gold):
+        spark.sql(f"CREATE DATABASE {name} LOCATION '{new_folder(spark, name)}'")
+    return layers, medallion.run(spark, bronze(spark, sf_dir), layers)
+
+
+def q_catalog_refresh(spark, sf_dir):
+    """Every table of a refresh as the catalog has it: columns in order, types, comment, rows."""
+    layers, _ = refreshed(spark, sf_dir)
+    rows, counts = [], []
+    for d in medallion.DATASETS:
+        if d.layer == "view":
+            continue
+        name = medallion.table_name(layers, d)
+        comment = spark.catalog.getTable(name).description
+        rows += [(d.name, i, c.name, c.dataType, comment) for i, c in enumerate(spark.catalog.listColumns(name))]
+        counts.append(spark.read.table(name).agg(F.lit(d.name).alias("dataset"), F.count(F.lit(1)).alias("n_rows")))
+    columns = spark.createDataFrame(rows, "dataset string, position int, column_name string, data_type string, comment string")
+    return columns.join(reduce(DataFrame.unionByName, counts), "dataset")
+
+
+def q_catalog_rules(spark, sf_dir):
+    """Rule counts that a refresh takes while it writes its tables."""
+    return refreshed(spark, sf_dir)[1]
+
+
+def q_silver_sales(spark, sf_dir):
+    """The notebook's input read back from the silver tables."""
+    layers, _ = refreshed(spark, sf_dir)
+    return _no_audit(sales_from_silver(spark, layers.silver))
+
+
+def q_table_replaced(spark, sf_dir):
+    """A table after an overwrite with another schema, made from the table itself, and a failed one."""
+    own = f"lakemart_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {own} LOCATION '{new_folder(spark, own)}'")
+    name = f"{own}.customers"
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_mktsegment")
+    write_table(customer, name, "first")
+    old = spark.read.table(name)
+    write_table(old.select(F.col("c_custkey").cast("string").alias("key"), "c_mktsegment", (F.col("c_custkey") % 7).alias("rest")), name, "it's second")
+    broken = spark.read.table(name).select(F.when(F.col("rest") == 3, F.raise_error(F.lit("stop"))).otherwise(F.lit(1)).alias("x"))
+    failed = False
+    try:
+        write_table(broken, name, "third")
+    except Exception:  # whatever stops the job: the old table must be there
+        failed = True
+    left = [t.name for t in spark.catalog.listTables(own) if not t.isTemporary]
+    comment = spark.catalog.getTable(name).description
+    return spark.read.table(name).withColumns({"comment": F.lit(comment), "failed": F.lit(failed), "tables": F.lit(len(left))})
+
+
+def q_features_without_optional(spark, sf_dir):
+    """Current features of lines that lack the optional columns: defaults stand in."""
+    sales = feature_sales(spark, sf_dir).drop("category", "sub_category", "product_id", "segment", "market")
+    return feat.customer_features_current(sales, NOTEBOOK_FEATURES)
+
+
+def q_ranking_file(spark, sf_dir):
+    """The ranking exported as one CSV file and read back; ``in_order``: its lines stand by rank."""
+    path = f"{new_folder(spark, 'export')}/ranking.csv"
+    export_csv_file(ranked(spark, sf_dir).select(*RANKING_EXPORT_COLUMNS), path, ["ranking"])
+    read = spark.read.schema(RANKING_SCHEMA).option("header", "true").option("enforceSchema", "false").csv(path)
+    # lines of one split are numbered one after another, so their ranks are a constant ahead
+    placed = read.withColumn("_ahead", F.col("ranking") - F.monotonically_increasing_id())
+    by_split = placed.groupBy(F.spark_partition_id()).agg((F.min("_ahead") == F.max("_ahead")).alias("same"))
+    return read.crossJoin(F.broadcast(by_split.agg(F.min("same").alias("in_order"))))  # one row
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_ingest": q_bronze_ingest,
     "dedup_sales": q_dedup_sales,
@@ -372,4 +502,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feature_importance": q_feature_importance,
     "propensity_pipeline": q_propensity_pipeline,
     "notebook_ranking": q_notebook_ranking,
+    "holdout_evaluation": q_holdout_evaluation,
+    "csv_bronze": q_csv_bronze,
+    "csv_fallback": q_csv_fallback,
+    "catalog_refresh": q_catalog_refresh,
+    "catalog_rules": q_catalog_rules,
+    "silver_sales": q_silver_sales,
+    "table_replaced": q_table_replaced,
+    "features_without_optional": q_features_without_optional,
+    "ranking_file": q_ranking_file,
 }

@@ -38,3 +38,19 @@ CUTOFF_SCHEMA = T.StructType([
     T.StructField("cutoff", T.DateType(), False),
     T.StructField("horizon_days", T.IntegerType(), False),
 ])
+
+# The exported ranking, in the order of ``RANKING_EXPORT_COLUMNS``.
+RANKING_SCHEMA = T.StructType([
+    T.StructField("ranking", T.LongType(), True),
+    T.StructField("customer_name", T.StringType(), True),
+    T.StructField("propensity_score", T.DoubleType(), True),
+    T.StructField("faixa_propensao", T.StringType(), True),
+    T.StructField("percentil_score", T.IntegerType(), True),
+    T.StructField("recencia_dias", T.LongType(), True),
+    T.StructField("frequencia_pedidos", T.LongType(), True),
+    T.StructField("valor_total_gasto", T.DoubleType(), True),
+    T.StructField("ticket_medio", T.DoubleType(), True),
+    T.StructField("data_ultima_compra", T.StringType(), True),
+    T.StructField("segment", T.StringType(), True),
+    T.StructField("market", T.StringType(), True),
+])

@@ -609,7 +609,71 @@ def build() -> dict[str, str]:
         "UNION ALL SELECT DISTINCT 'market_' || market FROM training)\n"
         "SELECT Feature, true AS not_negative, CAST(1.0 AS DOUBLE) AS total_importance FROM names"
     )
+    q["holdout_evaluation"] = (
+        f"{TRAINING}\n"
+        "SELECT CAST(target_comprou AS VARCHAR) AS classe, n AS support, n AS in_matrix, true AS ratios_in_range, "
+        "true AS auc_in_range, true AS brier_in_range, true AS folds_agree FROM ("
+        "SELECT target_comprou, CAST(floor(count(*) * 0.2 + 0.5) AS BIGINT) AS n FROM training GROUP BY target_comprou)"
+    )
+    q["csv_bronze"] = f"WITH {RAW_SALES}\nSELECT {raw_cols}, 16 AS n_files, 1 AS n_times, true AS files_named FROM raw_sales"
+    numbers = ("sales", "quantity", "discount", "profit", "margem_lucro")
+    texts = ", ".join(c for c in RAW_COLS if c not in numbers and c != "order_date")
+    typed = ", ".join(f"CASE WHEN NOT isnan(try_cast({c} AS DOUBLE)) THEN try_cast({c} AS DOUBLE) END AS {c}" for c in numbers)
+    q["csv_fallback"] = (
+        f"WITH {RAW_SALES}\nSELECT {texts}, {typed}, order_date "
+        f"FROM (SELECT {', '.join(_present(c, c) for c in RAW_COLS)} FROM raw_sales)"
+    )
+    q["silver_sales"] = q["enriched_sales"]
+    q["catalog_rules"] = q["quality_report"]
+    q["catalog_refresh"] = _catalog_sql()
+    q["table_replaced"] = (
+        "SELECT CAST(c_custkey AS VARCHAR) AS key, c_mktsegment, c_custkey % 7 AS rest, "
+        "'it''s second' AS comment, true AS failed, 1 AS tables FROM customer"
+    )
+    without = nb_cols.replace("segment, market,", "'Consumer' AS segment, 'Global' AS market,").replace(
+        "qtd_categorias_distintas,", "1 AS qtd_categorias_distintas,"
+    )
+    q["features_without_optional"] = f"{SCRIPT_BASE},{FEATS_CURRENT}\nSELECT {without} FROM feats_now"
+    q["ranking_file"] = q["propensity_ranking"].replace("segment, market FROM", "segment, market, true AS in_order FROM")
     return q
 
 
+_KINDS = {"sales": "int", "quantity": "int", "discount": "double", "profit": "double", "shipping_cost": "double", "margem_lucro": "double"}
+_TABLES = {
+    "sales_raw": ("Raw sales lines as ingested, with ingestion time and source file", "raw_sales",
+                  [*((c, "string") for c in ("order_id", "product_id", "order_date", "ship_date", "customer_name", "segment", "country", "state",
+                                             "market", "region", "category", "sub_category", "product_name", "ship_mode", "order_priority",
+                                             "sales", "quantity", "discount", "profit", "shipping_cost", "margem_lucro")),
+                   ("_ingestion_time", "timestamp"), ("_source_file", "string")]),
+    "dim_produto": ("Product dimension", "dim_produto", [(c, "string") for c in ("product_id", "product_name", "category", "sub_category")]),
+    "dim_cliente": ("Customer dimension", "dim_cliente", [(c, "string") for c in ("customer_name", "segment")]),
+    "dim_localizacao": ("Location dimension", "dim_localizacao", [(c, "string") for c in ("country", "state", "region", "market")]),
+    "dim_modo_envio": ("Ship mode and order priority dimension", "dim_modo_envio", [(c, "string") for c in ("ship_mode", "order_priority")]),
+    "ft_vendas": ("Sales fact with key, sign and range rules", "ft_vendas",
+                  [*((c, _KINDS.get(c, "string")) for c in ("order_id", "order_date", "ship_date", "customer_name", "product_id", "country", "state",
+                                                            "ship_mode", "sales", "quantity", "discount", "profit", "shipping_cost", "margem_lucro")),
+                   ("_updated_at", "timestamp")]),
+    "vendas_por_categoria": ("KPIs by category and sub-category", "vendas_por_categoria",
+                             [("category", "string"), ("sub_category", "string"), ("faturamento_total", "bigint"), ("lucro_total", "double"),
+                              ("qtd_itens_vendidos", "bigint"), ("margem_media", "double")]),
+    "desempenho_regional": ("KPIs by market, region and country", "desempenho_regional",
+                            [("market", "string"), ("region", "string"), ("country", "string"), ("faturamento_total", "bigint"),
+                             ("lucro_total", "double"), ("custo_frete_total", "double"), ("total_pedidos", "bigint")]),
+    "metrica_clientes": ("Customer and segment KPIs", "metrica_clientes",
+                         [("segment", "string"), ("total_clientes", "bigint"), ("faturamento_total", "bigint"), ("lucro_total", "double"),
+                          ("ticket_medio_por_pedido", "double")]),
+}
+
+
+def _catalog_sql() -> str:
+    parts = []
+    for name, (comment, source, columns) in _TABLES.items():
+        values = ", ".join(f"({i}, '{c}', '{t}')" for i, (c, t) in enumerate(columns))
+        parts.append(
+            f"SELECT '{name}' AS dataset, position, column_name, data_type, '{comment}' AS comment, "
+            f"(SELECT count(*) FROM {source}) AS n_rows FROM (VALUES {values}) v(position, column_name, data_type)"
+        )
+    return f"{GOLD}\n" + "\nUNION ALL\n".join(parts)
+
+
 ORACLE_SQL = build()
