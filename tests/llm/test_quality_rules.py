@@ -74,6 +74,20 @@ def test_without_both_classes_the_base_decides(spark, labels):
     assert qr.apply_rules(docs.limit(0), rules).count() == 0
 
 
+def test_contradicting_labels_and_very_long_texts(spark):
+    good = " ".join(f"word{i}" for i in range(90)) + "."
+    rows = [(i, good if i % 2 else good + " | # $ |" * 40) for i in range(240)] + [(900, "lang " * 200_000 + good), (901, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = [(i, i % 2) for i in range(240)]
+    labels += [(1, 0), (1, 1), (0, 1), (0, 0), (0, 0)]  # the mean counts: row 1 is good, row 0 bad
+    rules = qr.learn_rules(docs, spark.createDataFrame(labels, "doc_id long, quality int"))
+    assert rules == qr.learn_rules(docs.repartition(5), spark.createDataFrame(labels[::-1], "doc_id long, quality int"))
+    got = {r.doc_id: r for r in qr.apply_rules(docs, rules).collect()}
+    assert all(got[i].kept == bool(i % 2) for i in range(240))
+    assert got[900].counts.n_words == 200_090 and got[900].base_failed and not got[900].kept
+    assert got[901].counts.n_words == 0 and got[901].base_failed
+
+
 def test_query(spark, sf_small):
     from lakemart.llm.queries import op2_quality_rules
 
