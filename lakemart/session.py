@@ -96,7 +96,18 @@ def store(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = new_folder(spark, "stored")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._stored_at = path
+    return stored
+
+
+def discard(stored: DataFrame) -> None:
+    """Delete the files of a frame that ``store`` gave, once nothing reads it any more."""
+    path = getattr(stored, "_stored_at", None)
+    if path is None:
+        raise ValueError("not a stored frame")
+    jvm_path, fs = hadoop_path(stored.sparkSession, path)
+    fs.delete(jvm_path, True)
 
 
 def store_for_rounds(df: DataFrame, partition_mb: int = 64) -> DataFrame:
