@@ -2,7 +2,8 @@
 
 Each round links every neighbour to the smallest node known nearby, so chains
 shrink to stars in a logarithmic number of rounds. Rounds are stored in the
-shared folder; nothing but a count of edges reaches the driver.
+shared folder, each until the next one is; nothing but a count of edges reaches
+the driver.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import discard
 from .common import store
 
 
@@ -40,4 +42,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if mark == seen:
             return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
         seen = mark
-        now = store(_small_star(store(_large_star(now))))
+        large = store(_large_star(now))
+        after = store(_small_star(large))
+        discard(large)
+        discard(now)
+        now = after
