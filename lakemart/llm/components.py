@@ -12,13 +12,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import discard
-from .common import store
+from .common import BROADCAST_KEYS, store
 
+#: Neighbours beyond which a node's edges are not brought to one task.
+HOT = 500
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    far = both.join(least, "a").filter(F.col("b") > F.col("a"))
+
+def _least_neighbours(both: DataFrame) -> DataFrame:
+    """``a, m, n``: the smallest of each node and its neighbours, and their number; stored."""
+    return store(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count(F.lit(1)).alias("n")))
+
+
+def _large_star(both: DataFrame, least: DataFrame) -> DataFrame:
+    """Edges from the larger neighbours of each node to its smallest.
+
+    Nodes with more than ``HOT`` neighbours, few as they are, are joined by
+    broadcast, so that no task gets all edges of one.
+    """
+    hot = least.filter(F.col("n") > HOT).select("a", "m")
+    if 0 < hot.count() <= BROADCAST_KEYS:
+        hot = F.broadcast(hot)
+        others = both.join(hot.select("a"), "a", "left_anti").join(least.filter(F.col("n") <= HOT).select("a", "m"), "a")
+        joined = both.join(hot, "a").unionByName(others)
+    else:
+        joined = both.join(least.select("a", "m"), "a")
+    far = joined.filter(F.col("b") > F.col("a"))
     return far.select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
 
 
@@ -42,8 +60,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if mark == seen:
             return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
         seen = mark
-        large = store(_large_star(now))
+        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = _least_neighbours(both)
+        large = store(_large_star(both, least))
         after = store(_small_star(large))
-        discard(large)
-        discard(now)
+        for done in (least, large, now):
+            discard(done)
         now = after

@@ -8,6 +8,7 @@ import re
 import numpy as np
 import pytest
 
+from lakemart.llm import components
 from lakemart.llm import minhash as mh
 from lakemart.llm.components import connected_components
 
@@ -95,7 +96,9 @@ def test_minhash_estimates():
     assert abs((rows[0] == rows[1]).mean() - 0.5) < 0.25
 
 
-def test_components(spark):
+@pytest.mark.parametrize("hot", [500, 5])
+def test_components(spark, monkeypatch, hot):
+    monkeypatch.setattr(components, "HOT", hot)  # the star below has more neighbours than that, or fewer
     rng = random.Random(5)
     edges = [(i, i + 1) for i in range(0, 60)] + [(rng.randrange(100, 200), rng.randrange(100, 200)) for _ in range(60)] + [(1000, k) for k in range(1001, 1400)]
     parent = {}
