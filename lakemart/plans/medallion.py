@@ -11,8 +11,8 @@ and the gold marts read the silver tables that were just written rather than
 recomputing them. ``Datasets`` stores of the view what the wanted datasets read.
 
 The quality report reads the cleaned lines once: each line is counted against the
-fact's rules on its way, and stands for its tuple in each dimension and its
-group in each mart, all of which one grouping adds up (``grouped_lines``).
+fact's rules on its way, and stands in one group of each family of datasets, all of
+which one grouping adds up (``grouped_lines``); dimensions and marts are read from it.
 """
 
 from __future__ import annotations
@@ -173,39 +173,69 @@ def build(bronze: DataFrame, store_view: bool = False, wanted: Iterable[str] | N
 
 
 DIMS = tuple(DIM_COLUMNS)
-_WIDTH = max(len(c) for c in (*DIM_COLUMNS.values(), *marts.MART_GROUPS.values()))
+#: Datasets that are counted from the same groups of lines when they are wanted together.
+FAMILIES = (
+    ("vendas_por_categoria", "dim_produto"),
+    ("desempenho_regional", "metrica_clientes", "dim_cliente", "dim_localizacao"),
+    ("dim_modo_envio",),
+)
+
+
+def _columns(name: str) -> tuple[str, ...]:
+    return DIM_COLUMNS.get(name) or marts.MART_GROUPS[name]
+
+
+def families(names: Iterable[str]) -> dict[str, tuple[str, ...]]:
+    """For each named dataset the columns of the groups it is read from.
+
+    Dimensions share the groups of a mart, whose keys say most of theirs; without
+    a mart a dimension has groups of its own, which are the fewer.
+    """
+    names = set(names)
+    out = {}
+    for family in FAMILIES:
+        wanted = [n for n in family if n in names]
+        shared = tuple(dict.fromkeys(c for n in wanted for c in _columns(n)))
+        out |= {n: shared if any(w in marts.MART_GROUPS for w in wanted) else _columns(n) for n in wanted}
+    return out
 
 
 def grouped_lines(cleaned: DataFrame, names: Iterable[str]) -> DataFrame:
-    """Tuples of the named dimensions and pre-aggregated groups of the named marts, from one pass over the lines.
+    """Groups of the lines from which the named dimensions and marts are read, from one pass over the lines.
 
-    ``dataset, k0 ... k3`` and the sums of the fact's measures. A line stands in one
-    group of each dataset, and in a mart's only if the fact keeps it; the
-    grouping combines before its shuffle. ``dimension_of`` and ``groups_of`` pick a
-    dataset's rows.
+    ``dataset`` (the columns of a group, joined), ``k0 ...``, the number of lines that the fact
+    keeps, and the sums of its measures over those. A line stands in one group of each
+    family; the grouping combines before its shuffle. ``dimension_of`` and
+    ``groups_of`` read a dataset.
     """
+    names = list(names)
+    columns = list(dict.fromkeys(families(names).values()))
+    width = max(map(len, columns))
     kept = kept_condition(rules_for("ft_vendas"))
     tags = []
-    for name in names:
-        columns = DIM_COLUMNS.get(name) or marts.MART_GROUPS[name]
-        keys = [F.col(columns[i]) if i < len(columns) else F.lit(None).cast("string") for i in range(_WIDTH)]
-        tag = F.struct(F.lit(name).alias("dataset"), *(k.alias(f"k{i}") for i, k in enumerate(keys)))
-        tags.append(tag if name in DIM_COLUMNS else F.when(kept, tag))
+    for own in columns:
+        keys = [F.col(own[i]) if i < len(own) else F.lit(None).cast("string") for i in range(width)]
+        tags.append(F.struct(F.lit(",".join(own)).alias("dataset"), *(k.alias(f"k{i}") for i, k in enumerate(keys))))
     measures = sorted({c for n in names for c in marts.MART_READS.get(n, ())} - set().union(*marts.MART_GROUPS.values()))
-    tagged = cleaned.select(F.explode(F.array(*tags)).alias("_tag"), *measures).filter(F.col("_tag").isNotNull())
-    rows = tagged.select("_tag.*", *measures)
-    return rows.groupBy("dataset", *(f"k{i}" for i in range(_WIDTH))).agg(F.count(F.lit(1)).alias("n_lines"), *marts.totals(measures))
+    tagged = cleaned.select(F.explode(F.array(*tags)).alias("_tag"), kept.alias("_kept"), *(F.when(kept, F.col(c)).alias(c) for c in measures))
+    rows = tagged.select("_tag.*", "_kept", *measures)
+    return rows.groupBy("dataset", *(f"k{i}" for i in range(width))).agg(F.count_if("_kept").alias("n_lines"), *marts.totals(measures))
+
+
+def _family(grouped: DataFrame, own: tuple[str, ...]) -> DataFrame:
+    rows = grouped.filter(F.col("dataset") == ",".join(own))
+    return rows.select(*(F.col(f"k{i}").alias(c) for i, c in enumerate(own)), *(c for c in grouped.columns if c.startswith(("s_", "n_"))))
 
 
-def dimension_of(grouped: DataFrame, name: str) -> DataFrame:
-    rows = grouped.filter(F.col("dataset") == name)
-    return rows.select(*(F.col(f"k{i}").alias(c) for i, c in enumerate(DIM_COLUMNS[name])))
+def dimension_of(grouped: DataFrame, name: str, names: Iterable[str]) -> DataFrame:
+    """The dimension ``name`` of the groups of ``names``."""
+    return _family(grouped, families(names)[name]).select(*DIM_COLUMNS[name]).distinct()
 
 
-def groups_of(grouped: DataFrame, name: str) -> DataFrame:
-    rows = grouped.filter(F.col("dataset") == name)
-    keys = (F.col(f"k{i}").alias(c) for i, c in enumerate(marts.MART_GROUPS[name]))
-    return rows.select(*keys, *(c for c in grouped.columns if c.startswith(("s_", "n_"))))
+def groups_of(grouped: DataFrame, name: str, names: Iterable[str]) -> DataFrame:
+    """Groups of the mart ``name``; its keys may come in several, which its sums and distinct counts add up."""
+    rows = _family(grouped, families(names)[name]).filter(F.col("n_lines") > 0)
+    return rows.select(*marts.MART_GROUPS[name], *(c for c in grouped.columns if c.startswith(("s_", "n_"))))
 
 
 def _read_once(bronze: DataFrame, names: Iterable[str], store_view: bool) -> tuple[DataFrame, dict[str, Observation]]:
@@ -223,11 +253,12 @@ def quality_report(bronze: DataFrame, store_view: bool = False) -> DataFrame:
     ``store_view``: the raw lines are a plan rather than a table, so they are
     stored first, and their rules are counted in that pass.
     """
-    grouped, observed = _read_once(bronze, [*DIMS, *marts.KPIS], store_view)
-    frames = {"sales_raw": bronze} | {n: dimension_of(grouped, n) for n in DIMS}
+    names = [*DIMS, *marts.KPIS]
+    grouped, observed = _read_once(bronze, names, store_view)
+    frames = {"sales_raw": bronze} | {n: dimension_of(grouped, n, names) for n in DIMS}
     for name, kpis in marts.KPIS.items():
         (dim,) = (i for i in BY_NAME[name].inputs if i in DIM_COLUMNS)
-        frames[name] = kpis(groups_of(grouped, name), apply_expectations(frames[dim], rules_for(dim)))
+        frames[name] = kpis(groups_of(grouped, name, names), apply_expectations(frames[dim], rules_for(dim)))
     rows, parts = [], []
     for d in DATASETS:
         if d.name in observed:
@@ -241,7 +272,7 @@ def conformity_report(bronze: DataFrame, store_view: bool = False) -> DataFrame:
     """Kept and dropped rows of every dataset that has a drop rule."""
     grouped, observed = _read_once(bronze, DIMS, store_view)
     fact = conformity_row(bronze.sparkSession, "ft_vendas", observed["ft_vendas"].get)
-    return reduce(DataFrame.unionByName, [conformity(dimension_of(grouped, n), rules_for(n), n) for n in DIMS], fact)
+    return reduce(DataFrame.unionByName, [conformity(dimension_of(grouped, n, DIMS), rules_for(n), n) for n in DIMS], fact)
 
 
 def table_name(layers: Layers, d: DatasetDef) -> str:
