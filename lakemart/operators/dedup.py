@@ -14,9 +14,10 @@ key that holds a third of all rows (for example a NULL key) reaches the reducer
 one row per map task. With more repeated hashes than that, all rows go into the
 aggregate: one shuffle of them instead of one for each side of a join.
 
-The survivors of repeated keys are stored, so readers of the result shuffle
-nothing. ``df`` is read by the count, by the survivors and by every reader of the
-result, so it should be a table or a stored frame rather than a costly plan.
+Only those hashes are stored; with too many of them the survivors are. Otherwise
+a reader of the result reads ``df`` twice and shuffles the partial minima of
+repeated keys. The count reads ``df`` too, so it should be a table or a stored
+frame rather than a costly plan.
 """
 
 from __future__ import annotations
@@ -58,4 +59,4 @@ def dedup_by_key(
     if not few:
         return store(best)
     single = coded.join(F.broadcast(repeated), "_code", "left_anti").select(*df.columns)
-    return single.unionAll(store(best))
+    return single.unionAll(best)
