@@ -39,3 +39,19 @@ def test_raw_lines_size_their_shuffles(spark, monkeypatch):
         assert raw.count() == 6000
     finally:
         spark.conf.set(INITIAL, kept) if kept else spark.conf.unset(INITIAL)
+
+
+@needs_data
+def test_csv_lines_go_to_the_files_by_order(spark, monkeypatch):
+    """From some size on an order's lines stand together in one of the 16 files; below it lines are dealt out in turn."""
+    from lakemart.plans import table_queries as tq
+
+    def split_orders(folder):
+        lines = spark.read.option("header", "true").csv(folder).select("order_id", F.col("_metadata.file_name").alias("file"))
+        assert lines.count() == 6000 and lines.select("file").distinct().count() == tq.CSV_FILES
+        return lines.filter("order_id is not null").groupBy("order_id").agg(F.count_distinct("file").alias("n")).filter("n > 1").count()
+
+    assert split_orders(tq.csv_files(spark, SF_SMALL)) > 0
+    monkeypatch.setattr(tq, "CSV_BY_ORDER", 1)
+    assert split_orders(tq.csv_files(spark, SF_SMALL)) == 0
+    assert [r[0] for r in tq.q_csv_bronze(spark, SF_SMALL).select("n_files").distinct().collect()] == [16]
