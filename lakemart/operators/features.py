@@ -12,7 +12,8 @@ affects the size of the result.
 
 All aggregates combine partially before the shuffle. The windows by customer
 see one row per bucket, and one per bucket and segment or market; order and
-product ids only meet hash aggregates, spread by customer and id. So a customer
+product ids only meet hash aggregates, spread by customer and id (current
+features: those of a customer of more than ``MANY_LINES`` lines). So a customer
 holding a third of the lines does not put a third of anything into one task.
 Sums and means are exact (``exact_sum``), so the rounded features do not depend
 on how the partitions were combined.
@@ -122,11 +123,7 @@ def _distincts(cols: Sequence[str], spec: FeatureSpec) -> dict[str, tuple[str, i
     return {f: (c, None if c in cols else d) for f, (c, d) in wanted.items()}
 
 
-def _aggregates(cols: Sequence[str], spec: FeatureSpec) -> list[Column]:
-    counts = [
-        (F.count_distinct(c) if default is None else F.lit(default).cast("long")).alias(f)
-        for f, (c, default) in _distincts(cols, spec).items()
-    ]
+def _aggregates() -> list[Column]:
     return [
         F.max("order_date").alias("_last"),
         F.min("order_date").alias("_first"),
@@ -137,7 +134,6 @@ def _aggregates(cols: Sequence[str], spec: FeatureSpec) -> list[Column]:
         F.count("discount").alias("_n_discount"),
         exact_sum(F.col("margem_lucro")).alias("_margin"),
         F.count("margem_lucro").alias("_n_margin"),
-        *counts,
     ]
 
 
@@ -186,13 +182,36 @@ def with_bucket(sales: DataFrame, cutoffs: DataFrame) -> DataFrame:
     )
 
 
-def _pairs(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``customer_name, _bucket, _column, _value``: one row per line and non-NULL value of each column."""
+def _pairs(lines: DataFrame, columns: Sequence[str], keys: Sequence[str] = ("customer_name", "_bucket")) -> DataFrame:
+    """``keys, _column, _value``: one row per line and non-NULL value of each column."""
     pairs = [F.struct(F.lit(c).alias("_column"), F.col(c).cast("string").alias("_value")) for c in columns]
-    long = lines.select("customer_name", "_bucket", F.explode(F.array(*pairs)).alias("_pair")).select("customer_name", "_bucket", "_pair.*")
+    long = lines.select(*keys, F.explode(F.array(*pairs)).alias("_pair")).select(*keys, "_pair.*")
     return long.filter(F.col("_value").isNotNull())
 
 
+#: Lines from which on a customer's values are not brought together in one task.
+MANY_LINES = 100_000
+
+
+def _value_counts(sales: DataFrame, distinct: dict[str, str]) -> DataFrame:
+    """``customer_name`` and, for each feature, how many different values its column has there.
+
+    A distinct count of several columns in one aggregate makes a row of every line
+    and column, few of which combine before the shuffle. So the lines themselves are
+    dealt out by customer, once, and the values of a customer are told apart in
+    its task; those of a customer of ``MANY_LINES`` lines are spread by value.
+    """
+    columns = list(dict.fromkeys(distinct.values()))
+    lines = sales.select("customer_name", *columns)
+    numbers = lines.groupBy("customer_name").agg(F.count(F.lit(1)).alias("_lines"))
+    many = F.broadcast(numbers.filter(F.col("_lines") > MANY_LINES).select("customer_name"))  # of 100,000 lines at most one
+    together = lines.join(many, "customer_name", "left_anti").repartition("customer_name")
+    few = together.groupBy("customer_name").agg(*(F.size(F.collect_set(c)).cast("long").alias(f) for f, c in distinct.items()))
+    spread = _pairs(lines.join(many, "customer_name", "left_semi"), columns, ["customer_name"]).distinct()
+    counts = (F.count_if(F.col("_column") == c).alias(f) for f, c in distinct.items())
+    return few.unionByName(spread.groupBy("customer_name").agg(*counts))
+
+
 def _new_values(lines: DataFrame, distinct: dict[str, str]) -> DataFrame:
     """``customer_name, _bucket`` and, for each feature, how many values of its column the customer first has there.
 
@@ -297,7 +316,12 @@ def customer_features_current(sales: DataFrame, spec: FeatureSpec = SCRIPT_FEATU
     """Features on the whole history, recency measured from the latest order date."""
     dated = with_order_date(sales)
     sales = conform(sales)
-    agg = _means(sales.groupBy("customer_name").agg(*_aggregates(sales.columns, spec)))
+    features = _distincts(sales.columns, spec)
+    distinct = {f: c for f, (c, default) in features.items() if default is None}
+    agg = _means(sales.groupBy("customer_name").agg(*_aggregates()))
+    agg = agg.join(_value_counts(sales, distinct), "customer_name", "left").withColumns(
+        {f: F.coalesce(f, F.lit(0)) if f in distinct else F.lit(default).cast("long") for f, (_, default) in features.items()}
+    )
     agg = _with_modes(agg, sales, ["customer_name"], spec)
     ref = dated.agg(F.max("order_date").alias("_ref"))
     return _finish(agg.crossJoin(F.broadcast(ref)), F.col("_ref"), spec, [])

@@ -8,6 +8,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from lakemart.config import NOTEBOOK_FEATURES
 from lakemart.operators import features as feat
@@ -197,3 +198,19 @@ def test_propensity_run_warns_about_censored_cutoffs(spark):
     cutoffs = feat.cutoff_frame(spark, ["2020-01-15", "2020-02-15"], 30)
     with pytest.warns(UserWarning, match="2020-02-15"):
         assert warn_censored(sales_frame(spark, data), cutoffs) == ["2020-02-15"]
+
+
+def test_distinct_counts_of_few_and_many_lines(spark, monkeypatch):
+    """Customers above and below MANY_LINES alike; NULL values do not count; no row is made of each line and column in one aggregate."""
+    rows = [("a", f"O{i % 3}", f"C{i % 2}", None, f"P{i}") for i in range(7)]
+    rows += [("b", "O1", None, "S", "P1"), ("b", "O1", None, "S", "P2"), ("c", None, None, None, None), (None, "O9", "C9", "S9", "P9")]
+    names = "customer_name string, order_id string, category string, sub_category string, product_id string"
+    fixed = {"order_date": F.lit("2020-01-01").cast("date"), "sales": F.lit(1.0), "profit": F.lit(0.5), "discount": F.lit(0.0), "margem_lucro": F.lit(0.1), "quantity": F.lit(1)}
+    sales = spark.createDataFrame(rows, names).withColumns(fixed)
+    columns = ("frequencia_pedidos", "qtd_categorias_distintas", "qtd_subcategorias_distintas", "qtd_produtos_distintos")
+    for most in (0, 2, 5, 100_000):
+        monkeypatch.setattr(feat, "MANY_LINES", most)
+        out = feat.customer_features_current(sales)
+        got = {r.customer_name: tuple(r[c] for c in columns) for r in out.collect()}
+        assert got == {"a": (3, 2, 0, 7), "b": (1, 0, 1, 2), "c": (0, 0, 0, 0)}
+        assert "Expand" not in out._jdf.queryExecution().executedPlan().toString()
