@@ -48,6 +48,8 @@ SYMBOLS = 1 << 15
 #: Words whose counts are broadcast, the symbols among them.
 FREQUENT = 1 << 18
 CLASSES = 1 << 10
+#: Symbols and classes of a text are one value of bytes, which Spark copies whole, rather than an array.
+SYMBOL = np.dtype("<u2")
 STATES = 8
 #: Rounds with one state to a text, and rounds of Baum-Welch.
 STARTS, ROUNDS = 3, 2
@@ -154,7 +156,8 @@ def encode(docs: DataFrame, known: Vocabulary, held_out: Column, id_col: str = "
 
     ``known``, ``base`` (sum of log10(count + 1)) and ``within`` (of log10(count -
     discount), symbols aside) are of the text's frequent words; ``rare`` holds
-    its other words, their class and number.
+    its other words, their class and number. ``symbols`` are numbers of type
+    ``SYMBOL`` in one value.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -162,7 +165,7 @@ def encode(docs: DataFrame, known: Vocabulary, held_out: Column, id_col: str = "
     shared = spark.sparkContext.broadcast((known.frequent, known.counts, known.symbols))
     rare = T.ArrayType(T.StructType([T.StructField("word", T.BinaryType()), T.StructField("k", T.IntegerType()), T.StructField("n", T.LongType())]))
     schema = T.StructType([
-        T.StructField("id", docs.schema[id_col].dataType), T.StructField("held_out", T.BooleanType()), T.StructField("symbols", T.ArrayType(T.IntegerType())),
+        T.StructField("id", docs.schema[id_col].dataType), T.StructField("held_out", T.BooleanType()), T.StructField("symbols", T.BinaryType()),
         T.StructField("known", T.LongType()), T.StructField("base", T.DoubleType()), T.StructField("within", T.DoubleType()), T.StructField("rare", rare),
     ])
     out = to_arrow_schema(schema)
@@ -173,7 +176,7 @@ def encode(docs: DataFrame, known: Vocabulary, held_out: Column, id_col: str = "
         numbers.offset = len(frequent)
         number = numbers.__getitem__
         classes = np.array([class_of(w) for w in frequent[symbols:]], np.int64)
-        symbol_of = np.concatenate([np.arange(symbols), symbols + classes, symbols + np.arange(CLASSES)]).astype(np.int32)
+        symbol_of = np.concatenate([np.arange(symbols), symbols + classes, symbols + np.arange(CLASSES)]).astype(SYMBOL)
         base_of = np.concatenate([np.log10(counts + 1.0), np.zeros(CLASSES)])
         within_of = np.concatenate([np.zeros(symbols), np.log10(counts[symbols:] - DISCOUNT), np.zeros(CLASSES)])
         for batch in slices(batches, "text"):
@@ -197,7 +200,7 @@ def encode(docs: DataFrame, known: Vocabulary, held_out: Column, id_col: str = "
             parts = pa.StructArray.from_arrays(columns, fields=list(out.field("rare").type.value_type))
             yield pa.record_batch([
                 batch.column("id"), batch.column("held_out"),
-                pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(symbol_of[flat])).cast(out.field("symbols").type),
+                _texts_symbols(symbol_of[flat], ends),
                 pa.array(np.bincount(owner[own], minlength=len(texts)), pa.int64()),
                 *(pa.array(np.bincount(owner, of[flat], len(texts)), pa.float64()) for of in (base_of, within_of)),
                 pa.ListArray.from_arrays(pa.array(found, pa.int32()), parts).cast(out.field("rare").type),
@@ -207,9 +210,17 @@ def encode(docs: DataFrame, known: Vocabulary, held_out: Column, id_col: str = "
     return store(rows.mapInArrow(run, schema).select(F.monotonically_increasing_id().alias("key"), "*"))
 
 
-def _sequences(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+def _texts_symbols(flat: np.ndarray, ends: np.ndarray) -> pa.BinaryArray:
+    """One value of bytes for each text, from symbols laid end to end and where texts end."""
+    offsets = np.concatenate([[0], ends]).astype(np.int32) * np.int32(SYMBOL.itemsize)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
+
+
+def _sequences(column: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
     """Symbols laid end to end, and the lengths of the sequences."""
-    return column.flatten().to_numpy(zero_copy_only=False), np.diff(column.offsets.to_numpy(zero_copy_only=False))
+    _, places, data = column.buffers()
+    at = np.frombuffer(places, np.int32)[column.offset : column.offset + len(column) + 1] // SYMBOL.itemsize
+    return np.frombuffer(data, SYMBOL)[at[0] : at[-1]], np.diff(at)
 
 
 def _together(batches: Iterator[pa.RecordBatch], rows: int = 5_000) -> Iterator[pa.RecordBatch]:
@@ -219,7 +230,7 @@ def _together(batches: Iterator[pa.RecordBatch], rows: int = 5_000) -> Iterator[
     for batch in batches:
         if batch.num_rows:
             held.append(batch)
-            symbols += len(batch.column("symbols").flatten())
+            symbols += len(_sequences(batch.column("symbols"))[0])
         if symbols > hmm.BLOCK or sum(b.num_rows for b in held) > rows:
             yield pa.concat_batches(held)
             held, symbols = [], 0

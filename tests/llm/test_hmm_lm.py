@@ -166,3 +166,12 @@ def test_edge_rows(spark):
     assert hmm_lm.model_scores(docs.limit(0), F.lit(False)).count() == 0
     alone = hmm_lm.model_scores(docs, F.lit(True)).collect()  # nothing to learn from
     assert {(r.train_tokens, r.n_known) for r in alone} == {(0, 0)} and all(math.isfinite(r.score) for r in alone)
+
+
+def test_symbols_are_one_value_for_each_text():
+    """Read back from slices and joined batches as well; the largest number of a symbol or class fits."""
+    texts = [[5], [1, hmm_lm.SYMBOLS + hmm_lm.CLASSES - 1, 0], [7, 7]]
+    column = hmm_lm._texts_symbols(np.concatenate(texts).astype(hmm_lm.SYMBOL), np.cumsum([len(t) for t in texts]))
+    for own, want in ((column, texts), (column.slice(1), texts[1:]), (column.slice(1, 1), texts[1:2])):
+        flat, sizes = hmm_lm._sequences(own)
+        assert flat.tolist() == [x for t in want for x in t] and sizes.tolist() == [len(t) for t in want]
