@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from lakemart.config import SALES_COLUMNS
 from lakemart.operators import marts, star
 from lakemart.operators.enrich import enrich_sales
@@ -93,3 +95,23 @@ def test_enrichment_is_left_join(spark):
     out = enrich_sales(ds["ft_vendas"], dim_cli, ds["dim_localizacao"], ds["dim_produto"])
     got = {r["customer_name"]: r["segment"] for r in out.collect()}
     assert got == {"ana": "Consumer", "zed": None}
+
+
+def test_enriched_lines_of_a_customer_together(spark):
+    """The same rows in either order of the joins; by customer, no customer's lines stand in two partitions."""
+    keys = "order_id string, product_id string, country string, state string, customer_name string"
+    lines = [(f"O{i}", f"P{i % 7}", "X", "Y", f"C{i % 11}" if i % 13 else None) for i in range(200)]
+    ft = spark.createDataFrame(lines, keys)
+    cli = spark.createDataFrame([(f"C{i}", s) for i in range(10) for s in ("A", "B")[: 1 + i % 2]], "customer_name string, segment string")
+    loc = spark.createDataFrame([("X", "Y", "R", "M")], "country string, state string, region string, market string")
+    prod = spark.createDataFrame([(f"P{i}", "n", "c", "s") for i in range(6)], "product_id string, product_name string, category string, sub_category string")
+    plain = enrich_sales(ft, cli, loc, prod)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        own = enrich_sales(ft, cli, F.broadcast(loc), prod, by_customer=True)
+        assert own.columns == plain.columns and sorted(map(str, own.collect())) == sorted(map(str, plain.collect()))
+        places = own.withColumn("_part", F.spark_partition_id()).groupBy("customer_name").agg(F.count_distinct("_part").alias("n"))
+        assert {r.n for r in places.collect()} == {1}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
