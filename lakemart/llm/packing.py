@@ -50,7 +50,7 @@ EPSILON = 0.2
 #: Room that a rounded configuration may leave, by trial; all and none are tried besides.
 ROOM_LEFT = (0, 4, 16, 64, 256)
 #: Entries of each of the cache's two generations.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 200_000
 RUN_WORDS = 1000
 _TAIL = ".,;:!?*#$%&|)]}\""
 
