@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import store
 
-__all__ = ["BATCH_ROWS", "BROADCAST_KEYS", "Numbers", "documents", "fresh", "prepare", "slices", "store", "texts_of"]
+__all__ = ["BATCH_ROWS", "BROADCAST_KEYS", "Numbers", "documents", "fresh", "prepare", "shuffled", "slices", "store", "texts_of"]
 
 #: Rows, and bytes, that Spark hands to Python at once. Texts can be long, so batches are kept small.
 BATCH_ROWS = 512
@@ -42,6 +42,17 @@ def fresh(name: str, taken: Iterable[str]) -> str:
     return name
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df``, whose join is to shuffle and merge both sides, however small Spark takes them to be.
+
+    Spark sizes what a table's files hold; rows that an explode or a Python step
+    makes of them count as no more. A side of millions of rows can thus be broadcast,
+    which the driver's memory does not stand. Only sides that were counted are to be
+    broadcast here, by ``F.broadcast``.
+    """
+    return df.hint("merge")
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds at most ``limit`` bytes of text, or one row."""
     for batch in batches:

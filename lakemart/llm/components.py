@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import discard
-from .common import BROADCAST_KEYS, store
+from .common import BROADCAST_KEYS, shuffled, store
 
 #: Neighbours beyond which a node's edges are not brought to one task.
 HOT = 500
@@ -32,10 +32,10 @@ def _large_star(both: DataFrame, least: DataFrame) -> DataFrame:
     hot = least.filter(F.col("n") > HOT).select("a", "m")
     if 0 < hot.count() <= BROADCAST_KEYS:
         hot = F.broadcast(hot)
-        others = both.join(hot.select("a"), "a", "left_anti").join(least.filter(F.col("n") <= HOT).select("a", "m"), "a")
+        others = both.join(hot.select("a"), "a", "left_anti").join(shuffled(least.filter(F.col("n") <= HOT).select("a", "m")), "a")
         joined = both.join(hot, "a").unionByName(others)
     else:
-        joined = both.join(least.select("a", "m"), "a")
+        joined = both.join(shuffled(least.select("a", "m")), "a")
     far = joined.filter(F.col("b") > F.col("a"))
     return far.select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
 
@@ -43,7 +43,7 @@ def _large_star(both: DataFrame, least: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     least = down.groupBy("a").agg(F.min("b").alias("m"))
-    joined = down.join(least, "a")
+    joined = down.join(shuffled(least), "a")
     linked = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
     return linked.filter("a <> b").distinct()
 

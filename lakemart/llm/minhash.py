@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BROADCAST_KEYS, slices, store, texts_of
+from .common import BROADCAST_KEYS, shuffled, slices, store, texts_of
 from .components import connected_components
 
 WORDS = 5
@@ -198,7 +198,7 @@ def _table_keys(nodes: DataFrame, count: int) -> DataFrame:
     halves = [F.xxhash64(F.lit(i), *(F.col("signature")[PER_HALF * i + k] for k in range(PER_HALF))) for i in range(2 * count)]
     rows = nodes.select("node", F.posexplode(F.array(*halves)).alias("half", "value"))
     shared = rows.groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("value")
-    live = rows.join(shared, "value").groupBy("node").agg(F.collect_list(F.struct("half", "value")).alias("own"))  # at most 2 * count to a node
+    live = rows.join(shuffled(shared), "value").groupBy("node").agg(F.collect_list(F.struct("half", "value")).alias("own"))  # at most 2 * count to a node
     first = F.filter("own", lambda h: h["half"] < count)
     second = F.filter("own", lambda h: h["half"] >= count)
     pairs = live.select("node", F.explode(first).alias("x"), second.alias("ys")).select("node", "x", F.explode("ys").alias("y"))
@@ -213,7 +213,7 @@ def _buckets(keys: DataFrame) -> DataFrame:
         F.min("known").alias("least"), F.max("known").alias("most"),
     )
     one = kinds.filter("least <> most").groupBy("n", "low", "high", "all").agg(F.min("key").alias("key")).select("key", "n")
-    return keys.join(one, "key").select(F.col("key").alias("grp"), "node", "known", F.ceil(F.col("n") / SKETCH_BLOCK).cast("int").alias("blocks"))
+    return keys.join(shuffled(one), "key").select(F.col("key").alias("grp"), "node", "known", F.ceil(F.col("n") / SKETCH_BLOCK).cast("int").alias("blocks"))
 
 
 def _in_units(rows: DataFrame) -> DataFrame:
@@ -319,10 +319,10 @@ def _clusters(nodes: DataFrame, bands: Banding) -> DataFrame:
     keys = store(_table_keys(nodes, bands.halves))
 
     def edges(own: DataFrame) -> DataFrame:
-        return _in_units(_buckets(own).join(sketches, "node")).mapInArrow(_unit_edges(_equal_bytes(bands)), "a long, b long")
+        return _in_units(_buckets(own).join(shuffled(sketches), "node")).mapInArrow(_unit_edges(_equal_bytes(bands)), "a long, b long")
 
     early = store(connected_components(edges(keys.filter("early").withColumn("known", F.col("node")))))
-    late = keys.filter(~F.col("early")).join(early, "node", "left").withColumn("known", F.coalesce("component", "node"))
+    late = keys.filter(~F.col("early")).join(shuffled(early), "node", "left").withColumn("known", F.coalesce("component", "node"))
     found = edges(late.select("node", "key", "known"))
     moved = store(connected_components(found.unionByName(early.select(F.col("node").alias("a"), F.col("component").alias("b")))))
     return moved.unionByName(moved.select(F.col("component").alias("node"), "component").distinct())
@@ -330,17 +330,20 @@ def _clusters(nodes: DataFrame, bands: Banding) -> DataFrame:
 
 def _links(clusters: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
     """``a, b``: links between full sets, a spanning forest of each unit."""
-    wanted = store(clusters.join(nodes.select("node", "n_shingles", "set_hash"), "node"))
+    wanted = store(clusters.join(shuffled(nodes.select("node", "n_shingles", "set_hash")), "node"))
     ids = wanted.select(F.col("node").alias(id_col)).distinct()
     if ids.count() <= BROADCAST_KEYS:
         ids = F.broadcast(ids)
     sets = shingle_sets(docs.select(id_col, text_col).join(ids, id_col, "left_semi"), id_col, text_col)
-    sets = sets.join(wanted.select("node", "set_hash").distinct(), ["node", "set_hash"], "left_semi").dropDuplicates(["node"])  # equal rows
+    sets = sets.join(shuffled(wanted.select("node", "set_hash").distinct()), ["node", "set_hash"], "left_semi").dropDuplicates(["node"])  # equal rows
     sets = sets.drop("set_hash")
     totals = wanted.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("total"))
     blocks = F.greatest(F.ceil(F.col("n") / SET_BLOCK), F.ceil(F.col("total") / SET_BLOCK_SHINGLES)).cast("int")
-    placed = wanted.select("node", "component").join(totals.select("component", blocks.alias("blocks")), "component")
-    units = _in_units(placed.withColumnRenamed("component", "grp").withColumn("known", F.col("node")).join(sets, "node"))
+    # few components have several blocks; their rows, most of a task where one is hot, are left where they are
+    large = store(totals.select("component", blocks.alias("blocks")).filter("blocks > 1"))
+    large = F.broadcast(large) if large.count() <= BROADCAST_KEYS else shuffled(large)
+    placed = wanted.select("node", "component").join(large, "component", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    units = _in_units(placed.withColumnRenamed("component", "grp").withColumn("known", F.col("node")).join(shuffled(sets), "node"))
     return units.mapInArrow(_unit_edges(_similar_sets(percent)), "a long, b long")
 
 
@@ -372,13 +375,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def placed(rows: DataFrame) -> DataFrame:
         """``rows`` with the node of their set and its component."""
-        return rows.join(classes.select("set_hash", "node"), "set_hash", "left").join(links, "node", "left")
+        return rows.join(shuffled(classes.select("set_hash", "node")), "set_hash", "left").join(shuffled(links), "node", "left")
 
     if chosen is None:
         ids = placed(signed.select(id_col, "n_shingles", "set_hash"))
     else:
         own = placed(chosen.select(id_col, "set_hash")).select(F.col(id_col).alias("own_id"), "component", "node")
-        ids = signed.select(id_col, "n_shingles").join(own, F.col(id_col) == F.col("own_id"), "left")
+        ids = signed.select(id_col, "n_shingles").join(shuffled(own), F.col(id_col) == F.col("own_id"), "left")
     component = F.when(F.col(id_col).isNotNull(), F.coalesce("component", "node", id_col))
     return ids.select(id_col, "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
 

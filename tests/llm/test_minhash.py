@@ -194,3 +194,24 @@ def test_query_equals_brute_force(spark, sf_small):
 
     data = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_small}/documents.parquet").collect()]
     assert got(op5_minhash(spark, sf_small)) == brute(data)
+
+
+def planned(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_made_by_an_explode_are_not_broadcast(spark, tmp_dir):
+    # a file of a few bytes for each node, of which the half keys make twenty rows each: Spark takes them for small
+    nodes = spark.range(50).selectExpr("id AS node", f"transform(sequence(1, {mh.HASHES}), k -> cast(k * (id % 5) AS int)) AS signature")
+    nodes.write.parquet(f"{tmp_dir}/nodes")
+    keys = mh._table_keys(spark.read.parquet(f"{tmp_dir}/nodes"), mh.banding(85).halves)
+    assert "Broadcast" not in planned(keys)
+    assert keys.select("node").distinct().count() == 50
+
+
+def test_rounds_of_components_broadcast_counted_sides_only(spark):
+    edges = spark.createDataFrame([(2, 1), (3, 2), (9, 8)], "a long, b long")
+    both = edges.unionByName(edges.selectExpr("b AS a", "a AS b"))
+    least = components._least_neighbours(both)
+    assert "Broadcast" not in planned(components._large_star(both, least))
+    assert "Broadcast" not in planned(components._small_star(edges))
