@@ -55,3 +55,15 @@ def test_csv_lines_go_to_the_files_by_order(spark, monkeypatch):
     monkeypatch.setattr(tq, "CSV_BY_ORDER", 1)
     assert split_orders(tq.csv_files(spark, SF_SMALL)) == 0
     assert [r[0] for r in tq.q_csv_bronze(spark, SF_SMALL).select("n_files").distinct().collect()] == [16]
+
+
+@needs_data
+def test_csv_lines_are_not_shuffled_once_they_are_texts(spark, monkeypatch):
+    """The files are made of the join's own partitions: the plan's exchanges lie below it."""
+    from lakemart.plans import table_queries as tq
+
+    monkeypatch.setattr(tq, "CSV_BY_ORDER", 1)
+    lines = tq.csv_lines(spark, SF_SMALL)
+    plan = lines._jdf.queryExecution().sparkPlan().toString()
+    assert lines.rdd.getNumPartitions() == tq.CSV_FILES
+    assert plan.index("Coalesce") < plan.index("Join") < plan.index("Exchange")
